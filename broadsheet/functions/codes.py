@@ -59,10 +59,10 @@ def with_country_code(df: DataFrame, name_col: str, out: str, catalog: DataFrame
 
 def with_language_code(df: DataFrame, name_col: str, out: str, catalog: DataFrame) -> DataFrame:
     """Add the language code for a language name or code; unknown or blank gives ``und``."""
-    keys = catalog.select(F.col("lookup_key").alias("_language_key"), F.col("language_code").alias("_language"))
+    keys = catalog.select(F.col("lookup_key").alias("_language_key"), F.col("language_code").alias("_found_language"))
     joined = df.join(F.broadcast(keys), F.lower(strip(F.col(name_col))) == F.col("_language_key"), "left")
-    return joined.withColumn(out, F.coalesce("_language", F.lit(UNKNOWN_LANGUAGE))).drop(
-        "_language_key", "_language"
+    return joined.withColumn(out, F.coalesce("_found_language", F.lit(UNKNOWN_LANGUAGE))).drop(
+        "_language_key", "_found_language"
     )
 
 

@@ -3,19 +3,27 @@
 from __future__ import annotations
 
 import html
+from functools import reduce
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from broadsheet.functions.expr import let
+
 # Every character that counts as white space when text is stripped or split.
 WHITE_SPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0        "
     "        　"
 )
-_SPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
+_WIDE_SPACES = [c for c in WHITE_SPACE if ord(c) > 0xFF]
+# Runs that are not already a single plain space, so ordinary word gaps cost nothing.
+_GAP = r"\t-\r\x1c-\x1f\x85\xa0"
+_SPACE_RUN = f"[{_GAP}][{_GAP} ]*| [{_GAP} ]+"
+_WIDE_GAP = _GAP + "".join(_WIDE_SPACES)
+_WIDE_SPACE_RUN = f"[{_WIDE_GAP}][{_WIDE_GAP} ]*| [{_WIDE_GAP} ]+"
 
 # Entities decoded natively; any other reference goes to the exact reader.
 _ENTITIES = (
@@ -24,13 +32,16 @@ _ENTITIES = (
     ("&ndash;", "–"), ("&hellip;", "…"), ("&rsquo;", "’"), ("&lsquo;", "‘"),
     ("&rdquo;", "”"), ("&ldquo;", "“"), ("&amp;", "&"),
 )
-_FOREIGN_ENTITY = (
-    "&(?!(?:" + "|".join(name[1:-1] for name, _ in _ENTITIES) + ");)[#A-Za-z]"
+_KNOWN_ENTITY = "&(?:" + "|".join(name[1:-1] for name, _ in _ENTITIES) + ");"
+_FOREIGN_ENTITY = "&(?!(?:" + "|".join(name[1:-1] for name, _ in _ENTITIES) + ");)[#A-Za-z]"
+# Comments, hidden elements with their content, declarations, and tags; in document order.
+_MARKUP = (
+    r"(?is)<(?:!--(?!-?>).*?--"
+    r"|(script|style)(?:\s[^<>]*)?(?<!/)>.*?</\1\s*"
+    r"|![a-z][^<>]*"
+    r"|/?(?!(?:script|style|textarea|xmp|iframe|noembed|noframes|plaintext)\b)[a-z][^<>\"']*+"
+    r"(?:\"[^\"]*+\"[^<>\"']*+|'[^']*+'[^<>\"']*+)*+)>"
 )
-_COMMENT = r"(?s)<!--(?!-?>).*?-->"
-_DOCTYPE = r"<![A-Za-z][^<>]*>"
-_HIDDEN = r"(?is)<(script|style)(?:\s[^<>]*)?(?<!/)>.*?</\1\s*>"
-_TAG = r"""</?[A-Za-z](?:[^<>"']|"[^"]*"|'[^']*')*>"""
 
 
 def strip(c: Column) -> Column:
@@ -45,12 +56,15 @@ def blank_to_null(c: Column) -> Column:
 
 def collapse(c: Column) -> Column:
     """One space for every run of white space, none at the ends."""
-    return strip(F.regexp_replace(c, _SPACE_RUN, " "))
+    has_wide = reduce(Column.__or__, [c.contains(space) for space in _WIDE_SPACES])
+    return F.trim(
+        F.when(has_wide, F.regexp_replace(c, _WIDE_SPACE_RUN, " ")).otherwise(F.regexp_replace(c, _SPACE_RUN, " "))
+    )
 
 
 def fold(c: Column) -> Column:
     """Case folding for comparisons (lower case, sharp s written as ss)."""
-    return F.replace(F.lower(c), F.lit("ß"), F.lit("ss"))
+    return F.when(c.contains("ß") | c.contains("ẞ"), F.regexp_replace(F.lower(c), "ß", "ss")).otherwise(F.lower(c))
 
 
 def code(c: Column) -> Column:
@@ -121,44 +135,54 @@ def _exact_text(markup: pd.Series) -> pd.Series:
 
 
 def _decode(c: Column) -> Column:
+    decoded = c
     for name, char in _ENTITIES:
-        c = F.replace(c, F.lit(name), F.lit(char))
-    return c
-
-
-def _native_parts(c: Column) -> tuple[Column, Column]:
-    """(text with markup removed and entities decoded once, whether that is provably exact)."""
-    visible = c
-    for pattern in (_COMMENT, _HIDDEN, _DOCTYPE):
-        visible = F.regexp_replace(visible, pattern, " ")
-    leftover = F.regexp_replace(visible, _TAG, " ")
-    once = _decode(leftover)
-    safe = ~visible.rlike(r"(?i)</?(script|style|textarea|xmp|iframe|noembed|noframes|plaintext)\b")
-    exact = (
-        safe
-        & ~c.contains("--!>")
-        & ~leftover.rlike(r"<[A-Za-z/!?]")
-        & ~leftover.rlike(_FOREIGN_ENTITY)
-        & ~once.rlike(_FOREIGN_ENTITY)
-    )
-    return once, exact
+        decoded = F.regexp_replace(decoded, name, char)
+    return F.when(c.rlike(_KNOWN_ENTITY), decoded).otherwise(c)
 
 
-def clean_html(c: Column) -> Column:
-    """HTML to plain text: hidden elements dropped, tags become breaks, entities decoded twice.
+def native_text(c: Column) -> Column:
+    """Plain text by native expressions: empty when nothing is left, null when not provably exact."""
+
+    def finish(once: Column) -> Column:
+        return F.when(~once.rlike(_FOREIGN_ENTITY), collapse(let(once, _decode)))
+
+    def entities(visible: Column) -> Column:
+        return (
+            F.when(visible.rlike("<[A-Za-z/!?]"), None)
+            .when(~visible.contains("&"), collapse(visible))
+            .when(~visible.rlike(_FOREIGN_ENTITY), let(let(visible, _decode), finish))
+        )
+
+    marked = c.contains("<")
+    visible = F.when(marked, F.regexp_replace(c, _MARKUP, " ")).otherwise(c)
+    return F.when(~marked & ~c.contains("&"), collapse(c)).when(~c.contains("--!>"), let(visible, entities))
 
-    Plain text and ordinary markup are handled by native expressions. Rows with anything
-    else (broken tags, rare entities) are the only ones handed to the vectorised reader; all
-    other rows cross to Python as nulls.
+
+def with_clean_text(df: DataFrame, texts: dict[str, Column]) -> DataFrame:
+    """Add cleaned text columns: hidden elements dropped, tags become breaks, entities decoded twice.
+
+    Plain text and ordinary markup are handled by native expressions. Rows with anything else
+    (broken tags, rare entities) are the only ones handed to the vectorised reader; all other
+    rows cross to Python as nulls. Each native result is computed once.
     """
-    marked = c.rlike("[<&]")
-    once, exact = _native_parts(c)
-    native = F.when(~marked, collapse(c)).when(exact, collapse(_decode(once)))
-    handed_over = F.when(marked & ~exact, c)
-    return F.nullif(F.coalesce(native, _exact_text(handed_over)), F.lit(""))
+    raw = {name: f"_raw_{name}" for name in texts}
+    native = {name: f"_native_{name}" for name in texts}
+    step = df.select("*", *[c.alias(raw[n]) for n, c in texts.items()])
+    step = step.select("*", *[native_text(F.col(raw[n])).alias(native[n]) for n in texts])
+    exact = {n: _exact_text(F.when(F.col(native[n]).isNull(), F.col(raw[n]))) for n in texts}
+    return step.select(
+        *df.columns,
+        *[F.nullif(F.coalesce(F.col(native[n]), exact[n]), F.lit("")).alias(n) for n in texts],
+    )
+
+
+def clean_html(c: Column) -> Column:
+    """Column form of :func:`with_clean_text`, for single uses."""
+    native = native_text(c)
+    return F.nullif(F.coalesce(native, _exact_text(F.when(native.isNull(), c))), F.lit(""))
 
 
 def clean_html_native(c: Column) -> Column:
-    """The all-native form of :func:`clean_html` for inputs known to be ordinary markup."""
-    once, _ = _native_parts(c)
-    return F.nullif(collapse(_decode(once)), F.lit(""))
+    """The all-native form, null where the text is not ordinary markup."""
+    return F.nullif(native_text(c), F.lit(""))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from broadsheet import fixed
 from broadsheet.functions import codes, text, times, urls
+from broadsheet.functions.expr import fence
 
 
 def payload_error() -> Column:
@@ -22,7 +23,8 @@ def payload_error() -> Column:
 
 def parse_payloads(raw: DataFrame) -> DataFrame:
     """Raw payload rows with the parsed value and ``payload_error``."""
-    return raw.withColumn("parsed", F.expr("try_parse_json(body)")).withColumn("payload_error", payload_error())
+    parsed = raw.withColumn("parsed", F.expr("try_parse_json(body)"))
+    return fence(parsed.withColumn("payload_error", payload_error()))
 
 
 def explode_records(parsed: DataFrame) -> DataFrame:
@@ -84,14 +86,14 @@ def map_records(records: DataFrame, countries: DataFrame, languages: DataFrame)
         F.when(F.col("url").isNull(), "url_invalid"),
         F.when(F.length("title") > fixed.TITLE_LENGTH, "title_too_long"),
     )
-    return shaped.select(
+    return fence(shaped.select(
         "*",
         F.lit(fixed.API_SOURCE_TYPE).alias("source_type"),
         F.lit(fixed.DEFAULT_CATEGORY).alias("primary_category"),
         reason.alias("reject_reason"),
         F.nullif(F.col("_url"), F.lit("")).alias("reject_source_id"),
         F.to_json(F.struct(F.col("record"))).alias("record_json"),
-    ).drop(*[c for c in shaped.columns if c.startswith("_")], "record")
+    ).drop(*[c for c in shaped.columns if c.startswith("_")], "record"))
 
 
 def newest_per_payload(mapped: DataFrame, limit_col: str = "max_records") -> DataFrame:

@@ -13,8 +13,10 @@ from pyspark.sql.types import StringType
 
 from broadsheet import fixed
 from broadsheet.functions import codes, text, times, urls
+from broadsheet.functions.expr import fence
 from broadsheet.operators.skew import skew_lookup
 from broadsheet.schemas import PARSED_FEED
+from broadsheet.session import cut
 
 # Entry fields by element name (local name, lower case).
 _TEXT_FIELDS = {
@@ -124,12 +126,12 @@ def parse_feeds(raw: DataFrame) -> DataFrame:
         F.col("_feed.entries").alias("entries"),
     )
     empty = F.col("n_entries") == 0
-    return shaped.withColumn(
+    return fence(shaped.withColumn(
         "payload_error",
         F.when(F.col("entries").isNull(), "entries_not_list")
         .when(F.col("parse_error").isNotNull() & empty, "parse_error_without_entries")
         .when((F.col("version") == "") & empty, "unknown_format_without_entries"),
-    )
+    ))
 
 
 def format_mismatch() -> Column:
@@ -184,21 +186,26 @@ def map_entries(entries: DataFrame) -> DataFrame:
     """
     e = F.col("entry")
     first = lambda arr: F.get(arr, F.lit(0))
-    clean = text.clean_html
-    # Lists beyond their first cleanable element are rare; a joined scan would need the exact
-    # reader per element, so each list is reduced natively to its non-blank elements first.
-    shown = lambda v: F.coalesce(text.clean_html_native(v), F.lit("")) != ""
-    content = first(F.filter(F.transform(e["content"], lambda c: c["value"]), shown))
-    author = first(F.filter(F.transform(e["authors"], lambda a: a["name"]), shown))
+    # A list is reduced to its first element with visible text; elements that native patterns
+    # cannot prove blank count as visible.
+    shown = lambda v: F.coalesce(v, F.lit("")).rlike(r"\S") & (F.coalesce(text.native_text(v), F.lit("?")) != "")
     images = urls.ascii_hosts(_image_candidates())
     valid_images = F.filter(F.transform(images, lambda u: urls.normalize_url(u, idna=False)), lambda u: u.isNotNull())
-    shaped = entries.select(
-        "*",
-        clean(e["title"]).alias("_title"),
+    cleaned = text.with_clean_text(
+        entries,
+        {
+            "_title": e["title"], "_summary": e["summary"], "_description": e["description"],
+            "_subtitle": e["subtitle"], "_author": e["author"],
+            "_content": first(F.filter(F.transform(e["content"], lambda c: c["value"]), shown)),
+            "_author_name": first(F.filter(F.transform(e["authors"], lambda a: a["name"]), shown)),
+        },
+    )
+    shaped = cleaned.select(
+        *entries.columns, "_title",
+        F.coalesce("_summary", "_description", "_subtitle").alias("_text"),
+        F.coalesce("_author", "_author_name").alias("_by"),
+        F.col("_content").alias("content"),
         urls.normalize_url(e["link"]).alias("url"),
-        F.coalesce(clean(e["summary"]), clean(e["description"]), clean(e["subtitle"])).alias("_description"),
-        clean(content).alias("content"),
-        F.coalesce(clean(e["author"]), clean(author)).alias("_author"),
         times.feed_time(e["published"], e["updated"], e["created"]).alias("published_at"),
         first(valid_images).alias("image_url"),
     )
@@ -209,11 +216,11 @@ def map_entries(entries: DataFrame) -> DataFrame:
         .when(F.col("url").isNull(), "link_invalid"),
         F.when(F.col("published_at").isNull(), "published_invalid"),
     )
-    return shaped.select(
+    return fence(shaped.select(
         "*",
         text.truncate(F.col("_title"), fixed.TITLE_LENGTH).alias("title"),
-        text.truncate(F.col("_description"), fixed.DESCRIPTION_LENGTH).alias("description"),
-        text.truncate(F.col("_author"), fixed.AUTHOR_LENGTH).alias("author"),
+        text.truncate(F.col("_text"), fixed.DESCRIPTION_LENGTH).alias("description"),
+        text.truncate(F.col("_by"), fixed.AUTHOR_LENGTH).alias("author"),
         F.lit(fixed.FEED_SOURCE_TYPE).alias("source_type"),
         F.col("default_category").alias("primary_category"),
         F.col("feed_language").alias("language_code"),
@@ -222,7 +229,7 @@ def map_entries(entries: DataFrame) -> DataFrame:
             text.blank_to_null(e["id"]), text.blank_to_null(e["guid"]), text.blank_to_null(e["link"])
         ).alias("reject_source_id"),
         F.to_json(e).alias("record_json"),
-    ).drop("_title", "_description", "_author", "entry")
+    ).drop("_title", "_text", "_by", "entry"))
 
 
 def decide_entries(mapped: DataFrame, as_of: Column) -> DataFrame:
@@ -242,7 +249,8 @@ def decide_entries(mapped: DataFrame, as_of: Column) -> DataFrame:
     judged = mapped.withColumn(
         "_candidate", F.coalesce(F.col("reject_reason").isNull() & fresh & matching, F.lit(False))
     ).withColumn("_key", F.when(F.col("reject_reason").isNull(), F.concat_ws("\x01", "payload_id", "url")))
-
+    # Three passes follow; parsing and cleaning happen once, before them.
+    judged = cut(judged, "feed-judged")
     winners = (
         judged.filter(F.col("_key").isNotNull())
         .groupBy("_key")
@@ -260,7 +268,7 @@ def decide_entries(mapped: DataFrame, as_of: Column) -> DataFrame:
         .filter((F.col("_rank") <= fixed.MAX_FEED_RECORDS) & (F.col("_rank") == F.col("cap")))
         .select(F.col("payload_id").alias("_lookup"), F.col("_win").alias("_end"))
     )
-    sizes = mapped.groupBy(F.col("payload_id").alias("_lookup")).agg(F.count("*").alias("_n"))
+    sizes = judged.groupBy(F.col("payload_id").alias("_lookup")).agg(F.count("*").alias("_n"))
     ends = ends.join(sizes, "_lookup")
     spread = F.concat_ws("\x01", "payload_id", F.col("pos").cast("string"))
     found = skew_lookup(judged, F.col("_key"), spread, winners.select("_key", "_win", "_n"), "_key", "_n")

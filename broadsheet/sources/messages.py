@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from broadsheet import fixed
 from broadsheet.functions import codes, text, times, urls
+from broadsheet.functions.expr import fence
 from broadsheet.schemas import ARTICLE_JSON, MESSAGE_JSON, QUEUE_EVENT_JSON, REQUEST_JSON
 
 
@@ -90,7 +91,7 @@ def parse_messages(df: DataFrame, body: str = "body") -> DataFrame:
         _length_error(m["state_detection_method"], "state_detection_method", 0, 100, required=False),
         F.when(~F.coalesce(F.col("retry_count").between(0, fixed.MAX_RETRY_COUNT), F.lit(False)), "retry_count_invalid"),
     )
-    return scored.select(
+    return fence(scored.select(
         *df.columns,
         F.coalesce(text.strip(m["schema_version"]), F.lit(fixed.MESSAGE_SCHEMA_VERSION)).alias("schema_version"),
         m["message_id"].alias("message_id"),
@@ -104,7 +105,7 @@ def parse_messages(df: DataFrame, body: str = "body") -> DataFrame:
         text.strip(m["state_detection_method"]).alias("state_detection_method"),
         "retry_count",
         error.alias("message_error"),
-    )
+    ))
 
 
 def article_errors() -> Column:
@@ -199,7 +200,7 @@ def parse_articles(df: DataFrame, payload: str, iso: DataFrame) -> DataFrame:
     identified = flat.withColumn(
         "article_id", F.coalesce(a["article_id"], article_key(F.col("source_name"), F.col("url")))
     )
-    return identified.withColumn("article_error", article_errors()).drop("_a", "_iso", "_a_extra")
+    return fence(identified.withColumn("article_error", article_errors()).drop("_a", "_iso", "_a_extra"))
 
 
 def article_key(provider: Column, url: Column) -> Column:
@@ -222,7 +223,7 @@ def parse_events(events: DataFrame, body: str = "body") -> tuple[DataFrame, Data
         .when(F.exists("_records", lambda r: record_id(r).isNull() | ~id_is_text(r)), "message_id_missing")
         .when(F.exists("_records", lambda r: text.strip(record_id(r)) == ""), "message_id_empty")
     )
-    checked = parsed.withColumn("event_error", error)
+    checked = fence(parsed.withColumn("event_error", error))
     keep = [c for c in events.columns if c != body]
     records = checked.filter(F.col("event_error").isNull()).select(
         *keep, F.posexplode("_records").alias("pos", "_record")
@@ -260,7 +261,7 @@ def parse_requests(df: DataFrame, body: str = "body") -> DataFrame:
         *request_rules("scheduled"),
         _length_error(F.col("source_id"), "source_id", 0, 200, required=False),
     )
-    return shaped.withColumn("request_error", error).drop("_valid", "_r")
+    return fence(shaped.withColumn("request_error", error).drop("_valid", "_r"))
 
 
 # Fixed values: (shortest query, longest query, most records) per kind of request.
