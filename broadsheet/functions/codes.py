@@ -12,38 +12,43 @@ SCORE_TYPE = "decimal(5,4)"
 WIDE_DECIMAL = "decimal(38,18)"
 
 
+_CATALOG_ROWS: dict[str, list[tuple]] = {}
+
+
 def country_catalog(spark: SparkSession) -> DataFrame:
     """(country_code, country_name, lookup_key): ISO 3166 by code, three-letter code and names.
 
     The codes and English names come from the locale data on Spark's own class path; the formal
     ISO names that differ are added from a short fixed list. About 250 countries in total.
     """
-    jvm = spark._jvm
-    english = jvm.java.util.Locale("en")
-    rows = []
-    for code in jvm.java.util.Locale.getISOCountries():
-        place = jvm.java.util.Locale("und", code)
-        common = place.getDisplayCountry(english)
-        formal = FORMAL_COUNTRY_NAMES.get(code, ())
-        name = formal[0] if formal else common.replace(" & ", " and ")
-        keys = {code, place.getISO3Country(), common, common.replace(" & ", " and "), *formal}
-        rows += [(code, name, key.lower()) for key in sorted(keys) if key]
-    return spark.createDataFrame(rows, "country_code string, country_name string, lookup_key string")
+    if "countries" not in _CATALOG_ROWS:
+        locale = spark._jvm.java.util.Locale
+        english, rows = locale("en"), []
+        for code in locale.getISOCountries():
+            place = locale("und", code)
+            common = place.getDisplayCountry(english)
+            formal = FORMAL_COUNTRY_NAMES.get(code, ())
+            name = formal[0] if formal else common.replace(" & ", " and ")
+            keys = {code, place.getISO3Country(), common, common.replace(" & ", " and "), *formal}
+            rows += [(code, name, key.lower()) for key in sorted(keys) if key]
+        _CATALOG_ROWS["countries"] = rows
+    return spark.createDataFrame(
+        _CATALOG_ROWS["countries"], "country_code string, country_name string, lookup_key string"
+    )
 
 
 def language_catalog(spark: SparkSession) -> DataFrame:
     """(language_code, lookup_key): ISO 639 two-letter code where one exists, else three-letter."""
-    locales = spark._jvm.com.ibm.icu.util.ULocale
-    english = locales("en")
-    rows = []
-    for code in locales.getISOLanguages():
-        language = locales(code)
-        keys = {code, language.getISO3Language(), language.getDisplayLanguage(english)}
-        rows += [(code.lower(), key.lower()) for key in sorted(keys) if key]
-    catalog = spark.createDataFrame(rows, "language_code string, lookup_key string")
-    return catalog.groupBy("lookup_key").agg(
-        F.min_by("language_code", F.struct(F.length("language_code"), "language_code")).alias("language_code")
-    )
+    if "languages" not in _CATALOG_ROWS:
+        locale = spark._jvm.com.ibm.icu.util.ULocale
+        english, best = locale("en"), {}
+        for code in sorted(locale.getISOLanguages(), key=lambda c: (len(c), c)):
+            language = locale(code)
+            for key in (code, language.getISO3Language(), language.getDisplayLanguage(english)):
+                if key:
+                    best.setdefault(key.lower(), code.lower())
+        _CATALOG_ROWS["languages"] = [(code, key) for key, code in best.items()]
+    return spark.createDataFrame(_CATALOG_ROWS["languages"], "language_code string, lookup_key string")
 
 
 def with_country_code(df: DataFrame, name_col: str, out: str, catalog: DataFrame) -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import html
-from functools import reduce
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -56,7 +55,7 @@ def blank_to_null(c: Column) -> Column:
 
 def collapse(c: Column) -> Column:
     """One space for every run of white space, none at the ends."""
-    has_wide = reduce(Column.__or__, [c.contains(space) for space in _WIDE_SPACES])
+    has_wide = F.exists(F.lit(_WIDE_SPACES), lambda space: F.contains(c, space))
     return F.trim(
         F.when(has_wide, F.regexp_replace(c, _WIDE_SPACE_RUN, " ")).otherwise(F.regexp_replace(c, _SPACE_RUN, " "))
     )
@@ -135,28 +134,26 @@ def _exact_text(markup: pd.Series) -> pd.Series:
 
 
 def _decode(c: Column) -> Column:
-    decoded = c
-    for name, char in _ENTITIES:
-        decoded = F.regexp_replace(decoded, name, char)
-    return F.when(c.rlike(_KNOWN_ENTITY), decoded).otherwise(c)
+    pairs = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(ch).alias("char")) for n, ch in _ENTITIES])
+    one = lambda text, e: F.when(F.contains(text, e["name"]), F.replace(text, e["name"], e["char"])).otherwise(text)
+    return F.when(c.rlike(_KNOWN_ENTITY), F.aggregate(pairs, c, one)).otherwise(c)
 
 
 def native_text(c: Column) -> Column:
     """Plain text by native expressions: empty when nothing is left, null when not provably exact."""
 
-    def finish(once: Column) -> Column:
-        return F.when(~once.rlike(_FOREIGN_ENTITY), collapse(let(once, _decode)))
-
     def entities(visible: Column) -> Column:
+        twice = lambda once: F.when(~once.rlike(_FOREIGN_ENTITY), _decode(once))
         return (
             F.when(visible.rlike("<[A-Za-z/!?]"), None)
-            .when(~visible.contains("&"), collapse(visible))
-            .when(~visible.rlike(_FOREIGN_ENTITY), let(let(visible, _decode), finish))
+            .when(~visible.contains("&"), visible)
+            .when(~visible.rlike(_FOREIGN_ENTITY), let(_decode(visible), twice))
         )
 
     marked = c.contains("<")
-    visible = F.when(marked, F.regexp_replace(c, _MARKUP, " ")).otherwise(c)
-    return F.when(~marked & ~c.contains("&"), collapse(c)).when(~c.contains("--!>"), let(visible, entities))
+    visible = F.when(~marked, c).when(~c.contains("--!>"), F.regexp_replace(c, _MARKUP, " "))
+    text = F.when(~marked & ~c.contains("&"), c).otherwise(let(visible, entities))
+    return let(text, collapse)
 
 
 def with_clean_text(df: DataFrame, texts: dict[str, Column]) -> DataFrame:

@@ -92,6 +92,12 @@ def timespan_seconds(c: Column) -> Column:
     )
 
 
+def iso_text(ts: Column) -> Column:
+    """UTC ISO text of a timestamp, with microseconds only where there are some."""
+    whole = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ssxxx")
+    return F.when(F.unix_micros(ts) % 1000000 == 0, whole).otherwise(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"))
+
+
 def utc_parts(ts: Column) -> dict[str, Column]:
     """Zero-padded partition columns of a timestamp (session clock is UTC)."""
     return {

@@ -73,8 +73,9 @@ def _collisions(undecided: DataFrame, accepted: DataFrame | None, pending: bool,
     Adds columns new_<kind> (struct seq, id) and, when ``pending``, wait_<kind> (seq).
     """
     entry = lambda key, acc, wait, n: (key.alias("key"), acc.alias("acc"), wait.alias("wait"), n.alias("n"))
-    id_type = "struct<seq: bigint, article_id: string>"
-    no_acc, no_wait, none, one = F.lit(None).cast(id_type), F.lit(None).cast("bigint"), F.lit(0), F.lit(1)
+    seq_type = undecided.schema["seq"].dataType.simpleString()
+    id_type = f"struct<seq: {seq_type}, article_id: string>"
+    no_acc, no_wait, none, one = F.lit(None).cast(id_type), F.lit(None).cast(seq_type), F.lit(0), F.lit(1)
     sides = [undecided.select(F.explode(_keys(_PROBES)).alias("k")).select(*entry(F.col("k"), no_acc, no_wait, one))]
     if pending:
         sides.append(
@@ -111,7 +112,7 @@ def dedup_ordered(
 ) -> DataFrame:
     """The general decision over url, content hash, canonical url and id, in ``seq`` order.
 
-    Input: seq (unique, not negative), article_id, url, canonical_url, content_hash, and
+    Input: seq (unique; a non-negative number or a non-empty text), article_id, url, canonical_url, content_hash, and
     ``unfit`` for rows that will fail for their own content (they can be duplicates but
     provide nothing). Returns seq, status, duplicate_of, duplicate_reason.
 
@@ -121,15 +122,17 @@ def dedup_ordered(
     Stored articles are consulted once, before the first round.
     """
     names = ["seq", "article_id", "url", "canonical_url", "content_hash", "unfit"]
-    start = incoming.select(F.col("seq").cast("bigint"), *names[1:])
+    start = incoming.select(*names)
+    seq_type = start.schema["seq"].dataType.simpleString()
+    before_all = F.lit("" if seq_type == "string" else -1).cast(seq_type)
     best = [f"best_{k}" for k, _ in _PROBES]
     if stored is None:
         undecided = start.select(
-            "*", *[F.lit(None).cast("struct<seq: bigint, article_id: string>").alias(b) for b in best]
+            "*", *[F.lit(None).cast(f"struct<seq: {seq_type}, article_id: string>").alias(b) for b in best]
         )
     else:
         past = stored.select(
-            F.lit(-1).cast("bigint").alias("seq"), F.col("id").alias("article_id"), "url", "canonical_url",
+            before_all.alias("seq"), F.col("id").alias("article_id"), "url", "canonical_url",
             "content_hash",
         )
         first = _collisions(cut(start, "dedup-in"), past, False, hot_rows)

@@ -58,12 +58,9 @@ def article_uri(bucket: str, layer: str = "processed") -> Column:
 
 
 def canonical_json(columns: Mapping[str, Column]) -> Column:
-    """Compact JSON with keys in sorted order and UTC ISO times; nulls are kept."""
+    """Compact JSON with keys in sorted order; nulls are kept. Times go in as ``iso_text``."""
     ordered = [columns[name].alias(name) for name in sorted(columns)]
-    return F.to_json(
-        F.struct(*ordered),
-        {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]xxx", "ignoreNullFields": "false"},
-    )
+    return F.to_json(F.struct(*ordered), {"ignoreNullFields": "false"})
 
 
 def raw_envelopes(raw: DataFrame) -> DataFrame:
@@ -113,7 +110,9 @@ def write_layer(
     parts.update({n: text.slug((extra or {})[n]) for n in names})
     parts.update(times.utc_parts(F.col(time_col)))
     path = f"{root}/{fixed.LAYER_PREFIXES[layer]}"
-    df.withColumns(parts).write.mode("append").partitionBy(*parts).parquet(path)
+    # Rebalancing gathers each partition into few files and splits a hot one over many tasks.
+    rebalanced = df.withColumns(parts).hint("rebalance", *parts)
+    rebalanced.write.mode("append").partitionBy(*parts).parquet(path)
     return path
 
 

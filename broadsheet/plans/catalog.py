@@ -1,8 +1,10 @@
 """All registered queries (importing the sections registers them)."""
 
 from broadsheet.plans import (  # noqa: F401
+    lookups,
     mapping,
     scans,
+    serve,
     sinks,
     validation,
 )

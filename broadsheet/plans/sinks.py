@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.functions import text
+from broadsheet.functions import text, times
 from broadsheet.operators import conform, dedup, lake
 from broadsheet.plans.bindings import Tables, stamp
 from broadsheet.plans.registry import query
@@ -21,9 +21,9 @@ def slug_sql(c: str) -> str:
 
 
 @query("b1_raw_layer_append", sql="""
-SELECT 'search-api' AS p_provider, strftime(at, '%Y') AS year, strftime(at, '%m') AS month, strftime(at, '%d') AS day,
-       strftime(at, '%H') AS hour, count(*) AS payloads
-FROM (SELECT event_id // 100 AS payload, max(ts) AS at FROM events GROUP BY 1) GROUP BY ALL""")
+SELECT 'search-api' AS p_provider, strftime(seen, '%Y') AS year, strftime(seen, '%m') AS month, strftime(seen, '%d') AS day,
+       strftime(seen, '%H') AS hour, count(*) AS payloads
+FROM (SELECT event_id // 100 AS payload, max(ts) AS seen FROM events GROUP BY 1) GROUP BY ALL""")
 def b1(t: Tables) -> DataFrame:
     """Land raw payloads by provider and collection hour, then count what was committed."""
     path = lake.write_layer(lake.raw_envelopes(t.api_payloads), scratch_path(t.spark, "lake"), "raw", "collected_at")
@@ -88,7 +88,7 @@ SELECT o_orderkey, '{"day":"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S+00:00'
 def b6(t: Tables) -> DataFrame:
     document = lake.canonical_json({
         "status": F.col("o_orderstatus"), "key": F.col("o_orderkey"), "priority": F.col("o_orderpriority"),
-        "day": F.col("o_orderdate").cast("timestamp"), "note": F.lit(None).cast("string"),
+        "day": times.iso_text(F.col("o_orderdate").cast("timestamp")), "note": F.lit(None).cast("string"),
     })
     return t.base("orders").select("o_orderkey", document.alias("document"))
 
