@@ -1,8 +1,11 @@
 """All registered queries (importing the sections registers them)."""
 
 from broadsheet.plans import (  # noqa: F401
+    changes,
     lookups,
     mapping,
+    queueing,
+    scalars,
     scans,
     serve,
     sinks,
