@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from broadsheet.fixed import FORMAL_COUNTRY_NAMES, UNKNOWN_LANGUAGE
+from broadsheet.functions.expr import let
 from broadsheet.functions.text import fold, strip
 
 SCORE_TYPE = "decimal(5,4)"
@@ -96,29 +97,36 @@ def normalized_entries(scores: Column) -> Column:
 
 def scores_error(scores: Column) -> Column:
     """Reason a relevance map is refused, null when it is fine (null maps are empty maps)."""
-    entries = normalized_entries(scores)
-    return (
-        F.when(scores.isNull(), None)
-        .when(F.exists(entries, lambda e: e["code"] == ""), "score_code_empty")
-        .when(F.exists(entries, lambda e: e["score"].isNull()), "score_not_numeric")
-        .when(F.exists(entries, lambda e: ~score_in_range(e["score"])), "score_out_of_range")
-    )
+
+    def rules(entries: Column) -> Column:
+        return (
+            F.when(F.exists(entries, lambda e: e["code"] == ""), "score_code_empty")
+            .when(F.exists(entries, lambda e: e["score"].isNull()), "score_not_numeric")
+            .when(F.exists(entries, lambda e: ~score_in_range(e["score"])), "score_out_of_range")
+        )
+
+    return F.when(scores.isNotNull(), let(normalized_entries(scores), rules))
 
 
 def normalized_scores(scores: Column) -> Column:
     """Upper-case codes to stored scores; of two spellings of a code the later one stays."""
-    entries = normalized_entries(scores)
-    last = F.filter(
-        entries,
-        lambda e, i: ~F.exists(
-            F.slice(entries, i + 2, F.greatest(F.size(entries) - i - 1, F.lit(0))),
-            lambda later: later["code"] == e["code"],
-        ),
-    )
-    narrowed = F.transform(
-        last, lambda e: F.struct(e["code"].alias("key"), e["score"].try_cast(SCORE_TYPE).alias("value"))
-    )
-    return F.when(scores.isNotNull(), F.map_from_entries(narrowed))
+
+    def build(entries: Column) -> Column:
+        repeated = F.size(F.array_distinct(F.transform(entries, lambda e: e["code"]))) < F.size(entries)
+        last = F.filter(
+            entries,
+            lambda e, i: ~F.exists(
+                F.slice(entries, i + 2, F.greatest(F.size(entries) - i - 1, F.lit(0))),
+                lambda later: later["code"] == e["code"],
+            ),
+        )
+        narrowed = F.transform(
+            F.when(repeated, last).otherwise(entries),
+            lambda e: F.struct(e["code"].alias("key"), e["score"].try_cast(SCORE_TYPE).alias("value")),
+        )
+        return F.map_from_entries(narrowed)
+
+    return F.when(scores.isNotNull(), let(normalized_entries(scores), build))
 
 
 def matches_query(query: Column, *texts: Column) -> Column:

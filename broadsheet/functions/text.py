@@ -84,9 +84,13 @@ def slug(c: Column) -> Column:
 
 def keyword_list(words: Column) -> Column:
     """Trimmed, non-empty keywords; the first spelling of each word (ignoring case) stays."""
-    kept = F.filter(F.transform(words, strip), lambda w: w != "")
-    folded = F.transform(kept, fold)
-    return F.filter(kept, lambda w, i: F.array_position(folded, fold(w)) == i + 1)
+    pairs = F.transform(F.filter(F.transform(words, strip), lambda w: w != ""), lambda w: F.struct(w.alias("w"), fold(w).alias("f")))
+
+    def first_spellings(kept: Column) -> Column:
+        folded = kept["f"]
+        return F.transform(F.filter(kept, lambda p, i: F.array_position(folded, p["f"]) == i + 1), lambda p: p["w"])
+
+    return let(pairs, first_spellings)
 
 
 def code_list(codes: Column) -> Column:

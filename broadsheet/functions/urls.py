@@ -128,7 +128,13 @@ def normalize_url(c: Column, idna: bool = True) -> Column:
         F.regexp_extract(url, _URL, 6).alias("query"),
         F.regexp_extract(url, _URL, 7).alias("fragment"),
     )
-    normal = F.when(url.rlike(_NORMAL) & ~url.rlike(_DOTS), url).when(url.rlike(_URL), let(parts, _rebuild))
+    # Most other URLs only need their scheme and host in lower case, or the bare "/" path.
+    head = F.lower(F.substring_index(url, "/", 3))
+    tail = F.substr(url, F.length(head) + 1)
+    lowered = F.concat(head, F.when(tail == "", F.lit("/")).otherwise(tail))
+    is_normal = lambda u: u.rlike(_NORMAL) & ~u.rlike(_DOTS)
+    slow = F.when(url.rlike(_URL), let(parts, _rebuild))
+    normal = F.coalesce(F.when(is_normal(url), url), let(lowered, lambda u: F.when(is_normal(u), u)), slow)
     return let(normal, lambda n: F.when(F.length(n) <= MAX_URL_LENGTH, n))
 
 

@@ -67,7 +67,12 @@ def parse_messages(df: DataFrame, body: str = "body") -> DataFrame:
         text.code(m["primary_state_code"]).alias("primary_state_code"),
         _whole_number(m["retry_count"], 0).alias("retry_count"),
     )
-    state_codes = F.map_keys(codes.normalized_scores(F.col("_state_scores")))
+    scored = scored.select(
+        "*",
+        *[codes.scores_error(F.col(f"_{n}")).alias(f"_{n}_error") for n in ("country_scores", "state_scores")],
+        *[codes.normalized_scores(F.col(f"_{n}")).alias(n) for n in ("country_scores", "state_scores")],
+    )
+    state_codes = F.map_keys("state_scores")
     no_codes = F.array().cast("array<string>")
     error = F.coalesce(
         F.when(~F.col("_valid"), "invalid_json"),
@@ -79,9 +84,9 @@ def parse_messages(df: DataFrame, body: str = "body") -> DataFrame:
         _length_error(m["raw_s3_uri"], "raw_uri", 6, 2048),
         F.when(~_is_object(m["article_payload"]), "article_payload_not_object"),
         F.when(m["country_scores"].isNotNull() & ~_is_object(m["country_scores"]), "country_scores_not_object"),
-        codes.scores_error(F.col("_country_scores")),
+        F.col("_country_scores_error"),
         F.when(m["state_scores"].isNotNull() & ~_is_object(m["state_scores"]), "state_scores_not_object"),
-        codes.scores_error(F.col("_state_scores")),
+        F.col("_state_scores_error"),
         F.when(F.length("primary_state_code") > 20, "primary_state_invalid"),
         F.when(
             F.col("primary_state_code").isNotNull()
@@ -99,8 +104,7 @@ def parse_messages(df: DataFrame, body: str = "body") -> DataFrame:
         text.strip(m["provider"]).alias("provider"),
         text.strip(m["raw_s3_uri"]).alias("raw_s3_uri"),
         m["article_payload"].alias("article_payload"),
-        codes.normalized_scores(F.col("_country_scores")).alias("country_scores"),
-        codes.normalized_scores(F.col("_state_scores")).alias("state_scores"),
+        "country_scores", "state_scores",
         "primary_state_code",
         text.strip(m["state_detection_method"]).alias("state_detection_method"),
         "retry_count",
@@ -131,7 +135,7 @@ def article_errors() -> Column:
         ),
         _length_error(a["author"], "author", 0, fixed.AUTHOR_LENGTH, required=False),
         F.when(F.col("published_at").isNull(), "published_at_invalid"),
-        F.when(a["collected_at"].isNotNull() & times.iso_time(a["collected_at"]).isNull(), "collected_at_invalid"),
+        F.when(a["collected_at"].isNotNull() & F.col("collected_at").isNull(), "collected_at_invalid"),
         F.when(~one_of(a["primary_category"], fixed.CATEGORIES), "category_invalid"),
         F.when(~one_of(a["sentiment"], fixed.SENTIMENTS), "sentiment_invalid"),
         F.when(
