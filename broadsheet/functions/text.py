@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from broadsheet.functions.expr import let
+from broadsheet.functions.expr import fence, let
 
 # Every character that counts as white space when text is stripped or split.
 WHITE_SPACE = (
@@ -172,10 +172,8 @@ def with_clean_text(df: DataFrame, texts: dict[str, Column]) -> DataFrame:
     step = df.select("*", *[c.alias(raw[n]) for n, c in texts.items()])
     step = step.select("*", *[native_text(F.col(raw[n])).alias(native[n]) for n in texts])
     exact = {n: _exact_text(F.when(F.col(native[n]).isNull(), F.col(raw[n]))) for n in texts}
-    return step.select(
-        *df.columns,
-        *[F.nullif(F.coalesce(F.col(native[n]), exact[n]), F.lit("")).alias(n) for n in texts],
-    )
+    cleaned = [F.nullif(F.coalesce(F.col(native[n]), exact[n]), F.lit("")).alias(n) for n in texts]
+    return fence(step.select(*df.columns, *cleaned))
 
 
 def clean_html(c: Column) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet.functions import text, urls
+from broadsheet.functions.expr import fence
 from broadsheet.operators import dedup, rankings, serving
 from broadsheet.plans.bindings import Tables, stamp
 from broadsheet.plans.lookups import SNAPSHOT_DATE, TS
@@ -78,10 +79,11 @@ SELECT host, rank, page_id, title FROM (
 def h9(t: Tables) -> DataFrame:
     """Flagship: pages cleaned, validated, deduplicated by url, newest ten per source host."""
     title = F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1)
-    entries = text.with_clean_text(t.base("pages").select("page_id", "url", "html"), {"title": title}).select(
+    pages = t.base("pages").select("page_id", "url", title.alias("raw_title"))
+    entries = fence(text.with_clean_text(pages, {"title": F.col("raw_title")}).select(
         F.col("page_id").alias("seq"), urls.normalize_url(F.col("url")).alias("url"), "title",
         F.sha2(F.concat_ws("|", F.lit("page"), "url"), 256).alias("article_id"),
-    )
+    ))
     valid = entries.filter(F.col("title").isNotNull() & F.col("url").isNotNull())
     kept = dedup.dedup_by_url(valid, None).filter(F.col("status") == dedup.STORED)
     hosted = kept.select(F.col("seq").alias("page_id"), urls.url_netloc(F.col("url")).alias("host"), "title")
