@@ -55,15 +55,18 @@ def blank_to_null(c: Column) -> Column:
 
 def collapse(c: Column) -> Column:
     """One space for every run of white space, none at the ends."""
-    has_wide = F.exists(F.lit(_WIDE_SPACES), lambda space: F.contains(c, space))
-    return F.trim(
-        F.when(has_wide, F.regexp_replace(c, _WIDE_SPACE_RUN, " ")).otherwise(F.regexp_replace(c, _SPACE_RUN, " "))
-    )
+
+    def one_space(v: Column) -> Column:
+        has_wide = F.exists(F.lit(_WIDE_SPACES), lambda space: F.contains(v, space))
+        pattern_free = F.regexp_replace(v, _SPACE_RUN, " ")
+        return F.trim(F.when(has_wide, F.regexp_replace(v, _WIDE_SPACE_RUN, " ")).otherwise(pattern_free))
+
+    return let(c, one_space)
 
 
 def fold(c: Column) -> Column:
     """Case folding for comparisons (lower case, sharp s written as ss)."""
-    return F.when(c.contains("ß") | c.contains("ẞ"), F.regexp_replace(F.lower(c), "ß", "ss")).otherwise(F.lower(c))
+    return let(F.lower(c), lambda v: F.when(v.contains("ß"), F.regexp_replace(v, "ß", "ss")).otherwise(v))
 
 
 def code(c: Column) -> Column:
@@ -157,7 +160,7 @@ def native_text(c: Column) -> Column:
     marked = c.contains("<")
     visible = F.when(~marked, c).when(~c.contains("--!>"), F.regexp_replace(c, _MARKUP, " "))
     text = F.when(~marked & ~c.contains("&"), c).otherwise(let(visible, entities))
-    return let(text, collapse)
+    return collapse(text)
 
 
 def with_clean_text(df: DataFrame, texts: dict[str, Column]) -> DataFrame:

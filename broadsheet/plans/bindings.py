@@ -57,6 +57,17 @@ class Tables:
     def base(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def spread(self, name: str) -> DataFrame:
+        """A base table over at least as many partitions as there are cores.
+
+        Only a file too small to be split is redistributed, so that per-row parsing uses all
+        cores; large tables are scanned as they are.
+        """
+        df = self.base(name)
+        cores = self.spark.sparkContext.defaultParallelism
+        small = df.rdd.getNumPartitions() < cores
+        return df.repartition(cores) if small else df
+
     @cached_property
     def countries(self) -> DataFrame:
         return codes.country_catalog(self.spark)
@@ -102,7 +113,7 @@ class Tables:
     def docs(self) -> DataFrame:
         """documents as articles (flat layout plus doc_id and seq)."""
         url = F.expr("concat('https://', source, '.example.com/', lang, '/', doc_id)")
-        first = text.collapse(F.split_part("text", F.lit("."), F.lit(1)))
+        first = text.collapse(F.substring_index("text", ".", 1))
         title = F.coalesce(F.nullif(text.truncate(first, fixed.TITLE_LENGTH), F.lit("")), F.lit("Untitled"))
         published = F.expr(
             "timestamp'2026-06-01 00:00:00' + make_dt_interval(0, 0, cast(doc_id % 525600 as int), 0)"
@@ -424,7 +435,7 @@ class Tables:
             F.expr("if(event_id % 53 = 4, 1, null)").alias("surprise"),
         )
         body = F.to_json(message)
-        return self.base("events").select(
+        return self.spread("events").select(
             "event_id", "user_id", "ts", "value",
             F.when(F.expr("event_id % 59 = 7"), F.concat(F.lit("{"), body)).otherwise(body).alias("body"),
         )

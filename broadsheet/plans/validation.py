@@ -65,7 +65,7 @@ def score_maps(t: Tables) -> DataFrame:
         F.array(F.expr("concat(' s', l_suppkey % 25, ' ')"), F.expr("if(l_linenumber = 7, '  ', concat('S', l_suppkey % 25))")),
         F.array(number("l_discount"), F.when(F.col("l_quantity") > 48, F.format_string("%.2f", F.col("l_quantity"))).otherwise(number("l_tax"))),
     )
-    return t.base("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", scores.alias("scores"))
+    return t.spread("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", scores.alias("scores"))
 
 
 @query("d6_relevance_scores", sql="""
