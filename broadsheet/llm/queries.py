@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import quality_rules
-from broadsheet.llm.common import table
+from broadsheet.llm import quality_rules, toxicity
+from broadsheet.llm.common import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,3 +27,18 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
         "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
     )]
     return judged.select("doc_id", *base, F.col("_kept").alias("kept"))
+
+
+@query
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity score and spans of every document; one fold of the labels is never learnt from."""
+    docs = table(spark, folder, "documents")
+    labels = table(spark, folder, "labels").filter(id_remainder(F.col("doc_id"), 3) != 1)
+    scored = docs.select("doc_id", toxicity.toxic_column(docs, labels).alias("_t"))
+    return scored.select(
+        "doc_id",
+        (id_remainder(F.col("doc_id"), 3) == 1).alias("held_out"),
+        F.col("_t.score").alias("score"),
+        (F.col("_t.score") >= 0.7).cast("int").alias("predicted"),
+        F.col("_t.spans").alias("spans"),
+    )
