@@ -1,11 +1,12 @@
 """Toxic spans by a linear-chain conditional random field with two tags.
 
 Only documents are labelled, so token labels are derived from them: a token of a toxic document is
-labelled toxic when one of its features (the word, or one of its prefixes) is far more frequent, by
-documents, in toxic than in clean ones; all other tokens are labelled clean. The field has a bias,
+labelled toxic when one of its features (the word, or one of its prefixes) marks toxicity: it is far more
+frequent, by documents, in toxic than in clean ones, and either occurs in a good part of the toxic documents or
+explains toxic documents that no stronger mark explains. All other tokens are labelled clean. The field has a bias,
 one weight per selected feature, and the tag transitions. It is fitted by gradient ascent with exact
-forward-backward sums over sentences of at most ``WINDOW`` tokens; sentences without any selected
-feature are alike and enter once, with their count as weight.
+forward-backward sums over sentences of at most ``WINDOW`` tokens; sentences with the same features and
+tags are alike and enter once, with their count as weight.
 
 Scoring runs forward-backward over each whole text. Tokens without a selected feature all have the same
 factor, so a run of them is one power of the transition matrix and costs one step. Marginals give the
@@ -34,9 +35,9 @@ from pyspark.sql.functions import pandas_udf
 
 WORD = re.compile(r"\w+")
 PREFIXES = (3, 4, 5, 6)
-WINDOW = 32
+WINDOW = 16
 SPAN_LEVEL = 0.5
-MAX_TOXIC, MAX_CLEAN = 2_000, 4_000
+MAX_TOXIC, MAX_CLEAN = 1_500, 2_500
 #: Known words are remembered per task up to this many, then forgotten.
 CACHE = 400_000
 
@@ -82,33 +83,47 @@ def _document_counts(docs: Iterable[list[str]], known: set[str] | None = None) -
     return counts
 
 
-def select_features(docs: list[tuple[list[str], int]], min_docs: int = 3, min_evidence: float = 15.0) -> dict[str, float]:
-    """Features more frequent in toxic documents, with their log ratio; evidence is the likelihood ratio G2."""
+def _evidence(n: int, m: int, n_all: int, m_all: int) -> float:
+    """Likelihood ratio G2 of n of n_all toxic against m of m_all clean documents."""
+    share, total = n_all / (n_all + m_all), n + m
+    return 2 * (n * math.log(n / (total * share)) + (m * math.log(m / (total * (1 - share))) if m else 0))
+
+
+def select_features(
+    docs: list[tuple[list[str], int]], min_docs: int = 3, min_evidence: float = 15.0, min_ratio: float = 2.5, common: float = 0.03
+) -> tuple[set[str], set[str]]:
+    """Features of the field, and those among them that mark a token of a toxic document as toxic."""
     toxic, clean = [w for w, y in docs if y], [w for w, y in docs if not y]
     if not toxic or not clean:
-        return {}
+        return set(), set()
     a = {f: n for f, n in _document_counts(toxic).items() if n >= min_docs}
     b = _document_counts(clean, set(a))
-    chosen = {}
-    share = len(toxic) / len(docs)
+    chosen, strong = set(), set()
     for f, n in a.items():
-        m = b.get(f, 0)
-        ratio = math.log((n + 0.5) / (len(toxic) + 1)) - math.log((m + 0.5) / (len(clean) + 1))
-        total = n + m
-        evidence = 2 * (n * math.log(n / (total * share)) + (m * math.log(m / (total * (1 - share))) if m else 0))
-        if ratio > 1 and evidence >= min_evidence:
-            chosen[f] = ratio
-    return chosen
-
-
-def fit(texts: list[tuple[str, int]], steps: int = 150, rate: float = 0.15, penalty: float = 0.02, strong: float = 2.5) -> dict:
+        ratio = math.log((n + 0.5) / (len(toxic) + 1)) - math.log((b.get(f, 0) + 0.5) / (len(clean) + 1))
+        if ratio > 1 and _evidence(n, b.get(f, 0), len(toxic), len(clean)) >= min_evidence:
+            chosen.add(f)
+            if ratio >= min_ratio:
+                strong.add(f)
+    marks = {f for f in strong if a[f] >= common * len(toxic)}
+    left = [found for w in toxic if not (found := {f for x in set(w) for f in features(x)} & strong) & marks]
+    while left:
+        support = Counter(f for found in left for f in found)
+        best = max(support, key=lambda f: (_evidence(support[f], b.get(f, 0), len(toxic), len(clean)), f), default=None)
+        if best is None or support[best] < min_docs or _evidence(support[best], b.get(best, 0), len(toxic), len(clean)) < min_evidence:
+            break
+        marks.add(best)
+        left = [found for found in left if best not in found]
+    return chosen, marks
+
+
+def fit(texts: list[tuple[str, int]], steps: int = 80, rate: float = 0.25, penalty: float = 0.02) -> dict:
     """Weights of the field: bias, start, trans (2 x 2) and one weight per feature."""
     docs = _without_copies(texts)
-    ratios = select_features(docs)
-    index = {f: i for i, f in enumerate(ratios)}
+    chosen, marks = select_features(docs)
+    index = {f: i for i, f in enumerate(sorted(chosen))}
     of_word: dict[str, tuple[int, ...]] = {}
-    sentences: list[tuple[int, list[tuple[int, tuple[int, ...], int]]]] = []
-    plain: Counter = Counter()
+    alike: Counter = Counter()  # (length, ((position, feature ids, tag), ...)) of sentences
     for words, toxic in docs:
         for start in range(0, len(words), WINDOW):
             part, hits = words[start : start + WINDOW], []
@@ -117,26 +132,24 @@ def fit(texts: list[tuple[str, int]], steps: int = 150, rate: float = 0.15, pena
                 if ids is None:
                     ids = of_word[word] = tuple(index[f] for f in features(word) if f in index)
                 if ids:
-                    label = int(toxic and max(ratios[f] for f in features(word) if f in index) >= strong)
+                    label = int(toxic and not marks.isdisjoint(features(word)))
                     hits.append((t, ids, label))
-            if hits:
-                sentences.append((len(part), hits))
-            else:
-                plain[len(part)] += 1
-    if not index or not sentences:
+            alike[len(part), tuple(hits)] += 1
+    if not index:
         return {"bias": -6.0, "trans": [[0.0, 0.0], [0.0, 0.0]], "weights": {}}
-    lengths = np.array([n for n, _ in sentences] + list(plain))
-    counts = np.array([1.0] * len(sentences) + list(plain.values()))
+    lengths = np.array([n for n, _ in alike])
+    counts = np.array(list(alike.values()), dtype=float)
     n, tags = len(lengths), np.zeros((WINDOW, len(lengths)), dtype=np.int8)
     at, feature = [], []
-    for s, (_, hits) in enumerate(sentences):
+    for s, (_, hits) in enumerate(alike):
         for t, ids, label in hits:
             tags[t, s] = label
             at += [t * n + s] * len(ids)
             feature += ids
     at, feature = np.array(at), np.array(feature)
+    times = counts[at % n]
     inside = np.arange(WINDOW)[:, None] < lengths
-    observed_weight = np.bincount(feature, tags.ravel()[at], len(index))
+    observed_weight = np.bincount(feature, tags.ravel()[at] * times, len(index))
     observed_bias = float((tags * inside * counts).sum())
     pair = (inside[1:] * counts).astype(float)
     observed_trans = np.array([[((tags[:-1] == i) & (tags[1:] == j)).astype(float).ravel() @ pair.ravel() for j in (0, 1)] for i in (0, 1)])
@@ -172,7 +185,7 @@ def fit(texts: list[tuple[str, int]], steps: int = 150, rate: float = 0.15, pena
         gradient = np.concatenate([
             [observed_bias - (toxic * counts).sum()],
             (observed_trans - expected_trans).ravel(),
-            observed_weight - np.bincount(feature, toxic.ravel()[at], len(index)),
+            observed_weight - np.bincount(feature, toxic.ravel()[at] * times, len(index)),
         ]) - penalty * np.concatenate([[0.0], x[1:]])
         gradient *= scale
         slope = 0.9 * slope + 0.1 * gradient
