@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import quality_rules, toxicity
+from broadsheet.llm import quality_rules, simhash, toxicity
 from broadsheet.llm.common import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,3 +42,10 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("_t.score") >= 0.7).cast("int").alias("predicted"),
         F.col("_t.spans").alias("spans"),
     )
+
+
+@query
+def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and near-duplicate group of every document."""
+    found = simhash.groups(table(spark, folder, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
