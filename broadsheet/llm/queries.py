@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import quality_rules, simhash, toxicity
+from broadsheet.llm import line_dedup, quality_rules, simhash, toxicity
 from broadsheet.llm.common import id_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,3 +49,30 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and near-duplicate group of every document."""
     found = simhash.groups(table(spark, folder, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines before and dropped per document, and the digest of the text that stays."""
+    kept = line_dedup.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "_lines.n_lines", "_lines.n_dropped", F.sha2(F.coalesce("_lines.text", F.lit("")), 256).alias("kept_sha256"))
+
+
+ORACLES["op2_line_dedup"] = r"""
+WITH lines AS (
+  SELECT doc_id, generate_subscripts(l, 1) AS pos, unnest(l) AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)
+), keyed AS (
+  SELECT doc_id, pos, line,
+         translate(trim(line, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines
+), shared AS (
+  SELECT key, min(doc_id) AS first_doc FROM keyed WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) > 1
+), marked AS (
+  SELECT k.*, s.key IS NOT NULL AND k.doc_id <> s.first_doc AS gone FROM keyed k LEFT JOIN shared s USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
