@@ -16,3 +16,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def id_remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus`` (null id: null)."""
     return F.crc32(doc_id.cast("string")) % modulus
+
+
+def tokenizer_path(name: str) -> str:
+    """Place of a public tokenizer's file; the operators take it as a parameter."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)

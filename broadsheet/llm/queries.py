@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import line_dedup, quality_rules, simhash, toxicity
-from broadsheet.llm.common import id_remainder, table
+from broadsheet.llm import line_dedup, packing, quality_rules, simhash, toxicity
+from broadsheet.llm.common import id_remainder, table, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -76,3 +76,9 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
+
+
+@query
+def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Token pieces of every document and their place in the packed sequences."""
+    return packing.pack(table(spark, folder, "documents"), tokenizer_path("word_bpe_49k.json"))
