@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import line_dedup, packing, quality_rules, simhash, toxicity
+from broadsheet.llm import line_dedup, packing, quality_rules, sharding, simhash, toxicity
 from broadsheet.llm.common import id_remainder, table, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,10 @@ FROM marked GROUP BY doc_id
 def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Token pieces of every document and their place in the packed sequences."""
     return packing.pack(table(spark, folder, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+@query
+def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    """Shard and slot of every document under the law of nearly equal bytes."""
+    placed = sharding.shards(table(spark, folder, "documents"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
