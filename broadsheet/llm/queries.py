@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import line_dedup, packing, quality_rules, sharding, simhash, toxicity
+from broadsheet.llm import line_dedup, packing, quality_rules, sharding, simhash, toxicity, warc
 from broadsheet.llm.common import id_remainder, table, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,24 @@ def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """Shard and slot of every document under the law of nearly equal bytes."""
     placed = sharding.shards(table(spark, folder, "documents"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op3_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Record type, reference and payload of every page, read back from a content-addressed archive."""
+    return warc.archived(table(spark, folder, "pages"))
+
+
+ORACLES["op3_warc"] = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS s, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_page
+  FROM pages
+)
+SELECT page_id, cast(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
+       list_aggregate(list_transform(range(8), lambda i: translate(
+         lpad(upper(to_base(cast('0x' || substr(s, cast(5 * i + 1 AS INTEGER), 5) AS BIGINT), 32)), 4, '0'),
+         '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567')), 'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = first_page THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_page THEN first_page END AS refers_to
+FROM p
+"""
