@@ -23,3 +23,10 @@ def tokenizer_path(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
+
+
+def tokenizer_pattern() -> str:
+    """Split pattern of the public byte-level rank files."""
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN

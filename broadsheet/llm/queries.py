@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import line_dedup, packing, quality_rules, sharding, simhash, toxicity, warc
-from broadsheet.llm.common import id_remainder, table, tokenizer_path
+from broadsheet.llm import byte_bpe, line_dedup, packing, quality_rules, sharding, simhash, toxicity, warc
+from broadsheet.llm.common import id_remainder, table, tokenizer_path, tokenizer_pattern
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -110,3 +110,10 @@ SELECT page_id, cast(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
        CASE WHEN page_id <> first_page THEN first_page END AS refers_to
 FROM p
 """
+
+
+@query
+def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of the byte-level BPE ids of every document and of what they decode to."""
+    ranks, pattern = tokenizer_path("byte_bpe_50k.tiktoken"), tokenizer_pattern()
+    return byte_bpe.digests(byte_bpe.encode(table(spark, folder, "documents"), ranks, pattern), ranks)
