@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import byte_bpe, line_dedup, packing, quality_rules, sharding, simhash, toxicity, warc
+from broadsheet.llm import byte_bpe, line_dedup, lm_scoring, packing, quality_rules, sharding, simhash, toxicity, warc
 from broadsheet.llm.common import id_remainder, table, tokenizer_path, tokenizer_pattern
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -117,3 +117,11 @@ def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Digests of the byte-level BPE ids of every document and of what they decode to."""
     ranks, pattern = tokenizer_path("byte_bpe_50k.tiktoken"), tokenizer_pattern()
     return byte_bpe.digests(byte_bpe.encode(table(spark, folder, "documents"), ranks, pattern), ranks)
+
+
+@query
+def op6_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    """Base and model log probabilities of every document; one fold is never learnt from."""
+    remainder = id_remainder(F.col("doc_id"), 5)
+    scored = lm_scoring.score(table(spark, folder, "documents"), remainder != 1)
+    return scored.select("doc_id", F.coalesce(remainder == 1, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
