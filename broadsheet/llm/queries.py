@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from broadsheet.llm import byte_bpe, line_dedup, lm_scoring, packing, quality_rules, sharding, simhash, toxicity, warc
+from broadsheet.llm import byte_bpe, embedding_dedup, line_dedup, lm_scoring, packing, quality_rules, sharding, simhash, toxicity, warc
 from broadsheet.llm.common import id_remainder, table, tokenizer_path, tokenizer_pattern
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,3 +125,25 @@ def op6_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     remainder = id_remainder(F.col("doc_id"), 5)
     scored = lm_scoring.score(table(spark, folder, "documents"), remainder != 1)
     return scored.select("doc_id", F.coalesce(remainder == 1, F.lit(False)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op8_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Links and near-duplicate group of every vector."""
+    return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
+
+
+ORACLES["op8_embedding_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, cast(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.9
+), reach AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), counted AS (SELECT a, count(*) AS n FROM links GROUP BY a), least_of AS (SELECT a, min(b) AS m FROM reach GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(m, vec_id)) AS component_id, vec_id <= coalesce(m, vec_id) AS kept
+FROM embeddings LEFT JOIN counted ON vec_id = counted.a LEFT JOIN least_of ON vec_id = least_of.a
+"""
