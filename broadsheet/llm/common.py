@@ -13,6 +13,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or with more leading underscores when ``df`` has such a column already."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def id_remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus`` (null id: null)."""
     return F.crc32(doc_id.cast("string")) % modulus

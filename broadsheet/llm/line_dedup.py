@@ -15,7 +15,7 @@ Keys travel as 128-bit digests in two longs.
 restores counts and membership. ``remove_repeats`` does one whole table.
 
 Defined results: a null or empty text is one empty line and stays as it is; rows with a null id hold no keys and lose no lines; repeated rows of an id are
-one document; texts of any length are split once; extra columns pass through ``remove_repeats``.
+one document; texts of any length are split once; extra columns pass through ``remove_repeats`` (one named _lines is replaced).
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from broadsheet.llm.common import SPACE
+from broadsheet.llm.common import SPACE, free_name
 from broadsheet.session import cut, scratch_path
 
 MIN_CHARS = 10
@@ -224,7 +224,6 @@ def drops(refs: DataFrame, shared: DataFrame) -> DataFrame:
     return lost.groupBy("doc_id").agg(F.collect_set(F.struct("k1", "k2")).alias("_keys"))
 
 
-@pandas_udf("text string, n_lines long, n_dropped long")
 def _kept_lines(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
     """Text without the lines of the given keys, and how many lines there were and went."""
     for texts, keys, least in batches:
@@ -245,9 +244,11 @@ def _kept_lines(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> It
 
 def _without(docs: DataFrame, lost: DataFrame, min_chars: int) -> DataFrame:
     """``docs`` with the struct ``_lines`` (text, n_lines, n_dropped)."""
-    named = lost.select(F.col("doc_id").alias("_lost_id"), "_keys")
-    joined = docs.join(named.hint("shuffle_hash"), F.col("doc_id").cast("long") == F.col("_lost_id"), "left").drop("_lost_id")
-    return joined.withColumn("_lines", _kept_lines(F.col("text"), F.col("_keys"), F.lit(min_chars))).drop("_keys")
+    id_name, keys_name = free_name(docs, "_lost_id"), free_name(docs, "_keys")
+    named = lost.select(F.col("doc_id").alias(id_name), F.col("_keys").alias(keys_name))
+    kept_lines = pandas_udf(_kept_lines, "text string, n_lines long, n_dropped long")
+    joined = docs.join(named.hint("shuffle_hash"), F.col("doc_id").cast("long") == F.col(id_name), "left").drop(id_name)
+    return joined.withColumn("_lines", kept_lines("text", keys_name, F.lit(min_chars))).drop(keys_name)
 
 
 def remove_repeats(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:

@@ -11,7 +11,8 @@ stratum is split evenly over the signals, so with probability ``1 - delta`` no s
 
 Defined results: a null or empty text has no words and fails the base rule; a null language is a
 stratum of its own; labels of unknown documents, null labels and null ids calibrate nothing; repeated
-rows are judged alike. Extra columns pass through untouched (measures live in the struct ``_quality``).
+rows are judged alike. Extra columns pass through untouched, but for
+ones named _quality, _kept, _stratum or _cut_ and a signal, which are replaced or removed.
 Two three-word windows count as equal when their chained 64-bit hashes are.
 """
 
@@ -171,7 +172,7 @@ def thresholds(measured: DataFrame, labels: DataFrame, max_false_rejection: floa
 def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", max_false_rejection: float = 0.05, delta: float = 0.05) -> DataFrame:
     """``docs`` with ``_quality`` (measures) and ``_kept``; columns given are the ones kept beside the verdict."""
     measured = cut(
-        docs.withColumns({"_stratum": F.coalesce(F.col(stratum).cast("string"), F.lit("\x00")), "_quality": measures(F.col("text"))}),
+        docs.drop(*[f"_cut_{s}" for s in SIGNALS]).withColumns({"_stratum": F.coalesce(F.col(stratum).cast("string"), F.lit("\x00")), "_quality": measures(F.col("text"))}),
         "quality",
     )
     return _verdict(measured, labels, max_false_rejection, delta)

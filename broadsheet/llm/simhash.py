@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from broadsheet.llm.common import free_name
 from broadsheet.llm.components import components
 from broadsheet.session import cut
 
@@ -145,5 +146,6 @@ def groups(docs: DataFrame, max_bits: int = 4, words_per_shingle: int = 4, seed:
 
 def keep_first(docs: DataFrame, max_bits: int = 4) -> DataFrame:
     """The documents without those whose group has a smaller id; rows with a null id stay."""
-    out = groups(docs.filter("doc_id IS NOT NULL"), max_bits).filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(out, F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = free_name(docs, "_gone")
+    out = groups(docs.filter("doc_id IS NOT NULL"), max_bits).filter("doc_id <> component_id").select(F.col("doc_id").alias(gone)).distinct()
+    return docs.join(out, F.col("doc_id") == F.col(gone), "left_anti")

@@ -39,7 +39,6 @@ _TYPE = re.compile(rb"\r\nWARC-Type: (\w+)\r\n")
 _LENGTH = re.compile(rb"\r\nContent-Length: (\d+)\r\n")
 
 
-@pandas_udf("string")
 def _base32(digests: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for part in digests:
         yield part.map(lambda d: base64.b32encode(bytes.fromhex(d)).decode())
@@ -71,9 +70,10 @@ def write_archive(pages: DataFrame, path: str, min_bytes: int = 0, date: str = "
         F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("payload"),
     )
     digest = F.sha2("payload", 256)
+    base32 = pandas_udf(_base32, "string")
     heads = cut(
         source.select("page_id", "url", digest.alias("digest"), F.sha1("payload").alias("_sha1"), F.octet_length("payload").cast("long").alias("n_bytes"))
-        .select("page_id", "url", "digest", "n_bytes", _base32("_sha1").alias("sha1")),
+        .select("page_id", "url", "digest", "n_bytes", base32("_sha1").alias("sha1")),
         "heads",
     )
     first = heads.groupBy("digest").agg(F.min("page_id").alias("first_page")).withColumnRenamed("digest", "_digest")
@@ -93,7 +93,6 @@ def write_archive(pages: DataFrame, path: str, min_bytes: int = 0, date: str = "
     )
 
 
-@pandas_udf("page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 def _parsed(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
     def parse(record: bytes, digest: str | None) -> tuple:
         # The header ends at the first empty line; the HTTP header, which starts the block, at the next.
@@ -134,7 +133,8 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to of every record, parsed from its bytes."""
-    return read_records(spark, path).select(_parsed("record", "digest").alias("r")).select("r.*")
+    parsed = pandas_udf(_parsed, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
+    return read_records(spark, path).select(parsed("record", "digest").alias("r")).select("r.*")
 
 
 def archived(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
