@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from broadsheet.llm import line_dedup, packing, quality_rules, simhash, toxicity
-from broadsheet.llm.common import table, tokenizer_path
+from broadsheet.llm.common import free_name, table, tokenizer_path
 from broadsheet.session import cut
 
 TOXIC_FROM = 0.7
@@ -19,8 +19,8 @@ TOXIC_FROM = 0.7
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score reaches the limit go."""
-    found = toxicity.toxic_column(docs, table(spark, sf_dir, "labels"))
-    return docs.withColumn("_toxicity", found).filter(F.col("_toxicity.score") < TOXIC_FROM).drop("_toxicity")
+    found, name = toxicity.toxic_column(docs, table(spark, sf_dir, "labels")), free_name(docs, "_toxicity")
+    return docs.withColumn(name, found).filter(F.col(f"{name}.score") < TOXIC_FROM).drop(name)
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
