@@ -17,6 +17,7 @@ other row; extra columns are ignored; an empty table gives no pieces.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -33,35 +34,79 @@ END_ID = 1
 GROUP_PIECES = 100_000
 #: Words remembered per task, then forgotten; and the largest word remembered.
 CACHE, CACHE_WORD = 300_000, 64
-_FLUSH = 20_000
+TAIL = ".,!?;:%&*$#|"
+#: Texts encoded at once.
+_TEXTS = 500
 
 
 class WordEncoder:
-    """Token ids of texts as little-endian unsigned 32-bit integers."""
+    """Token ids of texts as little-endian unsigned 32-bit integers.
+
+    ``bytes.split`` separates at space and the codes 9 to 13, where the tokenizer also separates. A word is a stem and a tail
+    of punctuation, between which the tokenizer's pattern always splits; it lower-cases, so stems are lower-cased
+    first. Stems of plain letters are one pattern match each and are encoded many in one call: the last
+    token of a match is marked as the end of a word, which gives the ids of each stem back.
+    """
 
     def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[bytes, bytes] = {}
-
-    def encode(self, text: str | None) -> bytes:
-        """``bytes.split`` separates at space and the codes 9 to 13, where the tokenizer also separates."""
-        words, known = (text or "").encode().split(), self.known
-        missing = list({w for w in words if w not in known})
-        extra = {}
-        if missing:
-            if len(known) + len(missing) > CACHE:
-                known.clear()
-                missing = list(set(words))
-            for at in range(0, len(missing), 10_000):
-                part = missing[at : at + 10_000]
-                encoded = self.tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)
-                for word, e in zip(part, encoded):
-                    (known if len(word) <= CACHE_WORD else extra)[word] = np.array(e.ids, dtype="<u4").tobytes()
-        if extra:
-            return b"".join([known[w] if w in known else extra[w] for w in words])
-        return b"".join(map(known.__getitem__, words))
+        self.stems: dict[str, bytes] = {"": b""}
+
+    def _stems(self, stems: set[str]) -> dict[str, bytes]:
+        made = {}
+        plain = [s for s in stems if s.isalpha() and max(s) < "\u0250" and "\u0130" not in s]  # U+0130 lower-cases to two
+        for at in range(0, len(plain), 2_000):
+            part = plain[at : at + 2_000]
+            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, dtype="<u4")
+            cuts = np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) == len(part):
+                raw, before = ids.tobytes(), 0
+                for stem, end in zip(part, (4 * cuts).tolist()):
+                    made[stem] = raw[before:end]
+                    before = end
+        rest = [s for s in stems if s not in made]
+        for at in range(0, len(rest), 10_000):
+            part = rest[at : at + 10_000]
+            for stem, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
+                made[stem] = np.array(e.ids, dtype="<u4").tobytes()
+        return made
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        split, known = [(t or "").encode().split() for t in texts], self.known
+        missing: set[bytes] = set()
+        for words in split:
+            missing.update(words)
+        if len(known) + len(missing) > CACHE:
+            known.clear()
+            self.stems = {"": b""}
+        missing -= known.keys()
+        parts = {}
+        for word in missing:
+            text = word.decode()
+            stem, tail = text, ""
+            if "<|" not in text:  # the written form of a special token is kept as it is
+                stem = word.lower().decode()
+                short = stem.rstrip(TAIL)
+                if short and short[-1].isalnum() and short[-1] < "\u0250" and short[-1] != "\u0130":
+                    stem, tail = short, stem[len(short) :]
+            parts[word] = (stem, tail)
+        stems = self.stems
+        fresh = self._stems({s for pair in parts.values() for s in pair if s not in stems})
+        now: dict[bytes, bytes] = {}
+        for word, (stem, tail) in parts.items():
+            value = (stems[stem] if stem in stems else fresh[stem]) + (stems[tail] if tail in stems else fresh[tail])
+            (known if len(word) <= CACHE_WORD else now)[word] = value
+        stems.update((s, v) for s, v in fresh.items() if len(s) <= CACHE_WORD)
+        if now:
+            return [b"".join([known[w] if w in known else now[w] for w in words]) for words in split]
+        return [b"".join(map(known.__getitem__, words)) for words in split]
 
 
 def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
@@ -71,22 +116,16 @@ def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int =
         encoder, end = WordEncoder(tokenizer), int(end_id).to_bytes(4, "little")
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
 
-        def flush(rows: list[tuple]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names)
-
-        rows: list[tuple] = []
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encoder.encode(text.as_py()) + end
-                total = len(ids) // 4
-                for start in range(0, total, window):
-                    part = ids[4 * start : 4 * (start + window)]
-                    rows.append((doc_id, start, len(part) // 4, zlib.crc32(part), total))
-                if len(rows) >= _FLUSH:
-                    yield flush(rows)
-                    rows = []
-        if rows:
-            yield flush(rows)
+            for at in range(0, batch.num_rows, _TEXTS):
+                part, rows = batch.slice(at, _TEXTS), []
+                for doc_id, ids in zip(part.column(0).to_pylist(), encoder.encode(part.column(1).to_pylist())):
+                    ids += end
+                    total = len(ids) // 4
+                    for start in range(0, total, window):
+                        piece = ids[4 * start : 4 * (start + window)]
+                        rows.append((doc_id, start, len(piece) // 4, zlib.crc32(piece), total))
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names)
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return source.mapInArrow(cut_up, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
