@@ -72,7 +72,7 @@ def _encode(c: Column, pattern: str) -> Column:
 
 def _resolve_dots(path: Column) -> Column:
     """Remove ``.`` and ``..`` segments."""
-    parts = F.split(F.substring(path, 2, 1 << 20), "/")
+    parts = F.split(F.substr(path, F.lit(2)), "/")
     is_one = lambda s: F.lower(F.replace(F.lower(s), F.lit("%2e"), F.lit("."))) == "."
     is_two = lambda s: F.replace(F.lower(s), F.lit("%2e"), F.lit(".")) == ".."
     kept = F.aggregate(

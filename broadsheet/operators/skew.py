@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key with at least this many rows is served by broadcast. Of N rows at most N / HOT_ROWS
-# keys can be that frequent, which bounds what is broadcast (1e11 rows: 1e5 small rows).
+# A key with at least this many rows is served by broadcast, for at most the MAX_HOT most frequent keys.
+# That bounds what is broadcast at any number of rows; all other keys are shuffled (adaptive execution splits large ones).
 HOT_ROWS = 1_000_000
+MAX_HOT = 10_000
 
 
 def skew_lookup(
@@ -30,10 +31,11 @@ def skew_lookup(
     side = table.select(
         F.col(table_key).alias("_table_key"), F.struct(*values).alias("_values"), F.col(count_col).alias("_rows")
     )
-    hot = side.filter(F.col("_rows") >= hot_rows).select(
+    hot = side.filter(F.col("_rows") >= hot_rows).orderBy(F.desc("_rows"), "_table_key").limit(MAX_HOT).select(
         F.col("_table_key").alias("_hot_key"), F.col("_values").alias("_hot")
     )
-    cold = side.filter(F.col("_rows") < hot_rows).select("_table_key", F.col("_values").alias("_cold"))
+    # Rows that a hot key served no longer carry their key, so the whole table can serve the rest.
+    cold = side.select("_table_key", F.col("_values").alias("_cold"))
     keyed = rows.withColumn("_probe", key)
     served = keyed.join(F.broadcast(hot), F.col("_probe") == F.col("_hot_key"), "left").drop("_hot_key")
     shuffled_key = F.coalesce(

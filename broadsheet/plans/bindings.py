@@ -58,15 +58,11 @@ class Tables:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def spread(self, name: str) -> DataFrame:
-        """A base table over at least as many partitions as there are cores.
+        """A base table in partitions of even size, for costly work per row.
 
-        Only a file too small to be split is redistributed, so that per-row parsing uses all
-        cores; large tables are scanned as they are.
+        Adaptive execution chooses their number from the measured size, at any scale alike.
         """
-        df = self.base(name)
-        cores = self.spark.sparkContext.defaultParallelism
-        small = df.rdd.getNumPartitions() < cores
-        return df.repartition(cores) if small else df
+        return self.base(name).hint("rebalance")
 
     @cached_property
     def countries(self) -> DataFrame:

@@ -178,12 +178,11 @@ def f6(t: Tables) -> DataFrame:
 
 
 @query("f7_distinct_set_checks", "rankings", """
-SELECT state_code, count(*) AS n, count(*) = count(DISTINCT article_id) AS articles_distinct, count(*) = count(DISTINCT rank_position) AS positions_distinct
+SELECT state_code, ranking_date, count(*) AS n, count(*) = count(DISTINCT article_id) AS articles_distinct, count(*) = count(DISTINCT rank_position) AS positions_distinct
 FROM (SELECT state_code, article_id, CASE WHEN CAST(substring(state_code, 3) AS INTEGER) % 6 = 1 AND rank_position = 2 THEN 1 ELSE rank_position END AS rank_position, ranking_date FROM rankings)
-WHERE ranking_date = '2026-06-01' GROUP BY state_code""")
+GROUP BY state_code, ranking_date""")
 def f7(t: Tables) -> DataFrame:
-    day = proposed_rankings(t).filter(F.col("ranking_date") == F.lit(SNAPSHOT_DATE).cast("date"))
-    return day.groupBy("state_code").agg(
+    return proposed_rankings(t).groupBy("state_code", F.date_format("ranking_date", "yyyy-MM-dd").alias("ranking_date")).agg(
         F.count("*").alias("n"), (F.count("*") == F.countDistinct("article_id")).alias("articles_distinct"),
         (F.count("*") == F.countDistinct("rank_position")).alias("positions_distinct"),
     )
@@ -214,14 +213,14 @@ def g3(t: Tables) -> DataFrame:
 
 
 @query("g4_position_sequence", "rankings", """
-SELECT state_code, ranking_date, bool_and(rank_position = expected) AS sequential FROM (
-  SELECT *, row_number() OVER (PARTITION BY state_code, ranking_date ORDER BY rank_position) + CASE WHEN CAST(substring(state_code, 3) AS INTEGER) % 6 = 2 THEN -1 ELSE 0 END AS expected
-  FROM rankings WHERE CAST(substring(state_code, 3) AS INTEGER) % 6 <> 1) GROUP BY ALL""")
+SELECT state_code, ranking_date, bool_and(proposed = expected) AS sequential FROM (
+  SELECT *, row_number() OVER (PARTITION BY state_code, ranking_date ORDER BY proposed, article_id) AS expected FROM (
+    SELECT *, CASE WHEN k % 6 = 1 AND rank_position = 2 THEN 1 WHEN k % 6 = 2 THEN rank_position + 1 ELSE rank_position END AS proposed
+    FROM (SELECT *, CAST(substring(state_code, 3) AS INTEGER) AS k FROM rankings))) GROUP BY ALL""")
 def g4(t: Tables) -> DataFrame:
     """Positions equal their row number; a snapshot has at most ten rows, so groups stay small."""
-    rows = proposed_rankings(t).filter("k % 6 <> 1")
-    order = Window.partitionBy(*rankings.SNAPSHOT).orderBy("rank_position")
-    return rows.withColumn("expected", F.row_number().over(order)).groupBy(
+    order = Window.partitionBy(*rankings.SNAPSHOT).orderBy("rank_position", "article_id")
+    return proposed_rankings(t).withColumn("expected", F.row_number().over(order)).groupBy(
         "state_code", F.date_format("ranking_date", "yyyy-MM-dd").alias("ranking_date")
     ).agg(F.min(F.col("rank_position") == F.col("expected")).alias("sequential"))
 

@@ -67,21 +67,17 @@ def c5(t: Tables) -> DataFrame:
 
 
 @query("c6_optional_http_url", "api_mapped", """
-SELECT event_id % 3 AS kind, count(*) AS records, count(image_url) AS with_image FROM api_mapped WHERE event_id % 50 <> 49 GROUP BY ALL""")
+SELECT (payload * 100 + pos) % 3 AS kind, count(*) AS records, count(CASE WHEN event_id % 50 <> 49 THEN image_url END) AS with_image FROM api_mapped GROUP BY ALL""")
 def c6(t: Tables) -> DataFrame:
     """Invalid image URLs become null and never reject the record."""
-    raw = t.api_raw_records.filter("event_id % 50 <> 49 and payload % 23 not in (7, 11, 13, 17, 19)")
-    return raw.select(F.expr("event_id % 3").alias("kind"), urls.normalize_url(F.col("socialimage")).alias("image")).groupBy(
-        "kind"
-    ).agg(F.count("*").alias("records"), F.count("image").alias("with_image"))
+    kind = F.expr("(cast(substring(payload_id, 2) as bigint) * 100 + pos) % 3").alias("kind")
+    return t.api_mapped.groupBy(kind).agg(F.count("*").alias("records"), F.count("image_url").alias("with_image"))
 
 
 @query("c7_source_domain", "api_mapped", """
-SELECT coalesce(source_name, 'domain_missing') AS domain, count(*) AS n FROM api_mapped WHERE event_id % 50 <> 49 GROUP BY ALL""")
+SELECT coalesce(CASE WHEN event_id % 50 <> 49 THEN source_name END, 'domain_missing') AS domain, count(*) AS n FROM api_mapped GROUP BY ALL""")
 def c7(t: Tables) -> DataFrame:
-    raw = t.api_raw_records.filter("event_id % 50 <> 49 and payload % 23 not in (7, 11, 13, 17, 19)")
-    domain = urls.source_domain(F.col("domain"), text.strip(F.col("url")))
-    return raw.groupBy(F.coalesce(domain, F.lit("domain_missing")).alias("domain")).agg(F.count("*").alias("n"))
+    return t.api_mapped.groupBy(F.coalesce("source_name", F.lit("domain_missing")).alias("domain")).agg(F.count("*").alias("n"))
 
 
 @query("c8_homepage_url", sql="""

@@ -52,11 +52,13 @@ def k3(t: Tables) -> DataFrame:
 
 
 @query("k4_retry_budget", "messages", """
-SELECT route, next_retry, count(*) AS n FROM (SELECT CASE WHEN event_id % 8 + 1 <= 5 THEN 'retry' ELSE 'dead_letter' END AS route,
-  event_id % 8 + 1 AS next_retry FROM messages WHERE message_error IS NOT NULL AND message_error <> 'invalid_json') GROUP BY ALL""")
+SELECT CASE WHEN next_retry <= 5 THEN 'retry' ELSE 'dead_letter' END AS route, next_retry, count(*) AS n FROM (
+  SELECT CASE WHEN message_error = 'invalid_json' THEN 1 ELSE event_id % 8 + 1 END AS next_retry FROM messages
+  WHERE message_error IS NOT NULL OR article_error IS NOT NULL) GROUP BY ALL""")
 def k4(t: Tables) -> DataFrame:
-    failed = t.messages.filter("message_error is not null and message_error <> 'invalid_json'")
-    return queue.retry_split(failed).groupBy("route", "next_retry").agg(F.count("*").alias("n"))
+    """Every failed delivery of the consumer is routed; a body that cannot be read counts as a first attempt."""
+    root, _ = consumed(t)
+    return queue.routed(t.spark, root).groupBy("route", "next_retry").agg(F.count("*").alias("n"))
 
 
 @query("k5_redelivery", "persisted", """
@@ -70,17 +72,14 @@ def k5(t: Tables) -> DataFrame:
     return done.groupBy(F.col("ingest_batch").cast("int").alias("delivery"), "status").agg(F.count("*").alias("n"))
 
 
-@query("k6_message_id_dedup", "messages", "SELECT count(*) AS received, count(DISTINCT message_id) AS distinct_ids FROM messages WHERE message_error IS NULL OR message_error <> 'invalid_json'")
+@query("k6_message_id_dedup", "messages", """
+SELECT count(*) AS received, count(DISTINCT message_id) FILTER (WHERE message_error IS NULL OR message_error <> 'invalid_json') AS distinct_ids FROM messages""")
 def k6(t: Tables) -> DataFrame:
-    """Each message is published twice; one copy of each id passes."""
+    """Each message is published twice; one copy of each id, and of each body that cannot be read, passes."""
     root = scratch_path(t.spark, "fifo")
     publish(t, f"{root}/queue", copies=2)
-    job = (
-        queue.deduplicated(t.spark, f"{root}/queue", "60 days").filter("message_id is not null").writeStream.format("parquet")
-        .option("path", f"{root}/out").option("checkpointLocation", f"{root}/_checkpoint").trigger(availableNow=True).start()
-    )
-    job.awaitTermination()
-    return t.spark.read.parquet(f"{root}/out").agg(F.count("*").alias("received"), F.countDistinct("message_id").alias("distinct_ids"))
+    queue.deduplicate(t.spark, f"{root}/queue", root, files_per_batch=4)
+    return queue.distinct_messages(t.spark, root).agg(F.count("*").alias("received"), F.countDistinct("message_id").alias("distinct_ids"))
 
 
 @query("k7_scheduled_run", "messages persisted", """

@@ -85,6 +85,7 @@ def h9(t: Tables) -> DataFrame:
         F.sha2(F.concat_ws("|", F.lit("page"), "url"), 256).alias("article_id"),
     ))
     valid = entries.filter(F.col("title").isNotNull() & F.col("url").isNotNull())
-    kept = dedup.dedup_by_url(valid, None).filter(F.col("status") == dedup.STORED)
-    hosted = kept.select(F.col("seq").alias("page_id"), urls.url_netloc(F.col("url")).alias("host"), "title")
+    # Only first copies are shown, so one aggregate per url decides and carries them: one scan, one shuffle.
+    kept = valid.groupBy("url").agg(F.min_by(F.struct("seq", "title"), "seq").alias("first"))
+    hosted = kept.select(F.col("first.seq").alias("page_id"), urls.url_netloc(F.col("url")).alias("host"), "first.title")
     return serving.top_per_group(hosted, ["host"], [F.col("page_id").desc()], 10)

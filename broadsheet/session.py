@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,20 +44,43 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset (local
-    tests) a private folder is made and set.
+    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset and everything
+    runs in one process (local tests) a private folder is made and set; elsewhere executors
+    could not see it, so it is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = os.path.join(tempfile.mkdtemp(prefix="run-"), "checkpoints")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+_run: ContextVar[str] = ContextVar("run", default="")
+
+
+@contextmanager
+def scratch_run(spark: SparkSession) -> Iterator[None]:
+    """Intermediates written inside belong to this run and are removed at its end.
+
+    For jobs that commit their outputs inside, such as a micro-batch; a frame that is returned lazily
+    must not read intermediates of a finished run. The folder goes through Spark's file system, so any store works.
+    """
+    folder = f"run-{uuid.uuid4().hex}"
+    token = _run.set(f"{folder}/")
+    try:
+        yield
+    finally:
+        _run.reset(token)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_root(spark)}/broadsheet/{folder}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared folder for written intermediates."""
-    return f"{shared_root(spark)}/broadsheet/{name}-{uuid.uuid4().hex}"
+    return f"{shared_root(spark)}/broadsheet/{_run.get()}{name}-{uuid.uuid4().hex}"
 
 
 def cut(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -97,7 +97,12 @@ def map_records(records: DataFrame, countries: DataFrame, languages: DataFrame)
 
 
 def newest_per_payload(mapped: DataFrame, limit_col: str = "max_records") -> DataFrame:
-    """Replay of the upstream order: newest first, at most the requested number per payload."""
+    """Replay of the upstream order: newest first, at most the requested number per payload.
+
+    A limit outside the request contract is an error (``max_records_invalid``), never a silent cut.
+    """
+    asked = F.col(limit_col)
+    limit = F.when(asked.between(1, fixed.MAX_API_RECORDS), asked).otherwise(F.raise_error(F.lit("max_records_invalid")).cast("int"))
     newest = Window.partitionBy("payload_id").orderBy(F.col("published_at").desc_nulls_last(), "pos")
     ranked = mapped.withColumn("_rank", F.row_number().over(newest))
-    return ranked.filter((F.col("_rank") <= fixed.MAX_API_RECORDS) & (F.col("_rank") <= F.col(limit_col))).drop("_rank")
+    return ranked.filter(F.col("_rank") <= limit).drop("_rank")

@@ -263,9 +263,13 @@ def decide_entries(mapped: DataFrame, as_of: Column) -> DataFrame:
         .filter(F.col("_win").isNotNull())
     )
     order = Window.partitionBy("payload_id").orderBy("_win")
+    # A cap outside the contract is an error, never another cap.
+    cap = F.when(F.col("cap").between(1, fixed.MAX_FEED_RECORDS), F.col("cap")).otherwise(
+        F.raise_error(F.lit("max_records_invalid")).cast("int")
+    )
     ends = (
         winners.withColumn("_rank", F.row_number().over(order))
-        .filter((F.col("_rank") <= fixed.MAX_FEED_RECORDS) & (F.col("_rank") == F.col("cap")))
+        .filter(F.col("_rank") == cap)
         .select(F.col("payload_id").alias("_lookup"), F.col("_win").alias("_end"))
     )
     sizes = judged.groupBy(F.col("payload_id").alias("_lookup")).agg(F.count("*").alias("_n"))

@@ -1,12 +1,14 @@
 """Producer and consumer of article messages as Structured Streaming jobs.
 
 Delivery is at least once. The consumer is idempotent: every micro-batch writes its own
-``ingest_batch`` partition of each table and overwrites it when replayed, and duplicates are
-decided against the earlier batches, so a redelivered message changes nothing.
+``ingest_source`` and ``ingest_batch`` partition of each table and overwrites it when replayed, and duplicates are
+decided against all other batches, so a redelivered message changes nothing. ``ingest_source`` names
+the queue and the checkpoint, so a second queue or a new checkpoint never overwrites earlier data.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,64 +17,98 @@ from pyspark.sql import functions as F
 from broadsheet import fixed
 from broadsheet.functions import text
 from broadsheet.operators import conform, lake
-from broadsheet.session import cut
+from broadsheet.schemas import ARTICLE_FIELDS, TABLES
+from broadsheet.session import cut, scratch_run
 from broadsheet.sources import messages
 
 MessageFactory = Callable[[DataFrame], DataFrame]
-STORED_COLUMNS = "id string, url string, canonical_url string, content_hash string, ingest_batch bigint"
+PARTS = "ingest_source string, ingest_batch bigint"
+OUTCOMES = "message_id string, status string, reason string, retry_count int, body string"
+RETRIES = f"{OUTCOMES}, next_retry int, route string"
+#: Tables of the consumer and their full schemas.
+STORE = {
+    **{name: TABLES[name] for name in ("articles", "news_sources", "article_countries", "article_states", "article_labels")},
+    "outcomes": OUTCOMES, "retries": RETRIES,
+}
+
+
+def _iso(c: str) -> Column:
+    return F.date_format(F.col(c), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
 
 def default_message(articles: DataFrame) -> DataFrame:
-    """Article columns plus provider and raw_s3_uri to (article_id, body): one message each."""
-    payload = F.struct(
-        "article_id", "title", "url", "image_url",
-        F.struct(
-            F.col("source_name").alias("name"), "source_type", F.col("source_homepage_url").alias("homepage_url"),
-            F.col("source_country_code").alias("country_code"),
-        ).alias("source"),
-        F.date_format("published_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("published_at"),
-        "primary_category", "language_code",
-    )
+    """Article columns plus provider and raw_s3_uri to (article_id, message_id, body): one message each.
+
+    The payload is the whole article: every field of the contract that ``articles`` carries. ``created_at`` is the time of
+    collection plus one microsecond per position in the payload, so arrival order is reading order.
+    """
+    have = set(articles.columns)
+    source = {"source_name": "name", "source_type": "source_type", "source_homepage_url": "homepage_url", "source_country_code": "country_code", "source_credibility": "credibility_score"}
+    fields = []
+    for name in ARTICLE_FIELDS:
+        if name == "source_name":
+            fields.append(F.struct(*[F.col(c).alias(n) for c, n in source.items() if c in have]).alias("source"))
+        elif name in have and name not in source:
+            fields.append(_iso(name).alias(name) if ARTICLE_FIELDS[name] == "timestamp" else F.col(name))
     message_id = F.regexp_replace(
         F.md5(F.concat_ws("|", "raw_s3_uri", "article_id")), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5"
     )
+    created = []
+    if "collected_at" in have:
+        ordinal = F.coalesce(F.col("pos"), F.lit(0)) if "pos" in have else F.lit(0)
+        at = F.timestamp_micros(F.unix_micros("collected_at") + ordinal)
+        created.append(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("created_at"))
     body = F.to_json(F.struct(
-        F.lit(fixed.MESSAGE_SCHEMA_VERSION).alias("schema_version"), message_id.alias("message_id"),
+        F.lit(fixed.MESSAGE_SCHEMA_VERSION).alias("schema_version"), message_id.alias("message_id"), *created,
         F.lit(fixed.ARTICLE_MESSAGE_TYPE).alias("message_type"), "provider", "raw_s3_uri",
-        payload.alias("article_payload"),
+        F.struct(*fields).alias("article_payload"),
         conform.default_country_scores(F.col("source_country_code")).alias("country_scores"),
     ))
     return articles.select("article_id", message_id.alias("message_id"), body.alias("body"))
 
 
-def dispatch(raw: DataFrame, mapped: DataFrame, root: str, factory: MessageFactory = default_message) -> DataFrame:
+def dispatch(
+    raw: DataFrame, mapped: DataFrame, root: str, factory: MessageFactory = default_message, bucket: str = "news-lake"
+) -> DataFrame:
     """Producer: land raw payloads first, then one message per valid article, then the rejects.
 
-    Returns one row per record with its status (queued or rejected) for the run counters.
+    Returns one row per record with its status for the run counters: queued only when the factory gave a body,
+    ``publish_failed`` when it gave none, ``reject_failed`` when a reject has no reason to store, else rejected.
     """
     lake.write_layer(lake.raw_envelopes(raw), root, "raw", "collected_at")
     path = lake.object_path(
         "raw", F.col("collected_at"), F.sha2(F.concat_ws("|", "provider", "payload_id"), 256), F.col("provider")
     )
-    located = cut(mapped.withColumn("raw_s3_uri", lake.storage_uri("news-lake", path)), "dispatch")
+    located = cut(mapped.withColumn("raw_s3_uri", lake.storage_uri(bucket, path)), "dispatch")
     valid = located.filter(F.col("reject_reason").isNull()).withColumn(
         "article_id", messages.article_key(F.col("source_name"), F.col("url"))
     )
-    factory(valid).select(F.col("body").alias("value")).write.mode("append").text(f"{root}/queue")
+    made = cut(factory(valid).filter(F.coalesce(F.col("body"), F.lit("")) != ""), "messages")
+    made.select(F.col("body").alias("value")).write.mode("append").text(f"{root}/queue")
     rejected = located.filter(F.col("reject_reason").isNotNull()).select(
         "payload_id", "pos", "provider", F.coalesce("reject_source_id", "source_id").alias("source_id"),
         F.col("reject_reason").alias("reason"), F.col("collected_at").alias("rejected_at"),
         F.col("record_json").alias("payload"),
     )
     lake.write_layer(lake.rejected_envelopes(rejected), root, "rejected", "rejected_at")
-    status = F.when(F.col("reject_reason").isNull(), "queued").otherwise("rejected")
-    return located.select("provider", "payload_id", "pos", status.alias("status"))
+    bodies = made.select(F.col("article_id").alias("_sent")).distinct()
+    key = messages.article_key(F.col("source_name"), F.col("url"))
+    sent = valid.select("provider", "payload_id", "pos", key.alias("_key")).join(bodies, F.col("_key") == F.col("_sent"), "left").select(
+        "provider", "payload_id", "pos", F.when(F.col("_sent").isNull(), "publish_failed").otherwise("queued").alias("status")
+    )
+    stored = F.when(text.strip(F.col("reason")) != "", "rejected").otherwise("reject_failed")
+    return sent.unionByName(rejected.select("provider", "payload_id", "pos", stored.alias("status")))
 
 
 def prepare_lake(spark: SparkSession, root: str) -> None:
-    """Create the empty article table the first micro-batch looks duplicates up in."""
-    empty = spark.createDataFrame([], STORED_COLUMNS).drop("ingest_batch")
-    empty.write.mode("overwrite").parquet(f"{root}/articles/ingest_batch=-1")
+    """Create the tables of the consumer, empty and with their full schemas."""
+    for name, schema in STORE.items():
+        spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{root}/{name}/ingest_source=none/ingest_batch=-1")
+
+
+def stored_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A table of the consumer over all batches, read with its declared schema."""
+    return spark.read.schema(f"{STORE[name]}, {PARTS}").parquet(f"{root}/{name}")
 
 
 def arrival_order() -> Column:
@@ -81,11 +117,15 @@ def arrival_order() -> Column:
     return F.concat(micros, F.lit("|"), F.col("message_id"))
 
 
-def persist_batch(root: str, states: DataFrame, countries: DataFrame) -> Callable[[DataFrame, int], None]:
-    """The ``foreachBatch`` step: parse, decide, and write one partition of each table."""
+def persist_batch(root: str, states: DataFrame, countries: DataFrame, source: str = "queue") -> Callable[[DataFrame, int], None]:
+    """The ``foreachBatch`` step: parse, decide, and write one partition of each table.
 
-    def run(batch: DataFrame, batch_id: int) -> None:
+    Processed documents come before the article rows that name them, outcomes last. Intermediates go with the batch.
+    """
+
+    def persist(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        earlier = (F.col("ingest_source") != source) | (F.col("ingest_batch") < batch_id)
         parsed = messages.parse_messages(batch)
         unnamed = F.sha2("body", 256)
         articles = cut(
@@ -98,43 +138,63 @@ def persist_batch(root: str, states: DataFrame, countries: DataFrame) -> Callabl
         failed = articles.filter(error.isNotNull()).select(
             "message_id", F.lit("failed").alias("status"), error.alias("reason"), "retry_count", "body"
         )
-        # Copies of one message inside a batch are one delivery.
-        valid = articles.filter(error.isNull()).dropDuplicates(["message_id"])
-        requests = cut(valid.withColumn("seq", arrival_order()), "stream-requests")
-        stored = (
-            spark.read.schema(STORED_COLUMNS).parquet(f"{root}/articles").filter(F.col("ingest_batch") < batch_id)
-        )
-        made = conform.persist(requests, states, stored=stored)
+        # Copies of one message inside a batch are one delivery: the first to arrive, by its own content.
+        valid = articles.filter(error.isNull())
+        once = valid.groupBy("message_id").agg(
+            F.min_by(F.struct(*[c for c in valid.columns if c != "message_id"]), F.struct(arrival_order(), unnamed)).alias("first")
+        ).select("message_id", "first.*")
+        requests = cut(once.withColumn("seq", arrival_order()), "stream-requests")
+        stored = stored_table(spark, root, "articles").filter(earlier).select("id", "url", "canonical_url", "content_hash")
+        sources = stored_table(spark, root, "news_sources").filter(earlier).select("name", "source_type").distinct()
+        made = conform.persist(requests, states, stored=stored, sources=sources)
         outcomes = made.results.join(requests.select("seq", "message_id", "retry_count", "body"), "seq").select(
             "message_id", "status", F.coalesce("failure_reason", "duplicate_reason").alias("reason"), "retry_count", "body"
         )
+        decided = cut(outcomes.unionByName(failed), "stream-outcomes")
         tables = {
-            "articles": made.articles, "news_sources": made.sources, "article_countries": made.countries,
-            "article_states": made.states, "outcomes": outcomes.unionByName(failed),
+            "processed": made.accepted.drop("ingest_batch", "ingest_source"), "news_sources": made.sources, "articles": made.articles,
+            "article_countries": made.countries, "article_states": made.states, "article_labels": made.labels,
+            "retries": retry_split(decided.filter("status = 'failed'")), "outcomes": decided,
         }
         for name, table in tables.items():
-            table.write.mode("overwrite").parquet(f"{root}/{name}/ingest_batch={batch_id}")
+            table.write.mode("overwrite").parquet(f"{root}/{name}/ingest_source={source}/ingest_batch={batch_id}")
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        with scratch_run(batch.sparkSession):
+            persist(batch, batch_id)
 
     return run
 
 
-def consume(
-    spark: SparkSession, queue: str, root: str, states: DataFrame, countries: DataFrame, files_per_batch: int | None = None
-) -> None:
-    """Process everything waiting in ``queue`` (text files, one message per line) and stop."""
+def _run_queue(spark: SparkSession, queue: str, checkpoint: str, step, files_per_batch: int | None) -> None:
     reader = spark.readStream.format("text")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     source = reader.load(queue).withColumnRenamed("value", "body")
-    job = (
-        source.writeStream.foreachBatch(persist_batch(root, states, countries))
-        .option("checkpointLocation", f"{root}/_checkpoint").trigger(availableNow=True).start()
-    )
+    job = source.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     job.awaitTermination()
 
 
+def _source_name(queue: str, checkpoint: str) -> str:
+    return hashlib.sha256(f"{queue}|{checkpoint}".encode()).hexdigest()[:16]
+
+
+def consume(
+    spark: SparkSession, queue: str, root: str, states: DataFrame, countries: DataFrame, files_per_batch: int | None = None,
+    checkpoint: str | None = None,
+) -> None:
+    """Process everything waiting in ``queue`` (text files, one message per line) and stop."""
+    checkpoint = checkpoint or f"{root}/_checkpoint"
+    _run_queue(spark, queue, checkpoint, persist_batch(root, states, countries, _source_name(queue, checkpoint)), files_per_batch)
+
+
 def outcomes(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/outcomes")
+    return stored_table(spark, root, "outcomes")
+
+
+def routed(spark: SparkSession, root: str) -> DataFrame:
+    """Failed deliveries with their route: another attempt, or the dead letters."""
+    return stored_table(spark, root, "retries")
 
 
 def retry_split(failed: DataFrame) -> DataFrame:
@@ -145,14 +205,34 @@ def retry_split(failed: DataFrame) -> DataFrame:
     )
 
 
-def deduplicated(spark: SparkSession, queue: str, horizon: str = "1 hour") -> DataFrame:
-    """Stream of parsed messages with repeats of a message id dropped within the horizon.
+DISTINCT = "message_key string, message_id string, created_at timestamp, body string"
+
 
-    Messages later than the horizon pass through; the consumer's own decision catches them.
+def deduplicate(spark: SparkSession, queue: str, root: str, files_per_batch: int | None = None, checkpoint: str | None = None) -> None:
+    """One row per message id into ``root``/distinct, and per body where there is no id; nothing is lost.
+
+    Repeats are decided against what earlier batches wrote, not against a watermark, so late, undated and
+    broken messages all pass once. Of copies with one id the first by creation time, then by body, stays.
     """
-    source = spark.readStream.format("text").load(queue).withColumnRenamed("value", "body")
-    parsed = source.select(
-        F.get_json_object("body", "$.message_id").alias("message_id"),
-        F.to_timestamp(F.get_json_object("body", "$.created_at")).alias("created_at"), "body",
-    )
-    return parsed.withWatermark("created_at", horizon).dropDuplicatesWithinWatermark(["message_id"])
+    checkpoint = checkpoint or f"{root}/_distinct_checkpoint"
+    source = _source_name(queue, checkpoint)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        parsed = batch.select(
+            F.get_json_object("body", "$.message_id").alias("message_id"),
+            F.get_json_object("body", "$.created_at").try_cast("timestamp").alias("created_at"), "body",
+        ).withColumn("message_key", F.coalesce("message_id", F.sha2("body", 256)))
+        first = parsed.groupBy("message_key").agg(
+            F.min_by(F.struct("message_id", "created_at", "body"), F.struct(F.coalesce(F.unix_micros("created_at"), F.lit(0)), "body")).alias("m")
+        ).select("message_key", "m.*")
+        seen = distinct_messages(batch.sparkSession, root).filter((F.col("ingest_source") != source) | (F.col("ingest_batch") < batch_id))
+        fresh = first.join(seen.select("message_key"), "message_key", "left_anti")
+        fresh.write.mode("overwrite").parquet(f"{root}/distinct/ingest_source={source}/ingest_batch={batch_id}")
+
+    empty = spark.createDataFrame([], DISTINCT)
+    empty.write.mode("overwrite").parquet(f"{root}/distinct/ingest_source=none/ingest_batch=-1")
+    _run_queue(spark, queue, checkpoint, run, files_per_batch)
+
+
+def distinct_messages(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema(f"{DISTINCT}, {PARTS}").parquet(f"{root}/distinct")
