@@ -27,26 +27,28 @@ def stored_url_keys(stored: DataFrame) -> DataFrame:
     )
 
 
+def _wanted(keys: DataFrame, batch: DataFrame, lookup: str, name: str) -> DataFrame:
+    """Smallest stored id per key, for the keys of the batch only.
+
+    The batch has one row per key, so the semi join comes first: a small batch is broadcast by adaptive execution and the
+    stored keys are pruned before anything of theirs is shuffled.
+    """
+    return keys.join(batch.select(lookup), lookup, "left_semi").groupBy(lookup).agg(F.min("id").alias(name))
+
+
 def dedup_by_url(incoming: DataFrame, stored: DataFrame | None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Exact decision when neither hashes nor canonical urls are set (both built-in providers).
 
     Adds status, duplicate_of and duplicate_reason. Needs seq, article_id, url. The first
     arrival per url comes from a partial ``min``; wide rows are shuffled once.
     """
-    keys = incoming.select(
-        F.col("url").alias("lookup"), F.struct("seq", "article_id").alias("arrival"),
-        F.lit(None).cast("string").alias("stored_id"),
+    table = incoming.groupBy(F.col("url").alias("lookup")).agg(
+        F.min(F.struct("seq", "article_id")).alias("_first"), F.count(F.lit(1)).alias("_n")
     )
-    if stored is not None:
-        keys = keys.unionByName(
-            stored_url_keys(stored).select(
-                "lookup", F.lit(None).cast(keys.schema["arrival"].dataType).alias("arrival"),
-                F.col("id").alias("stored_id"),
-            )
-        )
-    table = keys.groupBy("lookup").agg(
-        F.min("arrival").alias("_first"), F.min("stored_id").alias("_stored"), F.count("arrival").alias("_n")
-    ).filter(F.col("_n") > 0)
+    if stored is None:
+        table = table.withColumn("_stored", F.lit(None).cast("string"))
+    else:
+        table = table.join(_wanted(stored_url_keys(stored), table, "lookup", "_stored"), "lookup", "left")
     found = skew_lookup(incoming, F.col("url"), F.col("article_id"), table, "lookup", "_n", hot_rows)
     accepted = F.col("_stored").isNull() & (F.col("_first.seq") == F.col("seq"))
     return found.select(
@@ -95,16 +97,16 @@ def _collisions(undecided: DataFrame, accepted: DataFrame | None, pending: bool,
         .agg(F.min("acc").alias("acc"), F.min("wait").alias("wait"), F.sum("n").alias("n"))
         .filter((F.col("n") > 0) & (F.col("acc").isNotNull() | F.col("wait").isNotNull()))
     )
-    probes = undecided.select(F.struct(*undecided.columns).alias("row"), F.explode(_keys(_PROBES)).alias("k"))
-    spread = F.concat_ws("|", F.col("row.seq").cast("string"), "k")
+    # Only the row number and one key travel; what was found comes back to the row once.
+    probes = undecided.select("seq", F.explode(_keys(_PROBES)).alias("k"))
+    spread = F.concat_ws("|", F.col("seq").cast("string"), "k")
     found = skew_lookup(probes, F.col("k"), spread, table, "key", "n", hot_rows)
     kind = F.substring("k", 1, 1)
-    per_row = found.groupBy(F.col("row.seq").alias("_seq")).agg(
-        F.first("row").alias("row"),
+    per_row = found.filter(F.col("acc").isNotNull() | F.col("wait").isNotNull()).groupBy("seq").agg(
         *[F.min(F.when(kind == k, F.col("acc"))).alias(f"new_{k}") for k, _ in _PROBES],
         *[F.min(F.when(kind == k, F.col("wait"))).alias(f"wait_{k}") for k, _ in _PROBES],
     )
-    return per_row.select("row.*", *[f"{p}_{k}" for p in ("new", "wait") for k, _ in _PROBES])
+    return undecided.join(per_row, "seq", "left")
 
 
 def dedup_ordered(
@@ -172,17 +174,13 @@ def dedup_ordered(
 def hash_hits(incoming: DataFrame, stored: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Stored article with the same content hash, per incoming row; null hashes never match."""
     counts = incoming.filter(F.col("content_hash").isNotNull()).groupBy("content_hash").agg(F.count("*").alias("n"))
-    table = (
-        stored.filter(F.col("content_hash").isNotNull())
-        .groupBy("content_hash").agg(F.min("id").alias("existing_id"))
-        .join(counts, "content_hash")
-        .select(F.col("content_hash").alias("lookup"), "existing_id", "n")
-    )
+    found = _wanted(stored.select("content_hash", "id"), counts, "content_hash", "existing_id")
+    table = found.join(counts, "content_hash").select(F.col("content_hash").alias("lookup"), "existing_id", "n")
     return skew_lookup(incoming, F.col("content_hash"), F.col("article_id"), table, "lookup", "n", hot_rows)
 
 
 def url_hits(incoming: DataFrame, stored: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Stored article whose url or canonical url equals the incoming url."""
     counts = incoming.groupBy(F.col("url").alias("lookup")).agg(F.count("*").alias("n"))
-    table = stored_url_keys(stored).groupBy("lookup").agg(F.min("id").alias("existing_id")).join(counts, "lookup")
+    table = _wanted(stored_url_keys(stored), counts, "lookup", "existing_id").join(counts, "lookup")
     return skew_lookup(incoming, F.col("url"), F.col("article_id"), table, "lookup", "n", hot_rows)

@@ -22,16 +22,34 @@ def overwrite(df: DataFrame, path: str, partitions: list[str] | None = None) ->
     (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
 
 
+def replace_partitions(path: str, touched: DataFrame, fresh: DataFrame, keys: list[str]) -> None:
+    """Replace the touched groups of a table partitioned by ``keys``; the others are neither read nor written.
+
+    Groups with fresh rows are overwritten; touched groups without any are deleted with their folders. The
+    folders to delete are names of partitions, not rows.
+    """
+    spark = touched.sparkSession
+    groups = cut(touched.select(*keys).distinct(), "touched")
+    staged = cut(fresh.join(groups, keys, "left_semi"), "fresh")
+    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
+    names = [F.col(k).cast("string").alias(k) for k in keys]
+    escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for row in groups.join(staged.select(*keys).distinct(), keys, "left_anti").select(*names).toLocalIterator():
+        folder = root("/".join([path, *[escape(k, row[k]) for k in keys]]))
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def upsert_last(stored: DataFrame, changes: DataFrame, keys: list[str], version: str) -> DataFrame:
     """Upsert where the change with the highest ``version`` wins over earlier ones and the table.
 
-    ``max_by`` combines on the map side: a key changed a million times moves one row per task.
+    Of changes with one version the one with the largest values wins, so reruns agree. ``max_by`` combines on the map side: a key changed a million times moves one row per task.
     """
     values = [c for c in stored.columns if c not in keys]
     tagged = stored.select(*keys, F.struct(*values).alias("row"), F.lit(None).cast("bigint").alias("version"))
     newer = changes.select(*keys, F.struct(*values).alias("row"), F.col(version).cast("bigint").alias("version"))
     merged = tagged.unionByName(newer).groupBy(*keys).agg(
-        F.max_by("row", F.coalesce("version", F.lit(-(1 << 62)))).alias("row")
+        F.max_by("row", F.struct(F.coalesce("version", F.lit(-(1 << 62))), F.to_json("row"))).alias("row")
     )
     return merged.select(*[f"row.{c}" if c in values else c for c in stored.columns])
 
@@ -172,4 +190,5 @@ def cascade_articles(children: DataFrame, deleted: DataFrame) -> DataFrame:
 
 def restricted_sources(articles: DataFrame, deletions: DataFrame) -> DataFrame:
     """Source deletions refused because articles still use the source."""
-    return deletions.join(articles.select("source_id"), "source_id", "left_semi")
+    used = articles.select("source_id").distinct()  # combined per task: a large publisher is one row each
+    return deletions.join(used, "source_id", "left_semi")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from broadsheet import fixed
-from broadsheet.operators.mutations import replace_groups
+from broadsheet.operators.mutations import replace_groups, replace_partitions
 
 SNAPSHOT = ["state_code", "ranking_date", "ranking_window", "category_filter"]
 
@@ -34,13 +34,23 @@ def snapshot_errors(rankings: DataFrame) -> DataFrame:
     return stats.select(*SNAPSHOT, "n", error.alias("ranking_error"))
 
 
+def good_snapshots(touched: DataFrame, fresh: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Keys and rows of the touched snapshots without those that break a rule."""
+    bad = snapshot_errors(fresh).filter(F.col("ranking_error").isNotNull()).select(*SNAPSHOT)
+    return touched.select(*SNAPSHOT).distinct().join(bad, SNAPSHOT, "left_anti"), fresh.join(bad, SNAPSHOT, "left_anti")
+
+
 def replace_top_ten(stored: DataFrame, touched: DataFrame, fresh: DataFrame) -> DataFrame:
     """Replace whole snapshots. ``touched`` lists the snapshot keys, so that an empty list
     still deletes; snapshots with a broken rule change nothing."""
-    bad = snapshot_errors(fresh).filter(F.col("ranking_error").isNotNull()).select(*SNAPSHOT)
-    good_keys = touched.select(*SNAPSHOT).distinct().join(bad, SNAPSHOT, "left_anti")
-    good_rows = fresh.join(bad, SNAPSHOT, "left_anti")
-    return replace_groups(stored, good_keys, good_rows, SNAPSHOT)
+    keys, rows = good_snapshots(touched, fresh)
+    return replace_groups(stored, keys, rows, SNAPSHOT)
+
+
+def replace_top_ten_at(path: str, touched: DataFrame, fresh: DataFrame) -> None:
+    """As :func:`replace_top_ten`, on a table partitioned by snapshot: only touched partitions change."""
+    keys, rows = good_snapshots(touched, fresh)
+    replace_partitions(path, keys, rows, SNAPSHOT)
 
 
 def is_snapshot(state: str, date: str, window: str = "24h", category: str = "all") -> Column:

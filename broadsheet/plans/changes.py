@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -154,8 +156,9 @@ def i8(t: Tables) -> DataFrame:
         proposed.filter("k % 6 = 3").withColumn("ranking_score", F.expr("cast(ranking_score - 1 as decimal(12,4))")).drop("k")
     )
     path = scratch_path(t.spark, "rankings")
-    mutations.overwrite(rankings.replace_top_ten(stored, touched, fresh), path)
-    return t.spark.read.parquet(path).select(
+    stored.write.partitionBy(*rankings.SNAPSHOT).parquet(path)
+    rankings.replace_top_ten_at(path, touched, fresh)
+    return t.spark.read.schema(stored.schema).parquet(path).select(
         "state_code", F.date_format("ranking_date", "yyyy-MM-dd").alias("ranking_date"),
         F.col("rank_position").cast("bigint").alias("rank_position"), "article_id", "ranking_score",
     )
@@ -245,7 +248,7 @@ def i14(t: Tables) -> DataFrame:
 
 @query("i15_cascades", "docs article_states rankings", """
 SELECT 'article_states' AS entity, count(*) AS n FROM article_states WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)
-UNION ALL SELECT 'article_labels', count(*) FROM docs WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)
+UNION ALL SELECT unnest(['article_labels', 'article_countries', 'article_districts', 'article_cities']), count(*) FROM docs WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)
 UNION ALL SELECT 'state_news_rankings', count(*) FROM rankings WHERE article_id NOT IN (SELECT article_id FROM docs JOIN labels USING (doc_id) WHERE toxic = 1)
 UNION ALL SELECT 'restricted_sources', count(DISTINCT source_name) FROM docs""")
 def i15(t: Tables) -> DataFrame:
@@ -254,8 +257,8 @@ def i15(t: Tables) -> DataFrame:
     tables = relational_tables(t)
     left = [
         mutations.cascade_articles(tables[name], deleted).agg(F.lit(name).alias("entity"), F.count("*").alias("n"))
-        for name in ("article_states", "article_labels", "state_news_rankings")
+        for name in ("article_states", "article_labels", "article_countries", "article_districts", "article_cities", "state_news_rankings")
     ]
     wanted = t.articles.select("source_id").distinct().unionByName(t.sources.select(F.col("id").alias("source_id")))
     refused = mutations.restricted_sources(t.articles, wanted).agg(F.lit("restricted_sources").alias("entity"), F.count("*").alias("n"))
-    return left[0].unionByName(left[1]).unionByName(left[2]).unionByName(refused)
+    return reduce(DataFrame.unionByName, [*left, refused])

@@ -218,24 +218,70 @@ def d17(t: Tables) -> DataFrame:
     return reduce(DataFrame.unionByName, results)
 
 
-@query("d18_unique_keys", "docs", """
-SELECT 'content_hash' AS key, count(*) AS repeated_values, CAST(coalesce(sum(n), 0) AS BIGINT) AS rows_involved FROM (SELECT content_hash, count(*) AS n FROM docs GROUP BY 1 HAVING count(*) > 1)
-UNION ALL SELECT 'url', 0, 0 UNION ALL SELECT 'canonical_url', 0, 0 UNION ALL SELECT 'id', 0, 0""")
+@query("d18_unique_keys", "docs users", """
+SELECT * FROM (WITH keys AS (SELECT unnest(['news_sources:id', 'news_sources:name,source_type', 'indian_states:code', 'indian_states:short_code', 'indian_states:name', 'districts:id',
+  'districts:state_code,name', 'districts:state_code,slug', 'cities:id', 'cities:state_code,name', 'cities:state_code,slug', 'articles:id', 'articles:url', 'articles:canonical_url',
+  'articles:content_hash', 'article_labels:article_id,label', 'article_countries:article_id,country_code', 'article_states:article_id,state_code',
+  'article_districts:article_id,district_id', 'article_cities:article_id,city_id', 'app_users:id', 'app_users:email', 'user_favorite_countries:user_id,country_code',
+  'user_favorite_countries:user_id,priority', 'user_favorite_states:user_id,state_code',
+  'state_news_rankings:state_code,ranking_date,ranking_window,category_filter,rank_position',
+  'state_news_rankings:state_code,ranking_date,ranking_window,category_filter,article_id']) AS k),
+repeats AS (
+  SELECT 'articles:content_hash' AS k, count(*) AS n FROM docs GROUP BY content_hash HAVING count(*) > 1
+  UNION ALL SELECT 'app_users:email', count(*) FROM users GROUP BY CASE WHEN c_custkey % 10 = 3 THEN 'u' || c_custkey % 40 ELSE email END HAVING count(*) > 1)
+SELECT split_part(k, ':', 1) AS table_name, split_part(k, ':', 2) AS key, count(n) AS repeated_values, CAST(coalesce(sum(n), 0) AS BIGINT) AS rows_involved
+FROM keys LEFT JOIN repeats USING (k) GROUP BY k)""")
 def d18(t: Tables) -> DataFrame:
+    """Every unique key over its whole table; some e-mails are made to repeat."""
+    tables = relational_tables(t)
+    tables["app_users"] = tables["app_users"].withColumn("email", F.expr("if(c_custkey % 10 = 3, concat('u', c_custkey % 40), email)"))
     checks = [
-        audits.repeated_keys(t.articles, keys).agg(
-            F.lit(keys[0]).alias("key"), F.count("*").alias("repeated_values"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows_involved")
+        audits.repeated_keys(tables[name], keys).agg(
+            F.lit(name).alias("table_name"), F.lit(",".join(keys)).alias("key"), F.count("*").alias("repeated_values"),
+            F.coalesce(F.sum("n"), F.lit(0)).alias("rows_involved"),
         )
-        for keys in audits.UNIQUE_KEYS["articles"]
+        for name, all_keys in audits.UNIQUE_KEYS.items() for keys in all_keys
     ]
     return reduce(DataFrame.unionByName, checks)
 
 
-@query("d19_foreign_keys", sql="""
-SELECT o_custkey AS value, count(*) AS n FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'MACHINERY') GROUP BY ALL""")
+@query("d19_foreign_keys", "docs article_states users states sources favorite_countries favorite_states rankings", """
+SELECT * FROM (WITH districts AS (SELECT 'district-' || p_partkey AS id, 'N-' || lpad((p_partkey % 25)::VARCHAR, 2, '0') AS state_code FROM part WHERE p_size <> 7),
+cities AS (SELECT 'city-' || p_partkey AS id, 'N-' || lpad((p_partkey % 25)::VARCHAR, 2, '0') AS state_code, 'district-' || (p_partkey - p_partkey % 50 + p_partkey % 25) AS district_id FROM part),
+articles AS (SELECT article_id AS id, sha256(source_name || '|RSS') AS source_id FROM docs WHERE doc_id % 9 <> 4),
+parents AS (
+  SELECT 'indian_states' AS parent, code AS v FROM states WHERE n_nationkey <> 24 UNION ALL SELECT 'districts', id FROM districts UNION ALL SELECT 'cities', id FROM cities
+  UNION ALL SELECT 'news_sources', id FROM sources UNION ALL SELECT 'articles', id FROM articles UNION ALL SELECT 'app_users', id FROM users WHERE c_custkey % 8 <> 1),
+children AS (
+  SELECT 'districts' AS child, 'state_code' AS col, 'indian_states' AS parent, state_code AS v FROM districts
+  UNION ALL SELECT 'cities', 'state_code', 'indian_states', state_code FROM cities UNION ALL SELECT 'cities', 'district_id', 'districts', district_id FROM cities
+  UNION ALL SELECT 'articles', 'source_id', 'news_sources', source_id FROM articles
+  UNION ALL SELECT unnest(['article_labels', 'article_countries', 'article_districts', 'article_cities']), 'article_id', 'articles', article_id FROM docs
+  UNION ALL SELECT 'article_states', 'article_id', 'articles', article_id FROM article_states UNION ALL SELECT 'article_states', 'state_code', 'indian_states', state_code FROM article_states
+  UNION ALL SELECT 'article_districts', 'district_id', 'districts', 'district-' || doc_id % 50 FROM docs UNION ALL SELECT 'article_cities', 'city_id', 'cities', 'city-' || doc_id % 50 FROM docs
+  UNION ALL SELECT 'user_favorite_countries', 'user_id', 'app_users', user_id FROM favorite_countries UNION ALL SELECT 'user_favorite_states', 'user_id', 'app_users', user_id FROM favorite_states
+  UNION ALL SELECT 'user_favorite_states', 'state_code', 'indian_states', state_code FROM favorite_states
+  UNION ALL SELECT 'state_news_rankings', 'state_code', 'indian_states', state_code FROM rankings UNION ALL SELECT 'state_news_rankings', 'article_id', 'articles', article_id FROM rankings),
+judged AS (SELECT c.child, c.col, c.parent, c.v, p.v IS NULL AS orphan FROM children c LEFT JOIN (SELECT DISTINCT parent, v FROM parents) p ON c.parent = p.parent AND c.v = p.v)
+SELECT child AS table_name, col AS column_name, parent AS parent_table, count(DISTINCT v) FILTER (WHERE orphan) AS orphan_values, count(*) FILTER (WHERE orphan) AS orphan_rows
+FROM judged GROUP BY ALL)""")
 def d19(t: Tables) -> DataFrame:
-    parents = t.base("customer").filter("c_mktsegment <> 'MACHINERY'")
-    return audits.orphans(t.base("orders"), "o_custkey", parents, "c_custkey")
+    """Every declared foreign key over its whole tables, with some parents taken away."""
+    tables = relational_tables(t)
+    tables["articles"] = tables["articles"].filter("doc_id % 9 <> 4")
+    tables["districts"] = t.base("part").filter("p_size <> 7").select(
+        F.expr("concat('district-', p_partkey)").alias("id"), F.expr("concat('N-', lpad(cast(p_partkey % 25 as string), 2, '0'))").alias("state_code")
+    )
+    tables["app_users"] = tables["app_users"].filter("c_custkey % 8 <> 1")
+    tables["indian_states"] = tables["indian_states"].filter("code <> 'N-24'")
+    checks = [
+        audits.orphans(tables[child], column, tables[parent], key).agg(
+            F.lit(child).alias("table_name"), F.lit(column).alias("column_name"), F.lit(parent).alias("parent_table"),
+            F.count("*").alias("orphan_values"), F.coalesce(F.sum("n"), F.lit(0)).alias("orphan_rows"),
+        )
+        for child, column, parent, key in audits.FOREIGN_KEYS
+    ]
+    return reduce(DataFrame.unionByName, checks)
 
 
 def proposed_rankings(t: Tables) -> DataFrame:
