@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from broadsheet.llm.common import in_small_batches
+
 #: Runs remembered per task, then forgotten; and the longest run (characters) remembered.
 CACHE, CACHE_RUN = 250_000, 64
 _RUN = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
@@ -172,7 +174,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
                 values = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(pa.array(ends), values)], ["doc_id", "ids"])
 
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    source = in_small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return source.mapInArrow(run, "doc_id long, ids array<int>")
 
 

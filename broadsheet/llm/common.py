@@ -38,3 +38,18 @@ def tokenizer_pattern() -> str:
     import public_tokenizers
 
     return public_tokenizers.PATTERN
+
+
+#: Rows and bytes that travel to Python at once.
+BATCH_ROWS, BATCH_BYTES = 2_000, 8 << 20
+
+
+def in_small_batches(docs: DataFrame) -> DataFrame:
+    """``docs``, whose session now hands texts to Python in small batches, so memory does not follow their length."""
+    conf = docs.sparkSession.conf
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{key}"
+        now = int(conf.get(name, str(most)).rstrip("b"))
+        if now <= 0 or now > most:
+            conf.set(name, str(most))
+    return docs

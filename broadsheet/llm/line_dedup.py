@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from broadsheet.llm.common import SPACE, free_name
+from broadsheet.llm.common import SPACE, free_name, in_small_batches
 from broadsheet.session import cut, scratch_path
 
 MIN_CHARS = 10
@@ -74,7 +74,7 @@ def references(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
         if ids:
             yield flush(digests, ids)
 
-    named = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    named = in_small_batches(docs).filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return named.mapInArrow(keys, "k1 long, k2 long, doc_id long")
 
 

@@ -29,6 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from broadsheet.llm.common import in_small_batches
 from broadsheet.session import cut
 
 HOT_WORDS, BIGRAM_WORDS, TRIGRAM_WORDS, NGRAM_SHARE = 400_000, 5_000, 1_000, 1e-6
@@ -36,7 +37,7 @@ DISCOUNT = 0.75
 END = b"\n"  # no word holds white space
 _FLUSH = 300_000
 #: Words remembered per task, then forgotten.
-CACHE = 400_000
+CACHE = 300_000
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -50,7 +51,7 @@ def word_hash(word: bytes) -> int:
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("text").cast("string").alias("text"))
+    return in_small_batches(docs).select(F.col("text").cast("string").alias("text"))
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -264,7 +265,7 @@ def score(docs: DataFrame, training: Column) -> DataFrame:
                     ["doc_id", "key", "n_tokens", "n_hot", "base_hot", "score_hot", "rare"],
                 )
 
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    source = in_small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, key long, n_tokens long, n_hot long, base_hot double, score_hot double, rare array<struct<word: long, n: int>>"
     passed = cut(source.mapInArrow(traverse, schema), "passed")
     rare = passed.select("key", F.explode("rare").alias("r")).select("key", "r.word", "r.n")

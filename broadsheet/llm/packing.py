@@ -27,13 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from broadsheet.llm.common import in_small_batches
 from broadsheet.session import cut
 
 WINDOW = 2048
 END_ID = 1
 GROUP_PIECES = 100_000
 #: Words remembered per task, then forgotten; and the largest word remembered.
-CACHE, CACHE_WORD = 300_000, 64
+CACHE, CACHE_WORD = 200_000, 64
 TAIL = ".,!?;:%&*$#|"
 #: Texts encoded at once.
 _TEXTS = 500
@@ -127,7 +128,7 @@ def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int =
                         rows.append((doc_id, start, len(piece) // 4, zlib.crc32(piece), total))
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names)
 
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    source = in_small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return source.mapInArrow(cut_up, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from broadsheet.llm.common import free_name
+from broadsheet.llm.common import free_name, in_small_batches
 from broadsheet.llm.components import components
 from broadsheet.session import cut
 
@@ -133,7 +133,7 @@ def link_fingerprints(prints: DataFrame, max_bits: int = 4) -> DataFrame:
 
 def groups(docs: DataFrame, max_bits: int = 4, words_per_shingle: int = 4, seed: int = 42) -> DataFrame:
     """doc_id, fingerprint (long) and component_id of every row."""
-    prints = cut(docs.select("doc_id", fingerprint_column("text", words_per_shingle, seed).alias("print")), "prints")
+    prints = cut(in_small_batches(docs).select("doc_id", fingerprint_column("text", words_per_shingle, seed).alias("print")), "prints")
     named = prints.filter("doc_id IS NOT NULL")
     merged = cut(named.groupBy("print").agg(F.min("doc_id").alias("id")), "merged")
     linked = link_fingerprints(merged, max_bits)

@@ -33,13 +33,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from broadsheet.llm.common import in_small_batches
+
 WORD = re.compile(r"\w+")
 PREFIXES = (3, 4, 5, 6)
 WINDOW = 16
 SPAN_LEVEL = 0.5
 MAX_TOXIC, MAX_CLEAN = 1_500, 2_500
 #: Known words are remembered per task up to this many, then forgotten.
-CACHE = 400_000
+CACHE = 150_000
 
 
 def features(word: str) -> list[str]:
@@ -303,4 +305,4 @@ def train(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_cl
 
 def toxic_column(docs: DataFrame, labels: DataFrame, text: str = "text") -> Column:
     """Fit on the labelled documents given and return the struct(score, spans) column of ``text``."""
-    return scorer(train(docs, labels))(F.col(text))
+    return scorer(train(in_small_batches(docs), labels))(F.col(text))

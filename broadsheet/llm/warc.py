@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from broadsheet.llm.common import in_small_batches
 from broadsheet.session import cut, scratch_path
 
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -65,7 +66,7 @@ def _headers(date: str) -> tuple[Column, Column]:
 
 def write_archive(pages: DataFrame, path: str, min_bytes: int = 0, date: str = "1970-01-01T00:00:00Z") -> None:
     """Write ``path``/records and ``path``/payloads."""
-    source = pages.select(
+    source = in_small_batches(pages).select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
         F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("payload"),
     )
