@@ -51,7 +51,7 @@ def test_urls(spark):
         "http://ex.com/a b?q=é#ü": "http://ex.com/a%20b?q=%C3%A9#%C3%BC", "https://bücher.de/x": "https://xn--bcher-kva.de/x",
         "ftp://x": None, "not": None, "http://": None, "http://a.b:99999": None, "http://u:p@H.com:8080": "http://u:p@h.com:8080/",
         "https://example.com?x=1": "https://example.com/?x=1", "http://ex.com/a/..": "http://ex.com/", "http://ex ample.com": None,
-        "https://x.com/" + "a" * 2083: None,
+        "https://x.com/" + "a" * 2083: None, "http://e.com/" + "../" * 400_000 + "x": "http://e.com/x",
     }
     assert values(spark, urls.normalize_url, list(cases)) == list(cases.values())
     uris = ["s3://b/k", " s3://b/k ", "s3://b", "s3://b/", "s3:///k", "http://b/k", "s3:// / "]
@@ -77,11 +77,11 @@ def test_scores(spark):
 
 def test_api_payload(spark):
     articles = [
-        {"url": "https://example.com/a", "title": "One", "seendate": "20260625T143000Z", "socialimage": "https://example.com/i.jpg",
-         "domain": "example.com", "language": "English", "sourcecountry": "India"},
-        {"url": "https://news.example.org/b", "title": "Two", "seendate": "20260625123000", "socialimage": "not-an-image",
+        {"url": "https://press.test/a", "title": "One", "seendate": "20260411T081500Z", "socialimage": "https://press.test/i.jpg",
+         "domain": "press.test", "language": "English", "sourcecountry": "India"},
+        {"url": "https://wire.gazette.test/b", "title": "Two", "seendate": "20260412060000", "socialimage": "no picture",
          "language": "English", "sourcecountry": "United States"},
-        {"url": "", "title": "Three", "seendate": "20260625T120000Z"}, "stray", {"url": "https://x.com/c", "title": " "},
+        {"url": "", "title": "Three", "seendate": "20260413T000000Z"}, 42, {"url": "https://other.test/c", "title": " "},
     ]
     bodies = [json.dumps({"articles": articles}), "[]", "{}", '{"articles": {}}', '{"articles": null}', "nope"]
     raw = spark.createDataFrame([(str(i), b, "api") for i, b in enumerate(bodies)], "payload_id string, body string, provider string")
@@ -92,24 +92,24 @@ def test_api_payload(spark):
     rows = mapped.orderBy("pos").collect()
     assert [r.reject_reason for r in rows] == [None, None, "url_empty", "not_an_object", "title_empty"]
     assert (rows[0].source_country_code, rows[0].language_code, rows[1].source_country_code) == ("IN", "en", "US")
-    assert (rows[1].source_name, rows[1].image_url, rows[4].reject_source_id) == ("news.example.org", None, "https://x.com/c")
+    assert (rows[1].source_name, rows[1].image_url, rows[4].reject_source_id) == ("wire.gazette.test", None, "https://other.test/c")
 
 
 FEED = """<?xml version="1.0"?><rss version="2.0" xmlns:media="http://search.yahoo.com/mrss/"><channel><title>T</title>
-<item><title>Space link</title><link> https://example.com/a </link><description><![CDATA[<p>Lunar <b>test</b></p>]]></description>
-<pubDate>Wed, 24 Jun 2026 14:30:00 GMT</pubDate><media:content url="https://example.com/i.jpg" type="image/jpeg"/></item>
-<item><title>Again</title><link>https://example.com/a</link><pubDate>Wed, 24 Jun 2026 14:35:00 GMT</pubDate></item>
-<item><title>Mission</title><link>https://example.com/b</link><pubDate>Tue, 23 Jun 2026 09:00:00 GMT</pubDate>
-<enclosure url="https://example.com/e.png" type="image/png"/></item>
-<item><title></title><link>https://example.com/c</link><guid>g-3</guid><pubDate>Tue, 23 Jun 2026 08:00:00 GMT</pubDate></item>
-<item><title>Old</title><link>https://example.com/d</link><pubDate>Thu, 01 Jan 2026 10:00:00 GMT</pubDate></item></channel></rss>"""
+<item><title>Gap in link</title><link> https://press.test/a </link><description><![CDATA[<p>Harbour <b>test</b></p>]]></description>
+<pubDate>Tue, 14 Apr 2026 07:10:00 GMT</pubDate><media:content url="https://press.test/i.jpg" type="image/jpeg"/></item>
+<item><title>Again</title><link>https://press.test/a</link><pubDate>Tue, 14 Apr 2026 07:12:00 GMT</pubDate></item>
+<item><title>Regatta</title><link>https://press.test/b</link><pubDate>Mon, 13 Apr 2026 21:00:00 GMT</pubDate>
+<enclosure url="https://press.test/e.png" type="image/png"/></item>
+<item><title></title><link>https://press.test/c</link><guid>g-3</guid><pubDate>Mon, 13 Apr 2026 20:00:00 GMT</pubDate></item>
+<item><title>Old</title><link>https://press.test/d</link><pubDate>Sun, 01 Feb 2026 10:00:00 GMT</pubDate></item></channel></rss>"""
 
 
 def feed(spark, rows):
     schema = "payload_id string, body string, query string, cap int"
     raw = spark.createDataFrame(rows, schema)
     for name, value in {
-        "timespan": "7d", "provider": "feed", "source_id": "s", "source_name": "Feed", "source_homepage_url": "https://example.com/",
+        "timespan": "7d", "provider": "feed", "source_id": "s", "source_name": "Feed", "source_homepage_url": "https://press.test/",
         "source_country_code": "US", "default_category": "General", "feed_language": "en", "expected_format": "atom",
     }.items():
         raw = raw.withColumn(name, F.lit(value))
@@ -117,20 +117,20 @@ def feed(spark, rows):
 
 
 def test_feed_decisions(spark):
-    parsed = feed(spark, [("all", FEED, "", 25), ("lunar", FEED, "LUNAR", 25), ("one", FEED, "", 1), ("empty", "", "", 25), ("html", "<html/>", "", 25)])
+    parsed = feed(spark, [("all", FEED, "", 25), ("harbour", FEED, "HARBOUR", 25), ("one", FEED, "", 1), ("empty", "", "", 25), ("html", "<html/>", "", 25)])
     errors = {r.payload_id: r.payload_error for r in parsed.filter("payload_error is not null").collect()}
     assert errors == {"empty": "parse_error_without_entries", "html": "unknown_format_without_entries"}
     mapped = feed_xml.map_entries(feed_xml.explode_entries(parsed))
-    as_of = F.lit("2026-06-25 12:00:00").cast("timestamp")
+    as_of = F.lit("2026-04-15 09:00:00").cast("timestamp")
     rows = feed_xml.decide_entries(mapped, as_of).orderBy("payload_id", "pos").collect()
     status = {}
     for r in rows:
         status.setdefault(r.payload_id, []).append(r.status)
     assert status["all"] == ["accepted", "duplicate", "accepted", "rejected", "filtered"]
-    assert status["lunar"] == ["accepted", "duplicate", "filtered", "rejected", "filtered"]
+    assert status["harbour"] == ["accepted", "duplicate", "filtered", "rejected", "filtered"]
     assert status["one"] == ["accepted", "unread", "unread", "unread", "unread"]
     first = [r for r in rows if r.payload_id == "all"]
-    assert (first[0].description, first[0].image_url, first[2].image_url) == ("Lunar test", "https://example.com/i.jpg", "https://example.com/e.png")
+    assert (first[0].description, first[0].image_url, first[2].image_url) == ("Harbour test", "https://press.test/i.jpg", "https://press.test/e.png")
     assert first[3].reject_source_id == "g-3"
     assert parsed.filter(feed_xml.format_mismatch()).count() == 3
 
@@ -217,3 +217,33 @@ def test_failed_rows_write_nothing(spark):
     narrow = df.withColumn("unfit", F.col("_e").isNotNull())
     got = {r.seq: r.status for r in dedup.dedup_ordered(narrow).collect()}
     assert got == {0: "failed", 1: "failed", 2: "failed", 3: "stored"}
+
+
+def test_limits_outside_the_contract_are_refused(spark):
+    rows = [("p", i, i) for i in range(260)]
+    mapped = spark.createDataFrame(rows, "payload_id string, pos int, n int").withColumn("published_at", F.timestamp_seconds("n"))
+    kept = lambda most: api_json.newest_per_payload(mapped.withColumn("max_records", F.lit(most))).count()
+    assert (kept(250), kept(3)) == (250, 3)
+    for most in (251, 0):
+        with pytest.raises(Exception, match="max_records_invalid"):
+            kept(most)
+    items = "".join(f"<item><title>T{i}</title><link>https://press.test/{i}</link><pubDate>14 Apr 2026 07:00:00 GMT</pubDate></item>" for i in range(260))
+    body = f'<?xml version="1.0"?><rss version="2.0"><channel><title>T</title>{items}</channel></rss>'
+
+    def accepted(cap):
+        mapped = feed_xml.map_entries(feed_xml.explode_entries(feed(spark, [("all", body, "", cap)])))
+        return feed_xml.decide_entries(mapped, F.lit("2026-04-15 09:00:00").cast("timestamp")).filter("status = 'accepted'").count()
+
+    assert accepted(200) == 200
+    with pytest.raises(Exception, match="max_records_invalid"):
+        accepted(201)
+
+
+def test_shared_folder_is_needed_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    from broadsheet.session import shared_root
+
+    context = SimpleNamespace(master="spark://head:7077", getCheckpointDir=lambda: None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_root(SimpleNamespace(conf={}, sparkContext=context))
