@@ -29,6 +29,41 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", *base, F.col("_kept").alias("kept"))
 
 
+ORACLES["op1_quality_rules"] = r"""
+WITH w AS (
+  SELECT doc_id, coalesce(lang, chr(1)) AS stratum, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), windows AS (
+  SELECT doc_id, i, ws[i:i + 2] AS three FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)
+), covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (
+    SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, three) AS times FROM windows) WHERE times > 1) GROUP BY doc_id
+), base AS (
+  SELECT doc_id, stratum, len(ws) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+         length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols, length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS n_upper,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls, coalesce(n, 0) AS n_repeat_words
+  FROM w LEFT JOIN covered USING (doc_id)
+), measured AS (
+  SELECT doc_id, stratum, n_words, word_chars, n_symbols, len(ls) - len(list_distinct(ls)) AS n_dup_lines, n_repeat_words,
+         n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+         [n_symbols / greatest(word_chars, 1), n_repeat_words / greatest(n_words, 1), (len(ls) - len(list_distinct(ls))) / greatest(len(ls), 1), n_upper / greatest(word_chars, 1)] AS signals
+  FROM base
+), held AS (
+  SELECT stratum, signals FROM measured WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)
+), tests AS (
+  SELECT stratum, s, c, count(*) AS n, count(*) FILTER (WHERE signals[s] >= c) AS k
+  FROM held, (SELECT unnest(range(1, 5)) AS s), (SELECT unnest([0.01, 0.02, 0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.4, 0.5, 0.6, 0.75, 0.9]) AS c) GROUP BY ALL
+), admitted AS (
+  SELECT stratum, s, min(c) AS cutoff FROM tests
+  WHERE k < n * 0.0125 AND list_sum(list_transform(range(0, k + 1), lambda j: exp(
+    lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln(0.0125) + (n - j) * ln(0.9875)))) <= 0.05 / (SELECT count(*) FROM tests)
+  GROUP BY ALL
+), hit AS (SELECT DISTINCT m.doc_id FROM measured m JOIN admitted a ON m.stratum = a.stratum AND m.signals[a.s] >= a.cutoff)
+SELECT doc_id, cast(n_words AS BIGINT) AS n_words, cast(word_chars AS BIGINT) AS word_chars, cast(n_symbols AS BIGINT) AS n_symbols, cast(n_dup_lines AS BIGINT) AS n_dup_lines,
+       cast(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed, NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM hit) AS kept
+FROM measured
+"""
+
+
 @query
 def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity score and spans of every document; one fold of the labels is never learnt from."""
@@ -37,7 +72,7 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     scored = docs.select("doc_id", toxicity.toxic_column(docs, labels).alias("_t"))
     return scored.select(
         "doc_id",
-        (id_remainder(F.col("doc_id"), 3) == 1).alias("held_out"),
+        F.coalesce(id_remainder(F.col("doc_id"), 3) == 1, F.lit(False)).alias("held_out"),
         F.col("_t.score").alias("score"),
         (F.col("_t.score") >= 0.7).cast("int").alias("predicted"),
         F.col("_t.spans").alias("spans"),
