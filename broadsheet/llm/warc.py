@@ -86,10 +86,15 @@ def write_archive(pages: DataFrame, path: str, min_bytes: int = 0, date: str = "
         "page_id", warc.cast("binary").alias("header"), http.cast("binary").alias("http_header"),
         F.when(F.col("refers_to").isNull(), F.col("digest")).alias("digest"),
     ).write.option("compression", "zstd").parquet(f"{path}/records")
-    chosen = first.select(F.col("first_page").alias("_page"), "_digest")
+    stored = source.withColumn("digest", digest).select("page_id", "digest", "payload")
+    # Joined and made distinct by the same two columns, so a payload is moved once.
+    chosen = first.filter("first_page IS NOT NULL").select(F.col("first_page").alias("_page"), "_digest")
+    named = stored.join(chosen, (F.col("page_id") == F.col("_page")) & (F.col("digest") == F.col("_digest")), "left_semi")
+    # Payloads that only pages without an id have.
+    unnamed = stored.filter("page_id IS NULL").join(first.filter("first_page IS NULL"), F.col("digest") == F.col("_digest"), "left_semi")
     (
-        source.join(chosen, F.col("page_id").eqNullSafe(F.col("_page")) & (digest == F.col("_digest")), "left_semi")
-        .withColumn("digest", digest).dropDuplicates(["page_id", "digest"]).select("digest", "payload")
+        named.dropDuplicates(["page_id", "digest"]).select("digest", "payload")
+        .unionByName(unnamed.dropDuplicates(["digest"]).select("digest", "payload"))
         .write.option("compression", "zstd").parquet(f"{path}/payloads")
     )
 
