@@ -1,17 +1,19 @@
 """Language-model scores by a weighted backoff automaton.
 
 Counts are taken over all training documents. Every word has a smoothed unigram probability
-``(c + 0.5) / (N + 0.5 * (V + 1))``. Words whose share of the tokens is at least ``1 / HOT_WORDS`` are hot (by that bound
-no more than ``HOT_WORDS``); bigrams of words with a share of ``1 / BIGRAM_WORDS`` and trigrams of words with a share of
-``1 / TRIGRAM_WORDS`` are counted, and those with a share of ``NGRAM_SHARE`` (again a bound on their number) and two
-occurrences become arcs with absolutely discounted probabilities. A state is a history with arcs; its failure arc
+``(c + 0.5) / (N + 0.5 * (V + 1))``. Every bigram and trigram of two occurrences or more, of whatever words and at every
+size of the corpus, is an arc with an absolutely discounted probability. A state is a history with arcs; its failure arc
 leads to the shorter history and carries the backoff weight that makes every state's distribution sum to one.
+``Automaton`` is the plain form for small models.
 
-A text is scored in one traversal from left to right, from the begin state to the end token. Hot words
-are served by the automaton. Any other word takes the failure arcs to the root and has its unigram weight added by a
-join with the whole count table, so rare words are exact and nothing that grows with the corpus is broadcast.
+The automaton of a corpus is a shared table instead, for its score of a text is a sum over the text's n-grams: a trigram
+with an arc adds the log probability of that arc less the way around it (failure arc, then the bigram's arc), a bigram
+with an arc likewise, and a word or bigram that is a history adds its failure weight once per occurrence. N-grams without
+an arc add nothing. So ``model_table`` has one row per word, bigram arc and trigram arc, and a text's n-grams are joined with it.
+What occurs with a share of ``1 / CACHED`` (by that bound at most ``CACHED`` rows of each size) is also broadcast, to be looked up
+in place; the cache never decides whether an arc exists, everything it does not hold goes to the join.
 
-Word counts are keyed by a 64-bit hash of the word. Defined results: a null or empty text is the end token alone; null ids are scored,
+Words, bigrams and trigrams are keyed by 64-bit hashes. Defined results: a null or empty text is the end token alone; null ids are scored,
 not learnt from and not held out; repeated rows are scored alike and counted as often as they occur; extra columns are
 ignored; without training documents every known-word count is zero and all scores follow the formula with N = V = 0.
 """
@@ -20,7 +22,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +34,10 @@ from pyspark.sql import functions as F
 from broadsheet.llm.common import in_small_batches
 from broadsheet.session import cut
 
-HOT_WORDS, BIGRAM_WORDS, TRIGRAM_WORDS, NGRAM_SHARE = 400_000, 5_000, 1_000, 1e-6
+#: Rows of each size that the broadcast cache and the broadcast side of a join may hold.
+CACHED, HOT_KEYS = 400_000, 50_000
 DISCOUNT = 0.75
-END = b"\n"  # no word holds white space
+END, BEGIN = b"\n", b"\n\n"  # no word holds white space
 _FLUSH = 300_000
 #: Words remembered per task, then forgotten.
 CACHE = 300_000
@@ -77,67 +80,133 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return _texts(docs).mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
 
-class Vocabulary:
-    """Numbers of hot words (most frequent first), remembered per task; -1 for all others."""
+class Hashes(dict):
+    """Hashes of words, remembered per task."""
 
-    def __init__(self, hot: np.ndarray) -> None:
-        self.number = {int(h): i for i, h in enumerate(hot)}
-        self.known: dict[bytes, int] = {}
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > CACHE:
+            self.clear()
+        self[word] = value = word_hash(word)
+        return value
 
-    def numbers(self, words: list[bytes]) -> list[int]:
-        known = self.known
-        if len(known) > CACHE:
-            known.clear()
-        try:
-            return list(map(known.__getitem__, words))
-        except KeyError:
-            for w in words:
-                if w not in known:
-                    known[w] = self.number.get(word_hash(w), -1)
-            return list(map(known.__getitem__, words))
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
-def ngram_counts(docs: DataFrame, hot, n_bigram: int, n_trigram: int) -> DataFrame:
-    """size, code, n: bigrams of the first ``n_bigram`` hot words and trigrams of the first ``n_trigram``.
 
-    Number 0 in a code is the begin of a text, w + 1 is hot word w.
+class Grams:
+    """Hashes of the words and n-grams of texts, each text with its begin and end. ``pairs[i]`` starts at word i."""
+
+    def __init__(self, texts: Iterable[str | None], known: Hashes) -> None:
+        words, sizes = [], []
+        for text in texts:
+            tokens = [BEGIN, *words_of(text), END]
+            words.append(np.fromiter(map(known.__getitem__, tokens), np.int64, len(tokens)))
+            sizes.append(len(tokens))
+        self.words = np.concatenate(words) if words else np.zeros(0, dtype=np.int64)
+        self.sizes = np.array(sizes, dtype=np.int64)
+        self.text = np.repeat(np.arange(len(sizes)), self.sizes)
+        unsigned = self.words.view(np.uint64)
+        pairs = _mixed(unsigned[:-1] * np.uint64(0x9E3779B97F4A7C15) + unsigned[1:])
+        self.pairs = pairs.view(np.int64)
+        self.triples = _mixed(pairs[:-1] * np.uint64(0xC2B2AE3D27D4EB4F) + unsigned[2:]).view(np.int64)
+        # An n-gram may not reach over the end of its text.
+        self.in_pairs = np.flatnonzero(self.text[1:] == self.text[:-1])
+        self.in_triples = np.flatnonzero(self.text[2:] == self.text[:-2])
+
+
+def ngram_counts(docs: DataFrame) -> DataFrame:
+    """size, gram, history, low, n: occurrences of all bigrams and trigrams, summed per task before the shuffle.
+
+    ``history`` is the n-gram without its last word, ``low`` without its first.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(hot.value)
+        known = Hashes()
 
-        def flush(size: int, parts: list[np.ndarray]) -> pa.RecordBatch:
-            codes, n = np.unique(np.concatenate(parts), return_counts=True)
+        def flush(size: int, parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+            gram, history, low = (np.concatenate(c) for c in zip(*parts))
+            gram, at, n = np.unique(gram, return_index=True, return_counts=True)
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(codes), size, dtype=np.int32)), pa.array(codes), pa.array(n.astype(np.int64))], ["size", "code", "n"]
+                [pa.array(np.full(len(gram), size, dtype=np.int32)), pa.array(gram), pa.array(history[at]), pa.array(low[at]), pa.array(n.astype(np.int64))],
+                ["size", "gram", "history", "low", "n"],
             )
 
-        held: dict[int, list[np.ndarray]] = {2: [], 3: []}
+        held: dict[int, list[tuple[np.ndarray, ...]]] = {2: [], 3: []}
         waiting = {2: 0, 3: 0}
         for batch in batches:
-            for text in batch.column(0):
-                ids = np.array([-1, *vocabulary.numbers([*words_of(text.as_py()), END])], dtype=np.int64) + 1
-                begin = np.zeros(len(ids), dtype=bool)
-                begin[0] = True
-                for size, limit in ((2, n_bigram), (3, n_trigram)):
-                    if len(ids) < size:
-                        continue
-                    good = (ids >= 1) & (ids <= limit) | begin
-                    whole = good[size - 1 :].copy()
-                    code = ids[: len(whole)].copy()
-                    for k in range(size - 1):
-                        whole &= good[k : k + len(whole)]
-                        code = code * (limit + 1) + ids[k + 1 : k + 1 + len(whole)]
-                    held[size].append(code[whole])
-                    waiting[size] += int(whole.sum())
-                    if waiting[size] >= 4_000_000:
-                        yield flush(size, held[size])
-                        held[size], waiting[size] = [], 0
+            if not batch.num_rows:
+                continue
+            g = Grams((t.as_py() for t in batch.column(0)), known)
+            two, three = g.in_pairs, g.in_triples
+            held[2].append((g.pairs[two], g.words[two], g.words[two + 1]))
+            held[3].append((g.triples[three], g.pairs[three], g.pairs[three + 1]))
+            for size in held:
+                waiting[size] += len(held[size][-1][0])
+                if waiting[size] >= 3_000_000:
+                    yield flush(size, held[size])
+                    held[size], waiting[size] = [], 0
         for size, parts in held.items():
             if parts:
                 yield flush(size, parts)
 
-    return _texts(docs).mapInArrow(count, "size int, code long, n long").groupBy("size", "code").agg(F.sum("n").alias("n"))
+    counted = _texts(docs).mapInArrow(count, "size int, gram long, history long, low long, n long")
+    return counted.groupBy("size", "gram", "history", "low").agg(F.sum("n").alias("n"))
+
+
+def _looked_up(rows: DataFrame, key: str, known: DataFrame, own: str, n: str, total: int) -> DataFrame:
+    """``rows`` inner-joined with ``known`` (one row per ``own``); a key with a share of ``1 / HOT_KEYS`` is never one task's group."""
+    hot = F.col(n) * HOT_KEYS >= total
+    often = known.filter(hot).select(F.col(own).alias("_often"), F.struct(*known.columns).alias("_a"))
+    seldom = known.filter(~hot).select(F.col(own).alias("_seldom"), F.struct(*known.columns).alias("_b"))
+    marked = rows.join(F.broadcast(often), F.col(key) == F.col("_often"), "left")
+    served = marked.filter("_often IS NOT NULL").select(*rows.columns, "_a.*")
+    rest = marked.filter("_often IS NULL").join(seldom, F.col(key) == F.col("_seldom")).select(*rows.columns, "_b.*")
+    return served.unionByName(rest)
+
+
+def model_table(counts: DataFrame, grams: DataFrame, total: int, below: float, n_docs: int) -> DataFrame:
+    """gram, n, base, weight: one row per word (``base``: log10 of its unigram probability), bigram arc and trigram arc.
+
+    ``weight`` is what an occurrence adds to the score beside ``base``. ``grams``: rows of ``ngram_counts`` seen twice or more.
+    """
+    spark = counts.sparkSession
+    begin = spark.createDataFrame([(word_hash(BEGIN), int(n_docs))], "word long, c long")
+    base = (F.col("c") + 0.5) / below
+    least = F.lit(1e-12)
+
+    def backoff(p, lower):
+        return F.log10(F.greatest(least, 1 - p) / F.greatest(least, 1 - lower))
+
+    two = grams.filter("size = 2").drop("size")
+    two = cut(_looked_up(two, "low", counts, "word", "c", total).withColumn("base", base).drop("word", "c"), "bigrams")
+    sums = two.groupBy("history").agg(F.sum(F.col("n") - DISCOUNT).alias("_n"), F.sum("base").alias("_low"))
+    ones = counts.unionByName(begin).join(sums, F.col("word") == F.col("history"))
+    ones = cut(ones.select("word", "c", backoff(F.col("_n") / F.col("c"), F.col("_low")).alias("back")), "histories")
+    arcs = _looked_up(two, "history", ones, "word", "c", total).select(
+        "gram", "n", ((F.col("n") - DISCOUNT) / F.col("c")).alias("p"), F.col("back").alias("back1"), "base",
+    )
+    arcs = cut(arcs, "arcs")
+    three = grams.filter("size = 3").select("gram", "history", "low", F.col("n").alias("n3"))
+    lower = arcs.select(F.col("gram").alias("_gram"), F.col("n").alias("_times"), "p")
+    three = cut(_looked_up(three, "low", lower, "_gram", "_times", total).select("gram", "history", "n3", "p"), "trigrams")
+    sums = three.groupBy("history").agg(F.sum(F.col("n3") - DISCOUNT).alias("_n"), F.sum("p").alias("_low"))
+    both = arcs.join(sums, F.col("gram") == F.col("history"), "left").select(
+        "gram", "n", (F.log10("p") - F.col("back1") - F.log10("base")).alias("own"), F.when(F.col("_n").isNotNull(), backoff(F.col("_n") / F.col("n"), F.col("_low"))).alias("back")
+    )
+    both = cut(both, "states")
+    histories = both.filter("back IS NOT NULL").select(F.col("gram").alias("_gram"), F.col("n").alias("_times"), "back")
+    last = _looked_up(three, "history", histories, "_gram", "_times", total).select(
+        "gram", F.col("n3").alias("n"), (F.log10((F.col("n3") - DISCOUNT) / F.col("_times")) - F.col("back") - F.log10("p")).alias("weight")
+    )
+    words = counts.unionByName(begin).join(ones.select(F.col("word").alias("_word"), "back"), F.col("word") == F.col("_word"), "left")
+    none = F.lit(None).cast("double").alias("base")
+    rows = words.select(
+        F.col("word").alias("gram"), F.col("c").alias("n"), F.when(F.col("word") != word_hash(BEGIN), F.log10(base)).alias("base"), F.coalesce("back", F.lit(0.0)).alias("weight")
+    ).unionByName(both.select("gram", "n", none, (F.col("own") + F.coalesce("back", F.lit(0.0))).alias("weight"))).unionByName(last.select("gram", "n", none, "weight"))
+    return cut(rows, "model")
 
 
 class Automaton:
@@ -213,70 +282,66 @@ class Automaton:
         return total
 
 
-def score(docs: DataFrame, training: Column) -> DataFrame:
+def score(docs: DataFrame, training: Column, cached: int = CACHED) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score of every row; ``training`` marks the rows to learn from."""
     spark = docs.sparkSession
     learnt = docs.filter(F.coalesce(training, F.lit(False)))
     counts = cut(word_counts(learnt), "words")
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     below = total + 0.5 * (distinct + 1)
+    n_docs = counts.filter(F.col("word") == word_hash(END)).agg(F.coalesce(F.sum("c"), F.lit(1))).first()[0]
+    grams = cut(ngram_counts(learnt).filter("n >= 2"), "ngrams")
+    model = model_table(counts, grams, total, below, n_docs)
     # The share bounds the number of rows that come to the driver.
-    hot = counts.filter(F.col("c") * HOT_WORDS >= total).orderBy(F.desc("c"), "word").toPandas()
-    hot_c = hot["c"].to_numpy(dtype=np.int64)
-    n_bigram, n_trigram = int((hot_c * BIGRAM_WORDS >= total).sum()), int((hot_c * TRIGRAM_WORDS >= total).sum())
-    shared = spark.sparkContext.broadcast(hot["word"].to_numpy(dtype=np.int64))
-    grams = ngram_counts(learnt, shared, n_bigram, n_trigram).filter((F.col("n") >= 2) & (F.col("n") >= total * NGRAM_SHARE)).collect()
-    pairs, triples = {}, {}
-    for row in grams:
-        if row["size"] == 2:
-            u, w = divmod(row["code"], n_bigram + 1)
-            pairs[u - 1, w - 1] = row["n"]
-        else:
-            rest, w = divmod(row["code"], n_trigram + 1)
-            u, v = divmod(rest, n_trigram + 1)
-            triples[u - 1, v - 1, w - 1] = row["n"]
-    unigram = np.log10((hot_c + 0.5) / below)
-    ends = {int(h): int(c) for h, c in zip(hot["word"], hot_c)}.get(word_hash(END), 0)
-    n_docs = ends or counts.filter(F.col("word") == word_hash(END)).agg(F.coalesce(F.sum("c"), F.lit(1))).first()[0]
-    automaton = spark.sparkContext.broadcast(Automaton(unigram, hot_c, n_docs, pairs, triples))
-
-    def traverse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, model = Vocabulary(shared.value), automaton.value
-        logs = unigram.tolist()
+    often = F.col("n") * cached >= total
+    cache = model.filter(often).orderBy("gram").select("gram", "base", "weight").toPandas()
+    shared = spark.sparkContext.broadcast(tuple(cache[c].to_numpy(dtype=t) for c, t in (("gram", np.int64), ("base", float), ("weight", float))))
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, (held, base, weight) = Hashes(), shared.value
         key = TaskContext.get().partitionId() << 33
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                rows, words, times, ends = [], [], [], [0]
-                for text in part.column(1):
-                    tokens = [*words_of(text.as_py()), END]
-                    numbers = vocabulary.numbers(tokens)
-                    rare = Counter([t for t, w in zip(tokens, numbers) if w < 0])
-                    words += map(word_hash, rare)
-                    times += rare.values()
-                    ends.append(len(words))
-                    key += 1
-                    inside = [logs[w] for w in numbers if w >= 0]
-                    rows.append((key, len(tokens), len(inside), math.fsum(inside), model.score(numbers)))
-                columns = list(zip(*rows))
-                rare_column = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays([pa.array(words, pa.int64()), pa.array(times, pa.int32())], ["word", "n"]))
+                rows = part.num_rows
+                g = Grams((t.as_py() for t in part.column(1)), known)
+                found = {"base": np.zeros(rows), "weight": np.zeros(rows), "known": np.zeros(rows)}
+                away, of = [], []
+                for grams, text in ((g.words, g.text), (g.pairs[g.in_pairs], g.text[g.in_pairs]), (g.triples[g.in_triples], g.text[g.in_triples])):
+                    place = np.minimum(np.searchsorted(held, grams), max(0, len(held) - 1))
+                    here = held[place] == grams if len(held) else np.zeros(len(grams), dtype=bool)
+                    place, mine = place[here], text[here]
+                    word = ~np.isnan(base[place])
+                    found["base"] += np.bincount(mine[word], base[place[word]], rows)
+                    found["known"] += np.bincount(mine[word], minlength=rows)
+                    found["weight"] += np.bincount(mine, weight[place], rows)
+                    away.append(grams[~here])
+                    of.append(text[~here])
+                order = np.argsort(np.concatenate(of), kind="stable")
+                ends = np.concatenate([[0], np.cumsum(sum(np.bincount(x, minlength=rows) for x in of))]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), *[pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()))], rare_column],
-                    ["doc_id", "key", "n_tokens", "n_hot", "base_hot", "score_hot", "rare"],
+                    [
+                        part.column(0), pa.array(np.arange(key, key + rows)), pa.array(g.sizes - 1), pa.array(found["known"].astype(np.int64)),
+                        pa.array(found["base"]), pa.array(found["weight"]), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(away)[order])),
+                    ],
+                    ["doc_id", "key", "n_tokens", "n_here", "base_here", "weight_here", "away"],
                 )
+                key += rows
 
     source = in_small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    schema = "doc_id long, key long, n_tokens long, n_hot long, base_hot double, score_hot double, rare array<struct<word: long, n: int>>"
-    passed = cut(source.mapInArrow(traverse, schema), "passed")
-    rare = passed.select("key", F.explode("rare").alias("r")).select("key", "r.word", "r.n")
-    c = F.coalesce("c", F.lit(0))
+    schema = "doc_id long, key long, n_tokens long, n_here long, base_here double, weight_here double, away array<long>"
+    passed = cut(source.mapInArrow(look_up, schema), "passed")
+    # Grams away from the cache occur in under 1 / cached of the learnt text, or not at all.
+    away = passed.select("key", F.explode("away").alias("_gram"))
     rest = (
-        rare.join(counts, "word", "left").groupBy("key")
-        .agg(F.sum(F.col("n") * F.log10((c + 0.5) / below)).alias("_log"), F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("_known"))
+        away.join(model.filter(~often), F.col("_gram") == F.col("gram")).groupBy("key")
+        .agg(F.sum("base").alias("_base"), F.count("base").alias("_known"), F.sum("weight").alias("_weight"))
         .withColumnRenamed("key", "_key")
     )
-    log = F.coalesce("_log", F.lit(0.0))
-    return passed.drop("rare").join(rest, F.col("key") == F.col("_key"), "left").select(
-        "doc_id", "n_tokens", (F.col("n_hot") + F.coalesce("_known", F.lit(0))).alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"),
-        (F.col("base_hot") + log).alias("base_score"), (F.col("score_hot") + log).alias("score"),
+    n_known = F.col("n_here") + F.coalesce("_known", F.lit(0))
+    unknown = (F.col("n_tokens") - n_known) * math.log10(0.5 / below)
+    base_score = F.col("base_here") + F.coalesce("_base", F.lit(0.0)) + unknown
+    return passed.drop("away").join(rest, F.col("key") == F.col("_key"), "left").select(
+        "doc_id", "n_tokens", n_known.alias("n_known"), F.lit(int(total)).cast("long").alias("train_tokens"),
+        base_score.alias("base_score"), (base_score + F.col("weight_here") + F.coalesce("_weight", F.lit(0.0))).alias("score"),
     )

@@ -7,6 +7,7 @@ import hashlib
 import random
 import sys
 import zlib
+from collections import Counter
 from pathlib import Path
 
 import numpy as np
@@ -333,6 +334,28 @@ def test_automaton_sums_to_one():
         assert seen + rest * 10 ** (model.score([*history, -1]) - before) == pytest.approx(1.0)
 
 
+def test_all_repeated_ngrams_are_arcs(spark):
+    """However rare its words are, what occurs twice is an arc, whether the cache holds it or not."""
+    rnd = random.Random(8)
+    texts = [" ".join(f"w{int(rnd.paretovariate(0.6)) % 30_000}" for _ in range(60)) for _ in range(300)]
+    texts += [f"once{i} seldom{i % 40} rare{i % 40} odd{i % 40}" for i in range(80)] + ["", "w1"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    learnt = [t for i, t in enumerate(texts) if i % 5]
+    words = [[*lm_scoring.words_of(t), lm_scoring.END] for t in learnt]
+    counts = Counter(w for ws in words for w in ws)
+    number = {w: i for i, w in enumerate(counts)}
+    c = np.array(list(counts.values()))
+    lines = [[-1, *[number[w] for w in ws]] for ws in words]
+    pairs, triples = ({g: n for g, n in Counter(g for line in lines for g in zip(*[line[k:] for k in range(size)])).items() if n >= 2} for size in (2, 3))
+    below = c.sum() + 0.5 * (len(c) + 1)
+    plain = lm_scoring.Automaton(np.log10((c + 0.5) / below), c, len(learnt), pairs, triples)
+    for cached in (lm_scoring.CACHED, 200, 0):
+        got = {r["doc_id"]: r["score"] for r in lm_scoring.score(df, F.col("doc_id") % 5 != 0, cached).collect()}
+        for i, text in enumerate(texts):
+            numbers = [number.get(w, -1) for w in [*lm_scoring.words_of(text), lm_scoring.END]]
+            assert got[i] == pytest.approx(plain.score(numbers) + numbers.count(-1) * np.log10(0.5 / below)), text
+
+
 # sharding
 
 def test_sharding(spark, docs, odd_docs, no_docs):
