@@ -1,13 +1,17 @@
 """Embedding near-duplicates: spherical k-means cells, blocked cosine products, linked groups.
 
 Equal vectors are first merged into a class with its smallest id. Centres are fitted on a bounded sample
-(``SAMPLE`` classes by hash), then every class is assigned to its ``PROBES`` nearest cells. Two classes meet in every cell that
-both are assigned to, and their link counts in the smallest of those, so no link counts twice. A cell is cut into blocks of
-``BLOCK`` classes by hash and each pair of blocks is one product of matrices in double precision, so a hot cell is many
-small tasks. A product gives per class the number of links and the first class of its linked set, never a row per pair.
-
-Links found are exact (cosine of at least ``threshold`` in double precision); a pair is missed only when its two vectors share
-none of their nearest cells. Against brute force recall is one on the given tables (tests demand 0.99).
+(``SAMPLE`` classes by hash); every class has its nearest cell as home, and a cell's radius is the largest angle of a class at home
+there. A class also visits every other cell that may hold a link of it: with ``a = acos(threshold)``, one whose centre is within
+its radius plus ``a``, and to whose side of the great circle between the two centres it has no more than ``a``. By the triangle inequality on
+angles no other cell can, so every pair of linked classes meets, whatever the number of cells and however spread the vectors are.
+Of the two homes of a pair it meets in the smaller one, so classes visit smaller cells only and no link counts twice. A cell is
+cut into blocks of ``BLOCK`` classes by hash and each pair of blocks (one of them at home) is one product of matrices in double
+precision, so a hot cell is many small tasks. A product gives per class the number of links and the first class of its linked
+set, never a row per pair.
+
+Links are exact (cosine of at least ``threshold`` in double precision). Vectors without any clusters visit most cells, and
+the work then nears that of all pairs.
 
 Defined results: a vector that is null, empty, zero, or holds null or non-finite components links with nothing and is kept;
 so is a row with a null id. Vectors of different lengths never link. Equal vectors link with each other; rows with
@@ -27,7 +31,11 @@ from pyspark.sql import functions as F
 from broadsheet.llm.components import components
 from broadsheet.session import cut
 
-SAMPLE, PROBES, BLOCK = 20_000, 3, 1_000
+SAMPLE, BLOCK = 20_000, 1_000
+#: Slack of angles, far above rounding.
+_SLACK = 1e-6
+#: Rows that leave Python at once.
+_ROWS = 10_000
 
 
 def fit_centres(vectors: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
@@ -50,52 +58,85 @@ def _units(column: pa.Array, dims: int) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
-def _assign(classes: DataFrame, centres: dict[int, np.ndarray], probes: int) -> DataFrame:
-    """dims, cell, id, n, cells, v: one row per class and assigned cell."""
+def _homes(classes: DataFrame, centres: dict[int, np.ndarray]) -> DataFrame:
+    """dims, home, angle, id, n, v: the nearest cell of every class and the angle to its centre."""
     shared = classes.sparkSession.sparkContext.broadcast(centres)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["dims", "cell", "id", "n", "cells", "v"]
         for batch in batches:
             lengths = batch.column(2).value_lengths().to_numpy()
             for dims in np.unique(lengths):
                 part = batch.filter(pa.array(lengths == dims))
                 known = shared.value.get(int(dims))
                 rows = part.num_rows
-                if known is None:  # a length too rare for the sample has one cell
-                    cells = np.zeros((rows, 1), dtype=np.int32)
-                else:
-                    near = _units(part.column(2), int(dims)) @ known.T
-                    m = min(probes, len(known))
-                    cells = np.sort(np.argpartition(-near, m - 1, axis=1)[:, :m], axis=1).astype(np.int32)
-                m = cells.shape[1]
-                take = pa.array(np.repeat(np.arange(rows), m))
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, rows * m * m + 1, m, dtype=np.int32)), pa.array(np.repeat(cells, m, axis=0).ravel()))
+                home, angle = np.zeros(rows, dtype=np.int32), np.zeros(rows)
+                if known is not None:  # a length too rare for the sample has one cell
+                    units = _units(part.column(2), int(dims))
+                    for at in range(0, rows, 500):
+                        near = units[at : at + 500] @ known.T
+                        home[at : at + 500] = near.argmax(axis=1)
+                        angle[at : at + 500] = np.arccos(np.clip(near.max(axis=1), -1, 1))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(rows * m, dims, dtype=np.int32)), pa.array(cells.ravel()), part.column(0).take(take), part.column(1).take(take), lists, part.column(2).take(take)],
-                    names,
+                    [pa.array(np.full(rows, dims, dtype=np.int32)), pa.array(home), pa.array(angle), part.column(0), part.column(1), part.column(2)],
+                    ["dims", "home", "angle", "id", "n", "v"],
                 )
 
-    return classes.select("id", "n", "embedding").mapInArrow(run, "dims int, cell int, id long, n long, cells array<int>, v array<float>")
+    return classes.select("id", "n", "embedding").mapInArrow(run, "dims int, home int, angle double, id long, n long, v array<float>")
+
+
+def visited(units: np.ndarray, home: np.ndarray, centres: np.ndarray, radii: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Row and cell of every visit: cells before the row's home that may hold a link of it."""
+    most = np.arccos(np.clip(threshold, -1, 1)) + _SLACK
+    near = units @ centres.T
+    own = near[np.arange(len(units)), home][:, None]
+    apart = np.sqrt(np.maximum(0, 2 - 2 * (centres[home] @ centres.T)))
+    side = np.arcsin(np.clip((own - near) / np.maximum(apart, 1e-12), -1, 1))
+    may = (np.arccos(np.clip(near, -1, 1)) <= radii + most) & ((side <= most) | (apart < 1e-6))
+    return np.nonzero(may & (np.arange(len(centres)) < home[:, None]))
 
 
-def linked_rows(units: np.ndarray, cells: np.ndarray, cell: int, weights: np.ndarray, left: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Links and first row of the linked set per row. ``left`` marks the first block of two; all alike: one block.
+def _assign(homes: DataFrame, centres: dict[int, np.ndarray], radii: dict[int, np.ndarray], threshold: float) -> DataFrame:
+    """dims, cell, visits, id, n, v: one row per class at home and per visit."""
+    shared = homes.sparkSession.sparkContext.broadcast((centres, radii))
 
-    A pair counts here only if ``cell`` is the smallest cell that both rows are assigned to.
-    """
-    links = (units @ units.T) >= threshold
-    np.fill_diagonal(links, False)
-    if not left.all():
-        links &= left[:, None] != left[None, :]
-    a, b = np.nonzero(np.triu(links))
-    earlier = np.zeros(len(a), dtype=bool)
-    for i in range(cells.shape[1]):
-        mine = cells[a, i]
-        earlier |= (mine < cell) & (cells[b] == mine[:, None]).any(axis=1)
-    links[a[earlier], b[earlier]] = links[b[earlier], a[earlier]] = False
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, reach = shared.value
+        for batch in batches:
+            every = batch.column(0).to_numpy()
+            for dims in np.unique(every):
+                whole = batch.filter(pa.array(every == dims))
+                for at in range(0, whole.num_rows, 500):
+                    part = whole.slice(at, 500)
+                    home = part.column(1).to_numpy()
+                    row, cell = np.arange(len(home)), home
+                    if int(dims) in known:
+                        guests, cells = visited(_units(part.column(4), int(dims)), home, known[int(dims)], reach[int(dims)], threshold)
+                        row, cell = np.concatenate([row, guests]), np.concatenate([cell, cells])
+                    for first in range(0, len(row), _ROWS):
+                        take = pa.array(row[first : first + _ROWS])
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array(np.full(len(take), dims, dtype=np.int32)), pa.array(cell[first : first + _ROWS].astype(np.int32)),
+                                pa.array(np.arange(first, first + len(take)) >= len(home)), *[part.column(i).take(take) for i in (2, 3, 4)],
+                            ],
+                            ["dims", "cell", "visits", "id", "n", "v"],
+                        )
+
+    return homes.select("dims", "home", "id", "n", "v").mapInArrow(run, "dims int, cell int, visits boolean, id long, n long, v array<float>")
+
+
+def linked_rows(units: np.ndarray, weights: np.ndarray, left: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Links and first row of the linked set per row. ``left`` marks the first block of two; all alike: one block."""
+    if left.all():
+        links = (units @ units.T) >= threshold
+        np.fill_diagonal(links, False)
+    else:
+        links = np.zeros((len(units), len(units)), dtype=bool)
+        a, b = np.flatnonzero(left), np.flatnonzero(~left)
+        across = (units[a] @ units[b].T) >= threshold
+        links[np.ix_(a, b)], links[np.ix_(b, a)] = across, across.T
     first, rest = np.arange(len(units)), links.any(axis=1)
-    for seed in range(len(units)):
+    for seed in np.flatnonzero(rest):
         if not rest[seed]:
             continue
         front, rest[seed] = np.array([seed]), False
@@ -108,26 +149,32 @@ def linked_rows(units: np.ndarray, cells: np.ndarray, cell: int, weights: np.nda
 
 def _products(rows: DataFrame, threshold: float, block: int) -> DataFrame:
     """id, links, first: partial link counts and spanning links of every pair of blocks."""
-    sizes = rows.groupBy("dims", "cell").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("_blocks"))
-    # One row per cell, of which there are as many as centres (under SAMPLE).
-    cut_up = rows.join(F.broadcast(sizes), ["dims", "cell"]).withColumn("_b", F.pmod(F.xxhash64("id"), F.col("_blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_o")
-    paired = cut_up.select("dims", "cell", "id", "n", "cells", "v", "_b", other).select(
-        "dims", "cell", F.least("_b", "_o").alias("_i"), F.greatest("_b", "_o").alias("_j"), "_b", "id", "n", "cells", "v"
+    sizes = rows.groupBy("dims", "cell").agg(
+        F.ceil(F.count_if(~F.col("visits")) / block).cast("int").alias("_homes"), F.ceil(F.count_if("visits") / block).cast("int").alias("_guests")
+    )
+    # One row per cell, of which there are as many as centres (under SAMPLE). Blocks of visitors follow those at home.
+    own = F.when(F.col("visits"), F.col("_homes") + F.pmod(F.xxhash64("id"), F.col("_guests"))).otherwise(F.pmod(F.xxhash64("id"), F.col("_homes")))
+    cut_up = rows.join(F.broadcast(sizes), ["dims", "cell"]).filter("_homes > 0").withColumn("_b", own.cast("int"))
+    last = F.when(F.col("visits"), F.col("_homes")).otherwise(F.col("_homes") + F.col("_guests")) - 1
+    other = F.explode(F.sequence(F.lit(0), last)).alias("_o")
+    paired = cut_up.select("dims", "cell", "id", "n", "v", "_b", other).select(
+        "dims", "cell", F.least("_b", "_o").alias("_i"), F.greatest("_b", "_o").alias("_j"), "_b", "id", "n", "v"
     )
 
     def product(frame: pd.DataFrame) -> pd.DataFrame:
         units = np.stack(frame["v"].to_numpy()).astype(np.float64)
         units /= np.linalg.norm(units, axis=1, keepdims=True)
         first_block = (frame["_b"] == frame["_i"]).to_numpy()
-        links, first = linked_rows(units, np.stack(frame["cells"].to_numpy()), int(frame["cell"].iloc[0]), frame["n"].to_numpy(), first_block, threshold)
+        if frame["_i"].iloc[0] != frame["_j"].iloc[0] and (first_block.all() or not first_block.any()):
+            return pd.DataFrame({"id": [], "links": [], "first": []}, dtype="int64")  # the other block is empty
+        links, first = linked_rows(units, frame["n"].to_numpy(), first_block, threshold)
         some, ids = np.flatnonzero(links), frame["id"].to_numpy()
         return pd.DataFrame({"id": ids[some], "links": links[some], "first": ids[first[some]]})
 
     return paired.groupBy("dims", "cell", "_i", "_j").applyInPandas(product, "id long, links long, first long")
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = 0.9, probes: int = PROBES, block: int = BLOCK, sample: int = SAMPLE) -> DataFrame:
+def near_duplicates(vectors: DataFrame, threshold: float = 0.9, block: int = BLOCK, sample: int = SAMPLE) -> DataFrame:
     """vec_id, n_links, component_id, kept of every row."""
     source = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding"))
     finite = ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
@@ -147,7 +194,12 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, probes: int = PR
         rows = np.array(members, dtype=np.float64)
         k = max(1, min(int(np.ceil(np.sqrt(n_classes * len(rows) / len(picked)))), len(rows) // 5))
         centres[dims] = fit_centres(rows / np.linalg.norm(rows, axis=1, keepdims=True), k)
-    rows = cut(_assign(classes, centres, probes), "cells")
+    homes = cut(_homes(classes, centres), "homes")
+    radii = {dims: np.full(len(c), -10.0) for dims, c in centres.items()}  # nothing visits a cell without classes
+    for r in homes.groupBy("dims", "home").agg(F.max("angle").alias("radius")).collect():
+        if r["dims"] in radii:
+            radii[r["dims"]][r["home"]] = r["radius"]
+    rows = cut(_assign(homes, centres, radii, threshold), "cells")
     found = cut(_products(rows, threshold, block), "links")
     counted = found.groupBy("id").agg(F.sum("links").alias("_links")).withColumnRenamed("id", "_id")
     linked = components(found.filter("id <> first"), "id", "first")

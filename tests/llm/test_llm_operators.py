@@ -392,6 +392,24 @@ def test_embeddings(spark):
     assert embedding_dedup.near_duplicates(spark.createDataFrame([], schema)).count() == 0
 
 
+def test_embedding_links_without_clusters(spark):
+    """Links near the threshold between cells of spread vectors: none is lost, at any number of cells."""
+    rnd = np.random.default_rng(6)
+    one = rnd.normal(size=(250, 24))
+    two = rnd.normal(size=(250, 24))
+    one /= np.linalg.norm(one, axis=1, keepdims=True)
+    two -= (two * one).sum(axis=1, keepdims=True) * one
+    two /= np.linalg.norm(two, axis=1, keepdims=True)
+    cosine = rnd.uniform(0.88, 0.93, size=(250, 1))
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([one, cosine * one + np.sqrt(1 - cosine**2) * two]))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    want = brute.vector_groups(rows)
+    assert sum(n for n, _ in want.values()) > 200
+    for sample in (embedding_dedup.SAMPLE, 60):
+        got = embedding_dedup.near_duplicates(df, block=200, sample=sample).collect()
+        assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got} == want
+
+
 # byte-level BPE
 
 def test_byte_bpe(docs, odd_docs, no_docs):
