@@ -159,18 +159,19 @@ class CuckooFilter:
                 raise ValueError("deleted keys were not in the filter")
 
 
-def _filled(k2: np.ndarray) -> CuckooFilter:
-    capacity = max(16, len(k2))
+def _filled(k2: np.ndarray, least: int = 16) -> CuckooFilter:
+    capacity = max(least, len(k2))
     while not (made := CuckooFilter(capacity)).insert(k2):
         capacity *= 2
     return made
 
 
-def build_filters(keys: DataFrame, n_shards: int) -> DataFrame:
-    """shard, filter: one cuckoo filter per shard of the distinct keys k1, k2."""
+def build_filters(keys: DataFrame, n_shards: int, spare: bool = False) -> DataFrame:
+    """shard, filter: one cuckoo filter per shard of the distinct keys k1, k2; ``spare``: with room for as many again."""
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"shard": [int(rows["shard"].iloc[0])], "filter": [_filled(rows["k2"].to_numpy()).to_bytes()]})
+        made = _filled(rows["k2"].to_numpy(), max(1024, 2 * len(rows)) if spare else 16)
+        return pd.DataFrame({"shard": [int(rows["shard"].iloc[0])], "filter": [made.to_bytes()]})
 
     sharded = keys.select(F.pmod("k1", F.lit(n_shards)).cast("int").alias("shard"), "k2")
     return sharded.groupBy("shard").applyInPandas(build, "shard int, filter binary")
@@ -263,6 +264,8 @@ class LineStore:
 
     Every change writes a new generation of the tables and only then names it in ``generation``; a failed
     change leaves the old one. Documents of a batch must be new to the store (insert) or in it (delete).
+    A shard whose filter is full is rebuilt from the exact counts, with room for as many keys again; when shards would hold more than
+    ``SHARD_KEYS`` keys on average their number doubles, so the store grows without a limit.
     """
 
     def __init__(self, spark: SparkSession, n_shards: int = 16, min_chars: int = MIN_CHARS) -> None:
@@ -288,14 +291,24 @@ class LineStore:
             new, out = rows.loc[rows["new"], "k2"].to_numpy(), rows.loc[~rows["new"], "k2"].to_numpy()
             made = CuckooFilter.from_bytes(old["filter"].iloc[0]) if len(old) else CuckooFilter(max(1024, 2 * len(new)))
             made.delete(out)
-            if not made.insert(new):
-                raise ValueError("a shard's filter is full; create the store with more shards")
-            return pd.DataFrame({"shard": [shard], "filter": [made.to_bytes()]})
+            # A null filter is full.
+            return pd.DataFrame({"shard": [shard], "filter": [made.to_bytes() if made.insert(new) else None]})
 
         shard = F.pmod("k1", F.lit(self.n_shards)).cast("int").alias("shard")
         changes = added.select(shard, "k2", F.lit(True).alias("new")).unionByName(gone.select(shard, "k2", F.lit(False).alias("new")))
         return self.read("filters").groupBy("shard").cogroup(changes.groupBy("shard")).applyInPandas(change, "shard int, filter binary")
 
+    def _grown_filters(self, counts: DataFrame, added: DataFrame, n_shards: int) -> DataFrame:
+        """Filters after inserting the distinct keys ``added``; ``counts`` holds all keys, these included."""
+        if n_shards != self.n_shards:
+            return build_filters(counts, n_shards, spare=True)
+        merged = cut(self._merge_filters(added, added.limit(0)), "filters")
+        full = [r["shard"] for r in merged.filter("filter IS NULL").select("shard").collect()]
+        if not full:
+            return merged
+        again = counts.filter(F.pmod("k1", F.lit(n_shards)).isin(full))
+        return merged.filter("filter IS NOT NULL").unionByName(build_filters(again, n_shards, spare=True))
+
     def _touched(self, batch: DataFrame) -> DataFrame:
         """Stored counts of the keys of ``batch``: filter first, exact join for possible hits only."""
         maybe = probe(batch.select("k1", "k2", F.lit(0).cast("long").alias("doc_id")).distinct(), self.read("filters"), self.n_shards)
@@ -308,9 +321,13 @@ class LineStore:
         merged = fresh.unionByName(old).groupBy("k1", "k2").agg(
             F.sum("n_refs").alias("n_refs"), F.min("first_doc").alias("first_doc"), F.max("last_doc").alias("last_doc")
         )
-        counts = self.read("counts").join(old.select("k1", "k2"), ["k1", "k2"], "left_anti").unionByName(merged)
+        counts = cut(self.read("counts").join(old.select("k1", "k2"), ["k1", "k2"], "left_anti").unionByName(merged), "counts")
+        n_keys, n_shards = counts.count(), self.n_shards
+        while n_keys > n_shards * SHARD_KEYS:
+            n_shards *= 2
         added = fresh.join(old, ["k1", "k2"], "left_anti")
-        self._write(self.read("refs").unionByName(refs), counts, self._merge_filters(added, added.limit(0)))
+        self._write(self.read("refs").unionByName(refs), counts, self._grown_filters(counts, added, n_shards))
+        self.n_shards = n_shards
 
     def delete(self, docs: DataFrame) -> None:
         ids = docs.filter("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()

@@ -168,6 +168,23 @@ def test_line_store_is_reversible(spark, docs):
     assert got == sorted((d, t) for d, _, _, t in brute.line_dedup(pairs(one)))
 
 
+def test_line_store_grows(spark, monkeypatch):
+    """Many equal batches after a small first one: full filters are rebuilt, shards split."""
+    monkeypatch.setattr(line_dedup, "SHARD_KEYS", 4_000)
+    store = line_dedup.LineStore(spark, n_shards=1)
+    lines = [f"line number {i} of the store" for i in range(4_510)]
+    batches = [lines[:10], lines[10:1_510], lines[1_510:3_010], lines[3_010:]]
+    shards = []
+    for i, batch in enumerate(batches):
+        store.insert(spark.createDataFrame([(i, "\n".join(batch))], "doc_id long, text string"))
+        shards.append(store.n_shards)
+    assert shards == [1, 1, 1, 2]
+    assert store.read("counts").count() == len(lines)
+    filters = {r["shard"]: line_dedup.CuckooFilter.from_bytes(bytes(r["filter"])) for r in store.read("filters").collect()}
+    k1, k2 = line_dedup._longs([line_dedup.line_key(line) for line in lines])
+    assert all(filters[s].contains(k2[k1 % 2 == s]).all() for s in (0, 1))
+
+
 # WARC
 
 def test_warc(spark):
