@@ -29,6 +29,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
@@ -64,13 +65,18 @@ def sample(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_c
     return [(row["text"] or "", row["_toxic"]) for row in rows.collect()]
 
 
+def _fixed_hash(words: Iterable[str]) -> int:
+    """The same in every process, unlike ``hash``."""
+    return xxhash.xxh3_64_intdigest(" ".join(words).encode())
+
+
 def _without_copies(texts: list[tuple[str, int]]) -> list[tuple[list[str], int]]:
     """Lower-cased words of the texts; a text whose sampled three-word windows were mostly seen before is left out."""
     seen: set[int] = set()
     out = []
     for text, toxic in texts:
         words = [w.lower() for w in WORD.findall(text)]
-        prints = {h for h in map(hash, zip(words, words[1:], words[2:])) if h % 8 == 0} or {hash(tuple(words))}
+        prints = {h for h in map(_fixed_hash, zip(words, words[1:], words[2:])) if h % 8 == 0} or {_fixed_hash(words)}
         if len(prints & seen) * 3 < len(prints):
             out.append((words, toxic))
         seen |= prints

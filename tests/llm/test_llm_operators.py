@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import os
 import random
+import subprocess
 import sys
 import zlib
 from collections import Counter
@@ -373,6 +375,17 @@ def test_all_repeated_ngrams_are_arcs(spark):
             assert got[i] == pytest.approx(plain.score(numbers) + numbers.count(-1) * np.log10(0.5 / below)), text
 
 
+def test_copies_left_out_are_the_same_in_every_process():
+    code = (
+        "import random; from broadsheet.llm import toxicity; r = random.Random(4); base = [f'w{i}' for i in range(40)];"
+        "texts = [(' '.join(w if r.random() > 0.12 else 'x' for w in base), i) for i in range(300)];"
+        "print([n for _, n in toxicity._without_copies(texts)])"
+    )
+    root = Path(__file__).resolve().parents[2]
+    said = {subprocess.run([sys.executable, "-c", code], cwd=root, env=os.environ | {"PYTHONHASHSEED": seed}, capture_output=True, text=True, check=True).stdout for seed in "123"}
+    assert len(said) == 1
+
+
 # sharding
 
 def test_sharding(spark, docs, odd_docs, no_docs):
