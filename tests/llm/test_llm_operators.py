@@ -341,38 +341,64 @@ def test_lm_scores(docs, odd_docs, no_docs):
     assert lm_scoring.score(docs, F.lit(False)).count() == docs.count()
 
 
+def plain_scores(learnt, texts):
+    """Backoff by the formula, n-gram by n-gram, from counts of all training n-grams."""
+    lines = [[b"", *lm_scoring.words_of(t.encode()), b"\n"] for t in learnt]
+    n = [Counter(g for line in lines for g in zip(*[line[k:] for k in range(size)])) for size in (1, 2, 3)]
+    total, distinct = sum(len(line) - 1 for line in lines), len({w for line in lines for w in line[1:]})
+
+    def p(history, w):
+        if not history:
+            return (n[0][(w,)] + 0.5) / (total + 0.5 * (distinct + 1))
+        prior = lm_scoring.PRIOR[len(history) - 1]
+        followed = sum(line.count(history[0]) for line in lines) if len(history) == 1 else n[1][history]
+        return (n[len(history)][(*history, w)] + prior * p(history[1:], w)) / (followed + prior)
+
+    out = []
+    for text in texts:
+        line = [b"", *lm_scoring.words_of((text or "").encode()), b"\n"]
+        out.append(sum(np.log10(p(tuple(line[max(0, i - 2) : i]), line[i])) for i in range(1, len(line))))
+    return out
+
+
 def test_automaton_sums_to_one():
-    counts = np.array([50, 30, 20, 10, 10])
-    total = counts.sum() + 6
-    unigram = np.log10((counts + 0.5) / (total + 0.5 * 9))
-    rest = 1 - (10**unigram).sum()
-    model = lm_scoring.Automaton(unigram, counts, 10, {(-1, 0): 6, (0, 1): 20, (0, 2): 8, (1, 0): 9, (2, 3): 4}, {(-1, 0, 1): 4, (0, 1, 0): 5, (0, 1, 2): 3})
-    for history in ([], [0], [0, 1], [1], [2], [4], [3, 2], [0, 1, 0]):
-        before = model.score(history)
-        seen = sum(10 ** (model.score([*history, w]) - before) for w in range(5))
-        assert seen + rest * 10 ** (model.score([*history, -1]) - before) == pytest.approx(1.0)
-
-
-def test_all_repeated_ngrams_are_arcs(spark):
-    """However rare its words are, what occurs twice is an arc, whether the cache holds it or not."""
+    """Over all known words, the end and one unknown word, after any history."""
+    grams = lm_scoring.Grams([b"a b c a b", b"b b a", b"", b"c z"], np.array([True, True, True, False]))
+    grams.c1[lm_scoring.BEGIN] = 3
+    total, distinct = int(grams.c1[1:].sum()), int((grams.c1[1:] > 0).sum())
+    model = grams.automaton(total, distinct)
+    def probability(history, w):
+        line = np.array([0, *history, w])
+        whole = model.scores(line, np.array([0]), np.array([len(line)]))[0]
+        before = model.scores(line, np.array([0]), np.array([len(line) - 1]))[0] if history else 0.0
+        return 10 ** (whole - before)
+
+    a, b, c, z = 2, 3, 4, 5  # z is in no training text
+    assert (grams.c1[[a, b, c, z]] > 0).tolist() == [True, True, True, False]
+    for history in ([], [a], [a, b], [b], [b, b], [c], [c, a], [a, c, b], [z], [a, z]):
+        assert sum(probability(history, w) for w in (lm_scoring.END, a, b, c, z)) == pytest.approx(1.0)
+
+
+def test_all_ngrams_are_arcs(spark, monkeypatch):
+    """The distributed automaton equals the formula, however texts fall into groups and hashes into ranges."""
     rnd = random.Random(8)
-    texts = [" ".join(f"w{int(rnd.paretovariate(0.6)) % 30_000}" for _ in range(60)) for _ in range(300)]
-    texts += [f"once{i} seldom{i % 40} rare{i % 40} odd{i % 40}" for i in range(80)] + ["", "w1"]
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    learnt = [t for i, t in enumerate(texts) if i % 5]
-    words = [[*lm_scoring.words_of(t), lm_scoring.END] for t in learnt]
-    counts = Counter(w for ws in words for w in ws)
-    number = {w: i for i, w in enumerate(counts)}
-    c = np.array(list(counts.values()))
-    lines = [[-1, *[number[w] for w in ws]] for ws in words]
-    pairs, triples = ({g: n for g, n in Counter(g for line in lines for g in zip(*[line[k:] for k in range(size)])).items() if n >= 2} for size in (2, 3))
-    below = c.sum() + 0.5 * (len(c) + 1)
-    plain = lm_scoring.Automaton(np.log10((c + 0.5) / below), c, len(learnt), pairs, triples)
-    for cached in (lm_scoring.CACHED, 200, 0):
-        got = {r["doc_id"]: r["score"] for r in lm_scoring.score(df, F.col("doc_id") % 5 != 0, cached).collect()}
-        for i, text in enumerate(texts):
-            numbers = [number.get(w, -1) for w in [*lm_scoring.words_of(text), lm_scoring.END]]
-            assert got[i] == pytest.approx(plain.score(numbers) + numbers.count(-1) * np.log10(0.5 / below)), text
+    texts = [" ".join(f"w{int(rnd.paretovariate(0.6)) % 30_000}" for _ in range(60)) for _ in range(120)]
+    texts += [f"once{i} seldom{i % 40} rare{i % 40} odd{i % 40}" for i in range(80)] + ["", "w1", "A a A a\x1cb", None]
+    texts += [" ".join(rnd.choice("abcde") for _ in range(2_000)), " ".join(rnd.choice("abcde") for _ in range(lm_scoring.STRETCH + 1))]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    want = plain_scores([t or "" for i, t in enumerate(texts) if i % 5], texts)
+    for group_bytes, range_grams in ((lm_scoring.GROUP_BYTES, lm_scoring.RANGE_GRAMS), (700, 500)):
+        monkeypatch.setattr(lm_scoring, "GROUP_BYTES", group_bytes)
+        monkeypatch.setattr(lm_scoring, "RANGE_GRAMS", range_grams)
+        got = {r["doc_id"]: r["score"] for r in lm_scoring.score(df, F.col("doc_id") % 5 != 0).collect()}
+        assert got == {i: pytest.approx(x) for i, x in enumerate(want)}
+
+
+def test_packed_integers():
+    rnd = np.random.default_rng(1)
+    for values in (np.zeros(0, np.uint64), np.array([0], np.uint64), np.array([2**64 - 1], np.uint64), np.sort(rnd.integers(0, 2**64, 999, np.uint64))):
+        assert (lm_scoring._unpacked(lm_scoring._packed(values)) == values).all()
+        assert (lm_scoring._unpacked_sorted(lm_scoring._packed_sorted(values)) == values).all()
 
 
 def test_copies_left_out_are_the_same_in_every_process():
