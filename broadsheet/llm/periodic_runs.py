@@ -11,7 +11,7 @@ more holds three multiples of q in a row where the words at i and i + q are equa
 (m log m comparisons over all lags) and compares the whole segment only where these three agree. Agreements inside a known
 run whose period divides the lag are that run's own and skipped.
 
-Texts stay where they are read: nothing is shuffled, a task holds one Arrow batch of texts. Defined results: a null or empty
+Texts stay where they are read: nothing is shuffled, a task holds one Arrow batch and judges a megabyte of it at once. Defined results: a null or empty
 text has no words, no runs and an empty collapsed text; null ids and repeated rows are judged like any other row;
 extra columns are ignored; an empty table gives an empty table.
 """
@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,8 +30,8 @@ from broadsheet.functions.expr import let
 from broadsheet.llm.common import in_small_batches
 
 LEAST_LENGTH, LEAST_COPIES = 6, 4
-#: Words numbered per task, then forgotten (between batches).
-CACHE = 2_000_000
+#: Words numbered per task, then forgotten; bytes of texts judged at once (a longer text alone).
+CACHE, AT_ONCE = 100_000, 1 << 20
 
 RUN = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())])
 SCHEMA = "doc_id long, n_words long, runs array<struct<start:long,length:long,period:long>>, collapsed string"
@@ -138,17 +139,26 @@ def find_runs(docs: DataFrame) -> DataFrame:
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Numbers()
         for batch in batches:
-            if len(known) > CACHE:
-                known.clear()
-            sizes, runs, kept = [], [], []
-            for n, mine, text in runs_of_texts(batch.column(1).to_pylist(), known):
-                sizes.append(n)
-                runs.append([{"start": s, "length": length, "period": p} for s, length, p in mine])
-                kept.append(text)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(runs, pa.list_(RUN)), pa.array(kept, pa.binary()).cast(pa.string())],
-                ["doc_id", "n_words", "runs", "collapsed"],
-            )
+            sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False))
+            start = 0
+            while start < batch.num_rows:
+                done = sizes[start - 1] if start else 0
+                end = max(start + 1, int(np.searchsorted(sizes, done + AT_ONCE, side="right")))
+                if len(known) > CACHE:
+                    known.clear()
+                yield one(batch.slice(start, end - start), known)
+                start = end
+
+    def one(part: pa.RecordBatch, known: Numbers) -> pa.RecordBatch:
+        sizes, runs, kept = [], [], []
+        for n, mine, text in runs_of_texts(part.column(1).to_pylist(), known):
+            sizes.append(n)
+            runs.append([{"start": s, "length": length, "period": p} for s, length, p in mine])
+            kept.append(text)
+        return pa.RecordBatch.from_arrays(
+            [part.column(0), pa.array(sizes, pa.int64()), pa.array(runs, pa.list_(RUN)), pa.array(kept, pa.binary()).cast(pa.string())],
+            ["doc_id", "n_words", "runs", "collapsed"],
+        )
 
     source = in_small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"))
     return source.mapInArrow(judged, SCHEMA)
