@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import html
-from collections.abc import Iterator
-from html.parser import HTMLParser
+import re
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -102,47 +101,24 @@ def code_list(codes: Column) -> Column:
     return F.array_distinct(F.transform(codes, lambda c: F.upper(strip(c))))
 
 
-class _Events(HTMLParser):
-    """The events of a markup reader as a list: +1 and -1 for the edges of unseen elements, text between."""
-
-    UNSEEN = frozenset({"script", "style"})
-
-    def __init__(self, markup: str) -> None:
-        super().__init__()
-        self.log: list[int | str] = []
-        self.feed(markup)
-        self.close()
-
-    def handle_starttag(self, tag: str, attrs: list) -> None:
-        if tag in self.UNSEEN:
-            self.log.append(1)
-
-    def handle_endtag(self, tag: str) -> None:
-        if tag in self.UNSEEN:
-            self.log.append(-1)
-
-    def handle_data(self, data: str) -> None:
-        self.log.append(data)
-
-
-def _seen(log: list[int | str]) -> Iterator[str]:
-    """Text outside unseen elements; an end without a start is ignored."""
-    level = 0
-    for event in log:
-        if isinstance(event, int):
-            level = max(0, level + event)
-        elif level == 0:
-            yield event
+# What stands at a "<", first match first: comment, hidden element with its content, tag, marked section, declaration or end tag;
+# else text. A quoted attribute value may hold ">". An unfinished construct is text up to the next ">", or else "<".
+_ATTRIBUTES = r"(?:[^>=]|=\s*(?:\"[^\"]*\"|'[^']*')|=(?!\s*[\"']))*+"
+_SCAN = re.compile(
+    r"<!--.*?--\s*>"
+    rf"|<(?P<hidden>script|style)(?=[\s/>]){_ATTRIBUTES}(?<!/)>.*?(?:</\s*(?P=hidden)\s*>|\Z)"
+    rf"|<[a-z]{_ATTRIBUTES}>"
+    r"|<!\[(?:cdata|temp|ignore|include|rcdata)\b.*?\]\s*\]\s*>|<!\[.*?\]\s*>"
+    r"|<(?:!(?!--|\[)|[/?])[^>]*>"
+    r"|(?P<text><[a-z!/?](?:[^>]*>|[^<]*(?=<))|<)",
+    re.IGNORECASE | re.DOTALL,
+)
 
 
 def visible_text(markup: str | None) -> str | None:
-    """Exact HTML to text for one value; used on the rows native patterns cannot prove safe."""
-    try:
-        shown = " ".join(_seen(_Events(markup or "").log))
-    except (AssertionError, ValueError):  # the reader gives up on some broken declarations
-        shown = markup
-    words = html.unescape(shown).split()
-    return " ".join(words) if words else None
+    """HTML to text for one value, in one pass of the scanner; used on the rows native patterns cannot prove safe."""
+    words = html.unescape(html.unescape(_SCAN.sub(r" \g<text> ", markup or ""))).split()
+    return " ".join(words) or None
 
 
 @F.pandas_udf(StringType())
@@ -162,7 +138,7 @@ def native_text(c: Column) -> Column:
     def entities(visible: Column) -> Column:
         twice = lambda once: F.when(~once.rlike(_FOREIGN_ENTITY), _decode(once))
         return (
-            F.when(visible.rlike("<[A-Za-z/!?]"), None)
+            F.when(visible.contains("<"), None)
             .when(~visible.contains("&"), visible)
             .when(~visible.rlike(_FOREIGN_ENTITY), let(_decode(visible), twice))
         )
@@ -189,12 +165,6 @@ def with_clean_text(df: DataFrame, texts: dict[str, Column]) -> DataFrame:
     return fence(step.select(*df.columns, *cleaned))
 
 
-def clean_html(c: Column) -> Column:
-    """Column form of :func:`with_clean_text`, for single uses."""
-    native = native_text(c)
-    return F.nullif(F.coalesce(native, _exact_text(F.when(native.isNull(), c))), F.lit(""))
-
-
 def clean_html_native(c: Column) -> Column:
     """The all-native form, null where the text is not ordinary markup."""
     return F.nullif(native_text(c), F.lit(""))

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -16,17 +17,32 @@ def values(spark, column, rows, schema="s string"):
     return [r[0] for r in df.select(column(F.col("s")).alias("v")).collect()]
 
 
-HTML = [
-    "plain  text", "<p>Hello <b>x</b>y</p><script>bad('<p>')</script>", "a &amp;lt; b", "AT&T", "&eacute;t", "<p>x<br/>y",
-    "a < b", "\xa0  ", "<!-- c -->z", "<script>unclosed", '<a href="x>y">t</a>', "&copy;2024 &amp;copy;", "", None, "<p",
-    "x</scr", "a b", "<style>p{}</style>t<title>u</title>", "&#8217;s", "&notit;",
-]
+HTML = {
+    "plain  text": "plain text", "<p>Hello <b>x</b>y</p><script>bad('<p>')</script>": "Hello x y", "a &amp;lt; b": "a < b", "AT&T": "AT&T",
+    "&eacute;t": "ét", "<p>x<br/>y": "x y", "a < b": "a < b", "a<3": "a < 3", "\xa0  ": None, "<!-- c -->z": "z", "<script>unclosed": None,
+    '<a href="x>y">t</a>': "t", "&copy;2024 &amp;copy;": "©2024 ©", "": None, None: None, "<p": "< p", "x</scr": "x < /scr", "a\u2003b": "a b",
+    "<style>p{}</style>t<title>u</title>": "t u", "&#8217;s": "’s", "&notit;": "¬it;", "<script/>y": "y", "x<script>1</style>2</script >3": "x 3",
+    "a</script>b<style>c</STYLE >d": "a b d", "x<![CDATA[q>r]]>s": "x s", "x<?pi a?>z<!doctype html>": "x z", "x<!-- open": "x < !-- open",
+    "x<!--y--!>z": "x <!--y--!> z", "x</>y</1>z": "x y z", "a<1b>c": "a < 1b>c", "<noscript><b>q</b></noscript>z": "q z", "a <i title='<b>'>c": "a c",
+    "<a href=\"open": '< a href="open', "&ampamp; &#60;b>": "& <b>",
+}
 
 
-def test_html_to_text_equals_exact_reader(spark):
-    assert values(spark, text.clean_html, HTML) == [text.visible_text(h) for h in HTML]
+def test_html_to_text(spark):
+    """The scanner and the native patterns before it give the stated texts."""
+    assert {h: text.visible_text(h) for h in HTML} == HTML
     df = text.with_clean_text(spark.createDataFrame([(h,) for h in HTML], "s string").coalesce(1), {"v": F.col("s")})
-    assert [r.v for r in df.collect()] == [text.visible_text(h) for h in HTML]
+    assert {r.s: r.v for r in df.collect()} == HTML
+
+
+def test_native_patterns_agree_with_the_scanner(spark):
+    pieces = ["<b>", "</b>", "<script>", "</script>", "<style a='x>y'>", "</style>", "<!-- c -->", "<!--", "<br/>", "<", " a", ">", "&amp;", "&lt;", "&#60;", "<3", "--!>", "<p class="]
+    rnd = random.Random(8)
+    made = ["".join(rnd.choice(pieces) for _ in range(rnd.randint(1, 6))) for _ in range(3_000)]
+    df = spark.createDataFrame([(m,) for m in made], "s string").select("s", text.clean_html_native(F.col("s")).alias("n"), text.native_text(F.col("s")).isNull().alias("open"))
+    rows = df.collect()
+    assert [r.s for r in rows if not r.open and r.n != text.visible_text(r.s)] == []
+    assert sum(not r.open for r in rows) > 400
 
 
 def test_timespans(spark):
