@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from broadsheet import fixed
 from broadsheet.functions import text
@@ -40,6 +41,28 @@ def replace_partitions(path: str, touched: DataFrame, fresh: DataFrame, keys: li
         folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def replace_groups_at(path: str, schema: StructType, touched: DataFrame, fresh: DataFrame, keys: list[str], partition: str) -> None:
+    """As :func:`replace_groups`, on a table partitioned by one of the keys.
+
+    Only partitions of touched groups are read and written, each with the groups of its that stay; one that ends up
+    empty is deleted. Partitions are as many as days, say, not as groups.
+    """
+    spark = touched.sparkSession
+    groups = cut(touched.select(*keys).distinct(), "touched")
+    parts = groups.select(F.col(partition).alias("_part")).distinct()
+    stored = spark.read.schema(schema).parquet(path)
+    kept = stored.join(parts, stored[partition] == parts["_part"], "left_semi").join(groups, keys, "left_anti")
+    staged = cut(kept.unionByName(fresh.join(groups, keys, "left_semi").select(*stored.columns)), "fresh")
+    # A partition is one set of files, whatever the number of tasks that hold its rows.
+    staged.repartition(partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+    left = staged.select(F.col(partition).alias("_left")).distinct()
+    emptied = parts.join(left, F.col("_part") == F.col("_left"), "left_anti").select(F.col("_part").cast("string"))
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for row in emptied.toLocalIterator():
+        folder = root(f"{path}/{partition}={row[0]}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def upsert_last(stored: DataFrame, changes: DataFrame, keys: list[str], version: str) -> DataFrame:
     """Upsert where the change with the highest ``version`` wins over earlier ones and the table.
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from broadsheet import fixed
-from broadsheet.operators.mutations import replace_groups, replace_partitions
+from broadsheet.operators.mutations import replace_groups, replace_groups_at
 
 SNAPSHOT = ["state_code", "ranking_date", "ranking_window", "category_filter"]
 
@@ -47,10 +48,10 @@ def replace_top_ten(stored: DataFrame, touched: DataFrame, fresh: DataFrame) ->
     return replace_groups(stored, keys, rows, SNAPSHOT)
 
 
-def replace_top_ten_at(path: str, touched: DataFrame, fresh: DataFrame) -> None:
-    """As :func:`replace_top_ten`, on a table partitioned by snapshot: only touched partitions change."""
+def replace_top_ten_at(path: str, schema: StructType, touched: DataFrame, fresh: DataFrame) -> None:
+    """As :func:`replace_top_ten`, on a table of that schema partitioned by ``ranking_date``: only touched dates are rewritten."""
     keys, rows = good_snapshots(touched, fresh)
-    replace_partitions(path, keys, rows, SNAPSHOT)
+    replace_groups_at(path, schema, keys, rows, SNAPSHOT, "ranking_date")
 
 
 def is_snapshot(state: str, date: str, window: str = "24h", category: str = "all") -> Column:

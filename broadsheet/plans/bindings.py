@@ -222,6 +222,25 @@ class Tables:
             "article_id", F.col("rank_position").cast("smallint").alias("rank_position"), "ranking_score",
         )
 
+    @cached_property
+    def gazetteer(self) -> DataFrame:
+        """benchmark as places: a state of two words, a district that adds the third, a city that overlaps it, and short names.
+
+        ``first`` holds the leading words of a passage."""
+        first = F.slice(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)), 1, 5)
+        place = lambda kind, name: F.struct(F.lit(kind).alias("kind"), name.alias("name"))
+        part = lambda a, n: F.array_join(F.slice("first", a, n), " ")
+        places = F.array(
+            place("state", part(1, 2)), place("district", part(1, 3)), place("city", part(3, 2)), place("city", F.concat(F.lit("- "), part(4, 1))), place("district", part(5, 1)),
+        )
+        return (
+            self.base("benchmark").select("item_id", first.alias("first")).select("item_id", F.posexplode(places).alias("pos", "p"))
+            .select(
+                "p.kind", "p.name", F.expr("concat(substring(p.kind, 1, 1), item_id, '-', pos)").alias("code"),
+                F.expr("concat('N-', lpad(cast(item_id % 25 as string), 2, '0'))").alias("state_code"),
+            )
+        )
+
     # ---- search-API payloads out of events ------------------------------------------------
 
     @cached_property
@@ -510,6 +529,18 @@ FROM (SELECT article_id, doc_id, doc_id % 25 AS k, TRUE AS is_primary FROM docs
       UNION ALL
       SELECT article_id, doc_id, (doc_id * 7 + 3) % 25, FALSE FROM docs WHERE (doc_id * 7 + 3) % 25 <> doc_id % 25)""",
       "docs")
+_view("gazetteer", r"""
+SELECT kind, lower(name) AS name, substr(kind, 1, 1) || item_id || '-' || pos AS code, 'N-' || lpad((item_id % 25)::VARCHAR, 2, '0') AS state_code
+FROM (SELECT item_id, unnest(range(5)) AS pos, unnest(['state', 'district', 'city', 'city', 'district']) AS kind,
+             unnest([array_to_string(w[1:2], ' '), array_to_string(w[1:3], ' '), array_to_string(w[3:4], ' '), array_to_string(w[4:4], ' '), array_to_string(w[5:5], ' ')]) AS name
+      FROM (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM benchmark)) WHERE name <> ''""")
+_view("mentions", r"""
+SELECT doc_id, start, size, kind, code, state_code FROM (
+  SELECT *, max(start + size) OVER (PARTITION BY doc_id ORDER BY start, size DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM (
+    SELECT doc_id, start, size, array_to_string(w[start + 1:start + size], ' ') AS name FROM (
+      SELECT *, unnest(range(len(w) - size + 1)) AS start FROM (
+        SELECT doc_id, unnest([1, 2, 3]) AS size, w FROM (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents)) WHERE len(w) >= size))
+  WHERE name IN (SELECT name FROM gazetteer)) JOIN gazetteer USING (name) WHERE reach IS NULL OR start + size > reach""", "gazetteer")
 _view("users", """
 SELECT c_custkey::VARCHAR AS id, lower(replace(c_name, '#', '.') || '@example.com') AS email,
        c_name AS display_name, c_custkey, c_nationkey FROM customer""")

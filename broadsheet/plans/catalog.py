@@ -2,6 +2,7 @@
 
 from broadsheet.plans import (  # noqa: F401
     changes,
+    extensions,
     lookups,
     mapping,
     queueing,

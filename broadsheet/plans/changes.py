@@ -146,8 +146,8 @@ FROM ({PROPOSED}) WHERE k % 6 <> 5""")
 def i8(t: Tables) -> DataFrame:
     """Fresh snapshots replace old ones, empty ones delete, invalid ones change nothing.
 
-    The stored table is partitioned by the snapshot key and only touched partitions are
-    rewritten; the read-back shows the committed result.
+    The stored table is partitioned by date and only touched dates are rewritten; the
+    read-back shows the committed result.
     """
     stored = t.rankings
     proposed = proposed_rankings(t).filter("k % 6 <> 4").withColumn("ranking_score", F.expr("cast(ranking_score + 1 as decimal(12,4))"))
@@ -156,8 +156,8 @@ def i8(t: Tables) -> DataFrame:
         proposed.filter("k % 6 = 3").withColumn("ranking_score", F.expr("cast(ranking_score - 1 as decimal(12,4))")).drop("k")
     )
     path = scratch_path(t.spark, "rankings")
-    stored.write.partitionBy(*rankings.SNAPSHOT).parquet(path)
-    rankings.replace_top_ten_at(path, touched, fresh)
+    stored.repartition("ranking_date").write.partitionBy("ranking_date").parquet(path)
+    rankings.replace_top_ten_at(path, stored.schema, touched, fresh)
     return t.spark.read.schema(stored.schema).parquet(path).select(
         "state_code", F.date_format("ranking_date", "yyyy-MM-dd").alias("ranking_date"),
         F.col("rank_position").cast("bigint").alias("rank_position"), "article_id", "ranking_score",
