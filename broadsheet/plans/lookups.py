@@ -13,7 +13,9 @@ from broadsheet.plans.bindings import COUNTRY_CODES, LANGUAGES, Tables, stamp
 from broadsheet.plans.registry import query
 from broadsheet.plans.scans import queue_events
 from broadsheet.plans.validation import favorite_changes, proposed_rankings
+from broadsheet.session import scratch_path
 from broadsheet.sources import messages, registry
+from broadsheet.streaming import queue
 
 TS = "strftime({0}, '%Y-%m-%d %H:%M:%S')"
 SNAPSHOT_DATE = "2026-06-01"
@@ -114,29 +116,40 @@ def e10(t: Tables) -> DataFrame:
 
 
 def run_outcomes(t: Tables) -> DataFrame:
-    """Outcome rows of one run over the messages: articles by decision, broken ones as rejects."""
-    decided = dedup.dedup_by_url(t.message_requests, None)
-    articles = decided.select((F.col("user_id") % 10).alias("batch"), F.lit("article").alias("kind"), "status")
+    """Outcome rows of one run over the messages: articles by decision or failed by their contract, broken messages as rejects.
+
+    A message that is no JSON has no payload to store, so its reject fails."""
+    batch = (F.col("user_id") % 10).alias("batch")
+    decided = dedup.dedup_by_url(t.message_requests, None).select(batch, F.lit("article").alias("kind"), "status")
+    refused = t.message_articles.filter(F.col("article_error").isNotNull()).select(batch, F.lit("article").alias("kind"), F.lit("failed").alias("status"))
+    lost = F.col("message_error") == "invalid_json"
     bad = t.messages.filter(F.col("message_error").isNotNull()).select(
-        (F.col("user_id") % 10).alias("batch"), F.lit("reject").alias("kind"), F.lit("kept").alias("status")
+        batch, F.lit("reject").alias("kind"), F.when(lost, "failed").otherwise("kept").alias("status")
     )
-    return articles.unionByName(bad)
+    return decided.unionByName(refused).unionByName(bad)
 
 
 @query("f1_batch_counters", "messages persisted", """
 SELECT batch, count(*) AS total_received, count(*) FILTER (WHERE s = 'stored') AS stored_count, count(*) FILTER (WHERE s = 'duplicate') AS duplicate_count,
-  count(*) FILTER (WHERE s = 'kept') AS rejected_count, 0 AS failed_count, 0 AS failed_articles, 0 AS failed_rejects
-FROM (SELECT user_id % 10 AS batch, status AS s FROM persisted UNION ALL SELECT user_id % 10, 'kept' FROM messages WHERE message_error IS NOT NULL) GROUP BY batch""")
+  count(*) FILTER (WHERE s = 'kept') AS rejected_count, count(*) FILTER (WHERE s IN ('refused', 'lost')) AS failed_count,
+  count(*) FILTER (WHERE s = 'refused') AS failed_articles, count(*) FILTER (WHERE s = 'lost') AS failed_rejects
+FROM (SELECT user_id % 10 AS batch, status AS s FROM persisted
+      UNION ALL SELECT user_id % 10, CASE WHEN message_error IS NULL THEN 'refused' WHEN message_error = 'invalid_json' THEN 'lost' ELSE 'kept' END
+      FROM messages WHERE message_error IS NOT NULL OR article_error IS NOT NULL) GROUP BY batch""")
 def f1(t: Tables) -> DataFrame:
     return metrics.batch_counters(run_outcomes(t), ["batch"])
 
 
 @query("f2_dispatch_counters", "api_mapped", """
 SELECT 'p' || payload AS payload_id, count(*) AS received_count, count(*) FILTER (WHERE reject_reason IS NULL) AS validated_count,
-  count(*) FILTER (WHERE reject_reason IS NULL) AS queued_count, count(reject_reason) AS rejected_count, 0 AS failed_count FROM api_mapped GROUP BY ALL""")
+  count(*) FILTER (WHERE reject_reason IS NULL AND pos % 17 <> 3) AS queued_count, count(*) FILTER (WHERE reject_reason <> 'url_empty') AS rejected_count,
+  count(*) FILTER (WHERE reject_reason = 'url_empty' OR (reject_reason IS NULL AND pos % 17 = 3)) AS failed_count FROM api_mapped GROUP BY ALL""")
 def f2(t: Tables) -> DataFrame:
-    status = F.when(F.col("reject_reason").isNull(), "queued").otherwise("rejected")
-    return metrics.dispatch_counters(t.api_mapped.select("payload_id", status.alias("status")), ["payload_id"])
+    """Counters of a run in which some messages cannot be made and some rejects come without a reason."""
+    unexplained = t.api_mapped.withColumn("reject_reason", F.when(F.col("reject_reason") == "url_empty", " ").otherwise(F.col("reject_reason")))
+    factory = lambda df: queue.default_message(df).withColumn("body", F.when(F.expr("pos % 17 <> 3"), F.col("body")))
+    status = queue.dispatch(t.api_payloads, unexplained, scratch_path(t.spark, "counters"), factory)
+    return metrics.dispatch_counters(status, ["payload_id"])
 
 
 def consumed_records(t: Tables) -> DataFrame:

@@ -10,6 +10,7 @@ from broadsheet.operators import conform, lake
 from broadsheet.plans.bindings import Tables, stamp
 from broadsheet.plans.registry import query
 from broadsheet.sources import feed_xml
+from broadsheet.streaming import queue
 
 TS = "strftime({0}, '%Y-%m-%d %H:%M:%S')"
 
@@ -181,18 +182,23 @@ def c17(t: Tables) -> DataFrame:
     return rows.select("event_id", F.array_join(F.map_keys("m"), ",").alias("code"), F.size("m").alias("n"))
 
 
-@query("c18_article_to_message", "docs", f"""
-SELECT doc_id, '{{"provider":"Wire","raw_s3_uri":"s3://news-lake/raw/' || doc_id || '.json","article_payload":{{"article_id":"' || article_id || '","url":"' || url ||
-       '","published_at":"' || strftime(published_at, '%Y-%m-%dT%H:%M:%SZ') || '"}},"country_scores":{{"' || country_code || '":1.0000}}}}' AS message FROM docs""")
+@query("c18_article_to_message", "docs", """
+SELECT doc_id, '1.0' AS schema_version, 'article_processing' AS message_type, 'Wire' AS provider, 's3://news-lake/raw/' || doc_id || '.json' AS raw_s3_uri,
+  regexp_replace(md5('s3://news-lake/raw/' || doc_id || '.json|' || article_id), '^(.{8})(.{4})(.{4})(.{4})(.{12})$', '\\1-\\2-\\3-\\4-\\5') AS message_id,
+  strftime(published_at, '%Y-%m-%dT%H:%M:%S.000000Z') AS created_at, url, title, sha256(content) AS content_sha256, source_name, author, primary_category, language_code,
+  strftime(published_at, '%Y-%m-%dT%H:%M:%S.000000Z') AS published_at, '["' || label || '"]' AS labels, '{"' || country_code || '":1.0}' AS country_scores FROM docs""")
 def c18(t: Tables) -> DataFrame:
-    published = F.date_format("published_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("published_at")
-    message = F.struct(
-        F.lit("Wire").alias("provider"),
-        F.concat(F.lit("s3://news-lake/raw/"), F.col("doc_id").cast("string"), F.lit(".json")).alias("raw_s3_uri"),
-        F.struct("article_id", "url", published).alias("article_payload"),
-        conform.default_country_scores(F.col("source_country_code")).alias("country_scores"),
+    """The producer's message of every article, its fields read back."""
+    uri = F.concat(F.lit("s3://news-lake/raw/"), F.col("doc_id").cast("string"), F.lit(".json"))
+    made = queue.default_message(t.docs.withColumns({"provider": F.lit("Wire"), "raw_s3_uri": uri}))
+    read = lambda path, name=None: F.get_json_object("body", f"$.{path}").alias(name or path.split(".")[-1])
+    article = ("url", "title", "author", "primary_category", "language_code", "published_at", "labels")
+    rows = made.select(
+        *[read(f) for f in ("schema_version", "message_type", "provider", "raw_s3_uri", "message_id", "created_at", "country_scores")],
+        read("article_payload.source.name", "source_name"), F.sha2(F.get_json_object("body", "$.article_payload.content"), 256).alias("content_sha256"),
+        *[read(f"article_payload.{f}") for f in article],
     )
-    return t.docs.select("doc_id", F.to_json(message).alias("message"))
+    return rows.withColumn("doc_id", F.regexp_extract("raw_s3_uri", r"(\d+)\.json$", 1).cast("bigint"))
 
 
 @query("c19_reject_to_ingestion_item", "api_mapped", """

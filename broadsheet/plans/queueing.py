@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from broadsheet import fixed
 from broadsheet.operators import conform, metrics
 from broadsheet.plans.bindings import Tables
 from broadsheet.plans.registry import query
+from broadsheet.plans.scans import REQUEST_ERROR
 from broadsheet.session import scratch_path
-from broadsheet.sources import api_json, registry
+from broadsheet.sources import api_json, messages, registry
 from broadsheet.streaming import queue
 
 
@@ -29,13 +31,34 @@ def consumed(t: Tables) -> tuple[str, DataFrame]:
     return root, queue.outcomes(t.spark, root)
 
 
-@query("k1_producer_dispatch", "api_mapped", """
-SELECT 'p' || payload AS payload_id, count(*) AS received_count, count(*) FILTER (WHERE reject_reason IS NULL) AS validated_count,
-  count(*) FILTER (WHERE reject_reason IS NULL) AS queued_count, count(reject_reason) AS rejected_count, 0 AS failed_count FROM api_mapped GROUP BY ALL""")
+def failing(records: str) -> queue.MessageFactory:
+    """The default messages, without those of some records (a rule over their positions)."""
+    return lambda df: queue.default_message(df).withColumn("body", F.when(~F.expr(records), F.col("body")))
+
+
+DISPATCH_COUNTS = """count(*) AS received_count, count(*) FILTER (WHERE reject_reason IS NULL) AS validated_count,
+  count(*) FILTER (WHERE reject_reason IS NULL AND NOT ({fails})) AS queued_count, count(reject_reason) AS rejected_count,
+  count(*) FILTER (WHERE reject_reason IS NULL AND {fails}) AS failed_count"""
+
+
+@query("k1_producer_dispatch", "api_mapped", f"""
+SELECT 'p' || payload AS payload_id, {DISPATCH_COUNTS.format(fails="pos % 31 = 5")},
+  count(*) FILTER (WHERE reject_reason IS NULL AND pos % 31 <> 5) AS messages, count(reject_reason) AS stored_rejects FROM api_mapped GROUP BY ALL""")
 def k1(t: Tables) -> DataFrame:
+    """Some messages cannot be made. The run is repeated: nothing is landed, published or stored twice, and the counters stay."""
     root = scratch_path(t.spark, "producer")
-    status = queue.dispatch(t.api_payloads, t.api_mapped, root)
-    return metrics.dispatch_counters(status, ["payload_id"])
+    for _ in range(2):
+        status = queue.dispatch(t.api_payloads, t.api_mapped, root, failing("pos % 31 = 5"))
+    key = F.sha2(F.concat_ws("|", "provider", "payload_id"), 256)
+    named = t.api_payloads.select("payload_id", key.alias("record_id"))
+    uri = F.get_json_object("value", "$.raw_s3_uri")
+    sent = t.spark.read.text(f"{root}/queue").groupBy(F.regexp_extract(uri, "([0-9a-f]{64})", 1).alias("record_id")).agg(F.count("*").alias("messages"))
+    rejects = t.spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/{fixed.LAYER_PREFIXES['rejected']}")
+    kept = status.filter("status = 'rejected'").select(
+        F.sha2(F.concat_ws("|", "provider", "payload_id", F.col("pos").cast("string")), 256).alias("record_id"), "payload_id"
+    ).join(rejects.select("record_id"), "record_id").groupBy("payload_id").agg(F.count("*").alias("stored_rejects"))
+    counted = metrics.dispatch_counters(status, ["payload_id"]).join(named.join(sent, "record_id").drop("record_id"), "payload_id", "left").join(kept, "payload_id", "left")
+    return counted.na.fill(0, ["messages", "stored_rejects"])
 
 
 @query("k2_consumer_outcomes", "messages persisted", """
@@ -92,6 +115,34 @@ def k7(t: Tables) -> DataFrame:
     )
 
 
+PROVIDERS = ("BUILDING", "HOUSEHOLD", "MACHINERY")
+
+
+@query("k7_request_runs", "api_mapped", f"""
+SELECT CAST(c_custkey AS VARCHAR) AS request_id, CASE WHEN reason IS NULL THEN 'completed' ELSE 'failed' END AS status, reason,
+  CASE WHEN reason IS NULL THEN coalesce(received_count, 0) ELSE 0 END AS received_count, CASE WHEN reason IS NULL THEN coalesce(validated_count, 0) ELSE 0 END AS validated_count,
+  CASE WHEN reason IS NULL THEN coalesce(queued_count, 0) ELSE 0 END AS queued_count, CASE WHEN reason IS NULL THEN coalesce(rejected_count, 0) ELSE 0 END AS rejected_count,
+  CASE WHEN reason IS NULL THEN coalesce(failed_count, 0) ELSE 0 END AS failed_count
+FROM (SELECT *, CASE WHEN request_error <> 'ok' THEN request_error WHEN c_mktsegment NOT IN {PROVIDERS} THEN 'provider_unknown'
+                     WHEN c_custkey - 1 NOT IN (SELECT event_id // 100 FROM events) THEN 'no_payload' END AS reason
+      FROM (SELECT *, {REQUEST_ERROR} AS request_error FROM customer)) r
+LEFT JOIN (SELECT payload, {DISPATCH_COUNTS.format(fails="pos % 31 = 5")} FROM api_mapped GROUP BY payload) c ON c.payload = r.c_custkey - 1""")
+def k7_request_runs(t: Tables) -> DataFrame:
+    """Every request gets one response: run over the payload fetched for it, or why it failed. Run twice, answers stay the same."""
+    root = scratch_path(t.spark, "requests")
+    requests = messages.parse_requests(t.request_bodies).withColumn("request_id", F.col("c_custkey").cast("string"))
+    fetched = t.api_payloads.withColumn("request_id", F.expr("cast(cast(substring(payload_id, 2) as bigint) + 1 as string)")).drop("payload_id", "provider")
+    mappers = registry.ProviderMappers()
+    columns = t.api_payloads.columns
+    for provider in PROVIDERS:
+        mappers.register(provider, lambda raw: api_json.map_records(
+            api_json.explode_records(api_json.parse_payloads(raw.select(*columns))), t.countries, t.languages
+        ))
+    for _ in range(2):
+        answers = queue.run_requests(requests, fetched, mappers, root, failing("pos % 31 = 5"))
+    return answers
+
+
 @query("k8_no_late_drop", "persisted", "SELECT count(*) AS n FROM persisted WHERE status = 'stored'")
 def k8(t: Tables) -> DataFrame:
     """Messages up to a month old are all persisted: the consumer has no watermark."""

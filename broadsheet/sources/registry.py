@@ -107,6 +107,10 @@ class ProviderMappers:
             routed = routed.unionByName(more, allowMissingColumns=True)
         return routed
 
+    def is_unknown(self) -> Column:
+        """Whether no mapper is registered for a row's provider."""
+        return ~F.coalesce(self._name().isin(*self._mappers), F.lit(False))
+
     def unknown(self, raw: DataFrame) -> DataFrame:
         """Payloads no mapper is registered for."""
-        return raw.filter(~F.coalesce(self._name().isin(*self._mappers), F.lit(False)))
+        return raw.filter(self.is_unknown())

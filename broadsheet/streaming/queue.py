@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 
 from broadsheet import fixed
 from broadsheet.functions import text
-from broadsheet.operators import conform, lake
+from broadsheet.operators import conform, lake, metrics
 from broadsheet.schemas import ARTICLE_FIELDS, TABLES
 from broadsheet.session import cut, scratch_run
-from broadsheet.sources import messages
+from broadsheet.sources import messages, registry
 
 MessageFactory = Callable[[DataFrame], DataFrame]
 PARTS = "ingest_source string, ingest_batch bigint"
@@ -32,6 +32,11 @@ STORE = {
 }
 
 
+#: What names a record of a payload, and the outcomes of earlier runs that stand.
+RECORD = ["provider", "payload_id", "pos"]
+LEDGER = "kind string, provider string, payload_id string, pos int, status string"
+
+
 def _iso(c: str) -> Column:
     return F.date_format(F.col(c), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
@@ -64,7 +69,13 @@ def default_message(articles: DataFrame) -> DataFrame:
         F.struct(*fields).alias("article_payload"),
         conform.default_country_scores(F.col("source_country_code")).alias("country_scores"),
     ))
-    return articles.select("article_id", message_id.alias("message_id"), body.alias("body"))
+    return articles.select(*[c for c in RECORD if c in have], "article_id", message_id.alias("message_id"), body.alias("body"))
+
+
+def ledger(spark: SparkSession, root: str) -> DataFrame:
+    """Payloads landed and records settled by the producer's runs under ``root``; one folder per run."""
+    spark.createDataFrame([], LEDGER).write.mode("ignore").parquet(f"{root}/dispatch_ledger/run=-1")
+    return spark.read.schema(f"{LEDGER}, run bigint").parquet(f"{root}/dispatch_ledger")
 
 
 def dispatch(
@@ -72,14 +83,35 @@ def dispatch(
 ) -> DataFrame:
     """Producer: land raw payloads first, then one message per valid article, then the rejects.
 
-    Returns one row per record with its status for the run counters: queued only when the factory gave a body,
-    ``publish_failed`` when it gave none, ``reject_failed`` when a reject has no reason to store, else rejected.
+    ``factory`` passes the RECORD columns on, so each record has a status of its own, also where two are the same article: queued
+    when the factory gave it a body (one or more), ``publish_failed`` when it gave none, ``reject_failed`` when a reject
+    has no reason to store, else rejected. Returns one row per record with its status for the run counters.
+
+    Only records of payloads that the raw layer holds are read. A ledger keeps what is done: a rerun lands no payload again and
+    publishes and stores no settled record again; failed ones are tried again. A run that dies before its entries are written
+    repeats them, which the consumer's message ids absorb.
     """
-    lake.write_layer(lake.raw_envelopes(raw), root, "raw", "collected_at")
+    spark, payload = raw.sparkSession, RECORD[:2]
+    ours = cut(raw.select(*payload).distinct(), "payloads")
+    done = cut(ledger(spark, root).join(ours, payload, "left_semi"), "done")
+    run = 1 + (ledger(spark, root).agg(F.max("run")).first()[0] or 0)
+    columns = [f.split()[0] for f in LEDGER.split(", ")]
+
+    def note(rows: DataFrame, kind: str) -> None:
+        rows.withColumn("kind", F.lit(kind)).select(*columns).write.mode("append").parquet(f"{root}/dispatch_ledger/run={run}")
+
+    landed = done.filter("kind = 'payload'").select(*payload)
+    fresh = cut(raw.join(landed, payload, "left_anti").select(*raw.columns), "raw")
+    lake.write_layer(lake.raw_envelopes(fresh), root, "raw", "collected_at")
+    note(fresh.select(*payload, F.lit(None).cast("int").alias("pos"), F.lit("landed").alias("status")), "payload")
+
+    held = ledger(spark, root).filter("kind = 'payload'").select(*payload).join(ours, payload, "left_semi").distinct()
+    settled = done.filter("kind = 'record' AND status IN ('queued', 'rejected')").select(*RECORD, "status")
     path = lake.object_path(
         "raw", F.col("collected_at"), F.sha2(F.concat_ws("|", "provider", "payload_id"), 256), F.col("provider")
     )
-    located = cut(mapped.withColumn("raw_s3_uri", lake.storage_uri(bucket, path)), "dispatch")
+    new = mapped.join(held, payload, "left_semi").join(settled, RECORD, "left_anti").select(*mapped.columns)
+    located = cut(new.withColumn("raw_s3_uri", lake.storage_uri(bucket, path)), "dispatch")
     valid = located.filter(F.col("reject_reason").isNull()).withColumn(
         "article_id", messages.article_key(F.col("source_name"), F.col("url"))
     )
@@ -91,13 +123,40 @@ def dispatch(
         F.col("record_json").alias("payload"),
     )
     lake.write_layer(lake.rejected_envelopes(rejected), root, "rejected", "rejected_at")
-    bodies = made.select(F.col("article_id").alias("_sent")).distinct()
-    key = messages.article_key(F.col("source_name"), F.col("url"))
-    sent = valid.select("provider", "payload_id", "pos", key.alias("_key")).join(bodies, F.col("_key") == F.col("_sent"), "left").select(
-        "provider", "payload_id", "pos", F.when(F.col("_sent").isNull(), "publish_failed").otherwise("queued").alias("status")
+    bodies = made.select(*RECORD).distinct().withColumn("_sent", F.lit(True))
+    sent = valid.select(*RECORD).join(bodies, RECORD, "left").select(
+        *RECORD, F.when(F.col("_sent").isNull(), "publish_failed").otherwise("queued").alias("status")
     )
     stored = F.when(text.strip(F.col("reason")) != "", "rejected").otherwise("reject_failed")
-    return sent.unionByName(rejected.select("provider", "payload_id", "pos", stored.alias("status")))
+    now = cut(sent.unionByName(rejected.select(*RECORD, stored.alias("status"))), "statuses")
+    note(now, "record")
+    return now.unionByName(settled)
+
+
+def run_requests(
+    requests: DataFrame, fetched: DataFrame, mappers: registry.ProviderMappers, root: str, factory: MessageFactory = default_message
+) -> DataFrame:
+    """Scheduled requests to one response each; failed ones are named, not dropped.
+
+    ``requests``: request_id (unique), provider and request_error of ``messages.parse_requests``. ``fetched``: the payload that a
+    provider gave for a request, as request_id and the columns its mapper needs except provider and payload_id. Valid requests of
+    registered providers are joined with their payload, which is named after the request, and go through ``dispatch``; so a rerun of
+    the same requests publishes nothing twice and answers the same.
+    """
+    known = F.when(F.col("request_error").isNotNull(), F.col("request_error")).when(mappers.is_unknown(), "provider_unknown")
+    judged = cut(requests.select("request_id", "provider", known.alias("reason")), "requests")
+    wanted = judged.filter("reason IS NULL").select("request_id", "provider")
+    payloads = cut(wanted.join(fetched, "request_id").withColumnRenamed("request_id", "payload_id"), "fetched")
+    status = dispatch(payloads, mappers.route(payloads), root, factory)
+    counts = metrics.dispatch_counters(status, ["payload_id"])
+    names = [c for c in counts.columns if c != "payload_id"]
+    given = payloads.select(F.col("payload_id").alias("request_id"), F.lit(True).alias("_given")).distinct()
+    answered = judged.join(given, "request_id", "left").join(counts.withColumnRenamed("payload_id", "request_id"), "request_id", "left")
+    reason = F.coalesce("reason", F.when(F.col("_given").isNull(), "no_payload"))
+    return answered.select(
+        "request_id", F.when(reason.isNull(), "completed").otherwise("failed").alias("status"), reason.alias("reason"),
+        *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in names],
+    )
 
 
 def prepare_lake(spark: SparkSession, root: str) -> None:

@@ -34,7 +34,7 @@ def region_texts():
     rnd = random.Random(3)
     pieces = "goa north old new delhi cantonment gate île de france a b c d e x GOA Goan delhi_gate".split()
     made = [rnd.choice(["", " ", "- "]) + rnd.choice([" ", "-", ", ", "\n"]).join(rnd.choice(pieces) for _ in range(rnd.randint(1, 25))) for _ in range(400)]
-    return [*made, None, "", "...", "goa " * 20_000, "NORTH GOA", "newdelhi", "a b c d e", "new delhi new delhi cantonment"]
+    return [*made, None, "", "...", "goa " * 300, "NORTH GOA", "newdelhi", "a b c d e", "new delhi new delhi cantonment"]
 
 
 @pytest.mark.parametrize("bound", [regions.MAX_NAME_BYTES, 1])
@@ -44,7 +44,7 @@ def test_mentions_by_automaton_and_by_join(spark, places, region_texts, bound):
     for r in regions.find_mentions(texts, places, "id", "body", bound).collect():
         got.setdefault(r["id"], []).append((r["start"], r["size"], r["code"]))
     assert {i: sorted(v) for i, v in got.items()} == {i: m for i, t in enumerate(region_texts) if (m := plain_mentions(t, PLACES))}
-    assert max(len(v) for v in got.values()) == 20_000
+    assert max(len(v) for v in got.values()) == 300
 
 
 def test_longest_names_win_and_overlaps_both_count():

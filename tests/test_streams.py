@@ -5,9 +5,11 @@ import os
 
 from pyspark.sql import functions as F
 
+from broadsheet import fixed
 from broadsheet.functions import codes
 from broadsheet.operators import mutations
 from broadsheet.session import shared_root
+from broadsheet.sources import registry
 from broadsheet.streaming import queue
 
 STATES = "code string"
@@ -72,6 +74,49 @@ def test_failed_publish_is_counted(spark, tmp_path):
     assert got == {"queued": 5, "publish_failed": 1, "rejected": 2, "reject_failed": 2}
 
 
+def test_rerun_of_a_producer_writes_nothing_twice(spark, tmp_path):
+    """Two records of one article fail or pass apart; a record may give several messages; failed ones are tried again."""
+    root = str(tmp_path)
+    mapped = articles(spark, 6).withColumn("url", F.expr("if(pos in (1, 2), 'https://press.test/twin', url)")).withColumn("source_name", F.expr("if(pos in (1, 2), 'Paper', source_name)")).withColumn("reject_reason", F.expr("if(pos = 0, 'bad', null)"))
+    raw = mapped.select("payload_id", "provider", "source_id", "query", "collected_at", "body").distinct()
+
+    def factory(df):
+        made = queue.default_message(df)
+        body = F.when((F.col("payload_id") == last["payload_id"]) & (F.col("pos") == last["pos"]), None).otherwise(F.col("body"))
+        return made.withColumn("body", body).withColumn("copy", F.explode(F.expr("if(pos = 3, array(1, 2), array(1))"))).drop("copy")
+
+    last = mapped.filter("reject_reason IS NULL").orderBy("pos", "payload_id").select("payload_id", "pos").first()
+    n = mapped.count()
+    rejected, twice = mapped.filter("pos = 0").count(), mapped.filter("pos = 3").count()
+    for _ in range(2):
+        status = {r["status"]: r["count"] for r in queue.dispatch(raw, mapped, root, factory).groupBy("status").count().collect()}
+        assert status == {"queued": n - rejected - 1, "publish_failed": 1, "rejected": rejected}
+        assert spark.read.text(f"{root}/queue").count() == n - rejected - 1 + twice
+    status = queue.dispatch(raw, mapped, root)
+    assert {r["status"]: r["count"] for r in status.groupBy("status").count().collect()} == {"queued": n - rejected, "rejected": rejected}
+    assert spark.read.text(f"{root}/queue").count() == n - rejected + twice
+    stored = spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/{fixed.LAYER_PREFIXES['raw']}")
+    assert stored.count() == raw.count()
+    assert spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/{fixed.LAYER_PREFIXES['rejected']}").count() == rejected
+
+
+def test_requests_get_one_response_each(spark, tmp_path):
+    mapped = articles(spark, 8)
+    pool = mapped.select("payload_id", "provider").distinct().orderBy("payload_id").limit(2).collect()
+    requests = spark.createDataFrame([(r["payload_id"], r["provider"], None) for r in pool] + [("x", pool[0]["provider"], None), ("y", "Elsewhere", None), ("z", pool[0]["provider"], "timespan_invalid")],
+                                     "request_id string, provider string, request_error string")
+    fetched = mapped.select(F.col("payload_id").alias("request_id"), "source_id", "query", "collected_at", "body").distinct()
+    mappers = registry.ProviderMappers()
+    mappers.register(pool[0]["provider"], lambda raw: mapped.join(raw.select("payload_id"), "payload_id", "left_semi"))
+    for _ in range(2):
+        got = {r["request_id"]: (r["status"], r["reason"], r["queued_count"]) for r in queue.run_requests(requests, fetched, mappers, str(tmp_path)).collect()}
+        counts = {r["payload_id"]: r["count"] for r in mapped.groupBy("payload_id").count().collect()}
+        assert got == {
+            **{r["payload_id"]: ("completed", None, counts[r["payload_id"]]) for r in pool},
+            "x": ("failed", "no_payload", 0), "y": ("failed", "provider_unknown", 0), "z": ("failed", "timespan_invalid", 0),
+        }
+
+
 def test_arrival_is_reading_order(spark):
     made = queue.default_message(articles(spark, 5).withColumns({"raw_s3_uri": F.lit("s3://b/k"), "article_id": F.col("url")}))
     created = {r["article_id"]: json.loads(r["body"])["created_at"] for r in made.collect()}
