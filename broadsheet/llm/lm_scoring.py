@@ -41,7 +41,7 @@ from broadsheet.session import cut
 #: Occurrences that the shorter history counts for, behind one word and behind two.
 PRIOR = (60.0, 12.0)
 #: Bytes of text in a group (a longer text is a group of its own) and n-grams in a hash range, about.
-GROUP_BYTES, RANGE_GRAMS = 8 << 20, 3_000_000
+GROUP_BYTES, RANGE_GRAMS = 4 << 20, 3_000_000
 BEGIN, END = 0, 1  # numbers of the marks around a text
 #: Tokens walked in a row; the state before any token follows from the two before it.
 STRETCH = 512
