@@ -55,6 +55,12 @@ def fit_centres(vectors: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
 
 def _units(column: pa.Array, dims: int) -> np.ndarray:
     rows = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dims)
+    return unit_rows(rows)
+
+
+def unit_rows(rows: np.ndarray) -> np.ndarray:
+    """Rows of length one; scaled by their largest component first, so squares of huge or tiny ones stay finite."""
+    rows = rows / np.abs(rows).max(axis=1, keepdims=True)
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
@@ -81,7 +87,7 @@ def _homes(classes: DataFrame, centres: dict[int, np.ndarray]) -> DataFrame:
                     ["dims", "home", "angle", "id", "n", "v"],
                 )
 
-    return classes.select("id", "n", "embedding").mapInArrow(run, "dims int, home int, angle double, id long, n long, v array<float>")
+    return classes.select("id", "n", "embedding").mapInArrow(run, f"dims int, home int, angle double, id long, n long, v {dict(classes.dtypes)['embedding']}")
 
 
 def visited(units: np.ndarray, home: np.ndarray, centres: np.ndarray, radii: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
@@ -122,7 +128,7 @@ def _assign(homes: DataFrame, centres: dict[int, np.ndarray], radii: dict[int, n
                             ["dims", "cell", "visits", "id", "n", "v"],
                         )
 
-    return homes.select("dims", "home", "id", "n", "v").mapInArrow(run, "dims int, cell int, visits boolean, id long, n long, v array<float>")
+    return homes.select("dims", "home", "id", "n", "v").mapInArrow(run, f"dims int, cell int, visits boolean, id long, n long, v {dict(homes.dtypes)['v']}")
 
 
 def linked_rows(units: np.ndarray, weights: np.ndarray, left: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
@@ -162,8 +168,7 @@ def _products(rows: DataFrame, threshold: float, block: int) -> DataFrame:
     )
 
     def product(frame: pd.DataFrame) -> pd.DataFrame:
-        units = np.stack(frame["v"].to_numpy()).astype(np.float64)
-        units /= np.linalg.norm(units, axis=1, keepdims=True)
+        units = unit_rows(np.stack(frame["v"].to_numpy()).astype(np.float64))
         first_block = (frame["_b"] == frame["_i"]).to_numpy()
         if frame["_i"].iloc[0] != frame["_j"].iloc[0] and (first_block.all() or not first_block.any()):
             return pd.DataFrame({"id": [], "links": [], "first": []}, dtype="int64")  # the other block is empty
@@ -176,7 +181,9 @@ def _products(rows: DataFrame, threshold: float, block: int) -> DataFrame:
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.9, block: int = BLOCK, sample: int = SAMPLE) -> DataFrame:
     """vec_id, n_links, component_id, kept of every row."""
-    source = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>").alias("embedding"))
+    # Components keep their precision: floats stay floats on the way, all others are doubles; products are in doubles.
+    kind = "array<float>" if dict(vectors.dtypes)["embedding"] == "array<float>" else "array<double>"
+    source = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(kind).alias("embedding"))
     finite = ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     nonzero = F.exists("embedding", lambda x: x != 0)
     valid = F.coalesce(F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & finite & nonzero, F.lit(False))
@@ -193,7 +200,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, block: int = BLO
     for dims, members in by_length.items():
         rows = np.array(members, dtype=np.float64)
         k = max(1, min(int(np.ceil(np.sqrt(n_classes * len(rows) / len(picked)))), len(rows) // 5))
-        centres[dims] = fit_centres(rows / np.linalg.norm(rows, axis=1, keepdims=True), k)
+        centres[dims] = fit_centres(unit_rows(rows), k)
     homes = cut(_homes(classes, centres), "homes")
     radii = {dims: np.full(len(c), -10.0) for dims, c in centres.items()}  # nothing visits a cell without classes
     for r in homes.groupBy("dims", "home").agg(F.max("angle").alias("radius")).collect():

@@ -327,6 +327,16 @@ def test_best_fit(sizes):
         room[number] -= size
 
 
+def test_double_vectors_keep_their_precision(spark):
+    """Cosines a hair apart, on both sides of the threshold: not to be told apart in single precision."""
+    c = 0.9
+    other = lambda cosine: [cosine, float(np.sqrt(1 - cosine * cosine))]
+    rows = [(1, [1.0, 0.0]), (2, other(c + 1e-10)), (3, [0.0, 0.0, 1.0, 0.0]), (4, [0.0, 0.0, *other(c - 1e-10)]), (5, [1e200, 0.0, 0.0]), (6, [1e-200, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_dedup.near_duplicates(df).collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 3: (0, 3), 4: (0, 4), 5: (1, 5), 6: (1, 5)}
+
+
 # language model
 
 def test_lm_scores(docs, odd_docs, no_docs):
