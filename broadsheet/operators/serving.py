@@ -101,8 +101,10 @@ def favorite_countries(favorites: DataFrame, user_id: str) -> DataFrame:
 
 
 def favorite_states(favorites: DataFrame, states: DataFrame, user_id: str | None = None) -> DataFrame:
-    """Active favourite states in display order; the state dimension (a few dozen rows) is broadcast."""
-    if user_id is not None:
-        favorites = favorites.filter(F.col("user_id") == user_id)
+    """Active favourite states, each user's together and in display order; the state dimension (a few dozen rows) is broadcast.
+
+    Users are grouped by hash, not sorted among each other."""
     active = states.filter("is_active").withColumnRenamed("code", "state_code")
-    return favorites.join(F.broadcast(active), "state_code").orderBy("user_id", "display_order")
+    if user_id is not None:
+        return favorites.filter(F.col("user_id") == user_id).join(F.broadcast(active), "state_code").orderBy("display_order")
+    return favorites.join(F.broadcast(active), "state_code").repartition("user_id").sortWithinPartitions("user_id", "display_order")

@@ -11,6 +11,7 @@ from broadsheet.operators import dedup, rankings, serving
 from broadsheet.plans.bindings import Tables, stamp
 from broadsheet.plans.lookups import SNAPSHOT_DATE, TS
 from broadsheet.plans.registry import query
+from broadsheet.plans.scalars import PAGE_TEXT
 from broadsheet.plans.scans import relational_tables
 from broadsheet.sources import api_json
 
@@ -70,22 +71,22 @@ def h8(t: Tables) -> DataFrame:
     return api_json.newest_per_payload(t.api_mapped).select("payload_id", "pos")
 
 
-@query("h9_top_articles_per_source", sql="""
-SELECT host, rank, page_id, title FROM (
+@query("h9_top_articles_per_source", sql=f"""
+SELECT host, rank, page_id, title, content_hash FROM (
   SELECT *, row_number() OVER (PARTITION BY host ORDER BY page_id DESC) AS rank FROM (
-    SELECT page_id, regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS host,
+    SELECT page_id, sha256({PAGE_TEXT}) AS content_hash, regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS host,
       trim(regexp_replace(replace(replace(replace(replace(regexp_replace(regexp_extract(html, '<title>(.*?)</title>', 1), '<[^>]*>', ' ', 'g'),
       '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '\\s+', ' ', 'g')) AS title FROM pages) WHERE title <> '') WHERE rank <= 10""")
 def h9(t: Tables) -> DataFrame:
     """Flagship: pages cleaned, validated, deduplicated by url, newest ten per source host."""
     title = F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1)
-    pages = t.base("pages").select("page_id", "url", title.alias("raw_title"))
-    entries = fence(text.with_clean_text(pages, {"title": F.col("raw_title")}).select(
-        F.col("page_id").alias("seq"), urls.normalize_url(F.col("url")).alias("url"), "title",
+    pages = t.base("pages").select("page_id", "url", "html", title.alias("raw_title"))
+    entries = fence(text.with_clean_text(pages, {"title": F.col("raw_title"), "content": F.col("html")}).select(
+        F.col("page_id").alias("seq"), urls.normalize_url(F.col("url")).alias("url"), "title", F.sha2("content", 256).alias("content_hash"),
         F.sha2(F.concat_ws("|", F.lit("page"), "url"), 256).alias("article_id"),
     ))
     valid = entries.filter(F.col("title").isNotNull() & F.col("url").isNotNull())
     # Only first copies are shown, so one aggregate per url decides and carries them: one scan, one shuffle.
-    kept = valid.groupBy("url").agg(F.min_by(F.struct("seq", "title"), "seq").alias("first"))
-    hosted = kept.select(F.col("first.seq").alias("page_id"), urls.url_netloc(F.col("url")).alias("host"), "first.title")
+    kept = valid.groupBy("url").agg(F.min_by(F.struct("seq", "title", "content_hash"), "seq").alias("first"))
+    hosted = kept.select(F.col("first.seq").alias("page_id"), urls.url_netloc(F.col("url")).alias("host"), "first.title", "first.content_hash")
     return serving.top_per_group(hosted, ["host"], [F.col("page_id").desc()], 10)

@@ -91,13 +91,14 @@ def d7(t: Tables) -> DataFrame:
 
 
 @query("d8_primary_state_rule", "messages", """
-SELECT CASE WHEN event_id % 43 = 8 THEN 'missing' WHEN event_id % 2 = 0 THEN 'present' ELSE 'none' END AS primary_state, count(*) AS n
-FROM messages WHERE coalesce(message_error, 'primary_state_missing') = 'primary_state_missing' GROUP BY ALL""")
+SELECT CASE WHEN message_error = 'invalid_json' THEN 'unreadable' WHEN event_id % 43 = 8 THEN 'missing' WHEN event_id % 2 = 0 THEN 'present' ELSE 'none' END AS primary_state, count(*) AS n
+FROM messages GROUP BY ALL""")
 def d8(t: Tables) -> DataFrame:
-    judged = t.messages.filter(F.coalesce("message_error", F.lit("primary_state_missing")) == "primary_state_missing")
+    """The rule on every message, whatever else is wrong with it."""
     primary = F.col("primary_state_code")
-    kind = F.when(primary.isNull(), "none").when(F.map_contains_key("state_scores", primary), "present").otherwise("missing")
-    return judged.groupBy(kind.alias("primary_state")).agg(F.count("*").alias("n"))
+    named = F.coalesce(F.map_contains_key("state_scores", primary), F.lit(False))
+    kind = F.when(F.col("message_error") == "invalid_json", "unreadable").when(primary.isNull(), "none").when(named, "present").otherwise("missing")
+    return t.messages.groupBy(kind.alias("primary_state")).agg(F.count("*").alias("n"))
 
 
 @query("d9_storage_uri_rule", sql="""
