@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from broadsheet.operators import regions, trending
+from broadsheet.operators import regions, stories, trending
 from broadsheet.plans.bindings import AS_OF, Tables
 from broadsheet.plans.registry import query
 from broadsheet.session import cut, scratch_path
@@ -99,3 +99,13 @@ def m3_top_ten(t: Tables) -> DataFrame:
     return read[0].unionByName(read[1]).select(
         "scope", "state_code", F.date_format("ranking_date", "yyyy-MM-dd").alias("ranking_date"), F.col("rank_position").cast("bigint").alias("rank_position"), "article_id", "ranking_score",
     )
+
+
+@query("m6_related_stories")
+def m6_related_stories(t: Tables) -> DataFrame:
+    """Every document's story, found in three batches; similarity is that to the story's leader. Candidates come from hashes that SQL does not have."""
+    store = stories.StoryStore(t.spark, scratch_path(t.spark, "stories"))
+    store.create()
+    for batch in range(3):
+        store.add(t.base("documents").filter(F.col("doc_id") % 3 == batch), batch, "doc_id", "text")
+    return store.members().select(F.col("article_id").cast("long").alias("doc_id"), F.col("story_id").cast("long").alias("story_id"), F.round("similarity", 6).alias("similarity"))

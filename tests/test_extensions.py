@@ -6,7 +6,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from broadsheet.operators import regions
+from broadsheet.operators import regions, stories
 
 PLACES = [
     ("state", "Goa", "G", "G"), ("district", "North Goa", "NG", "G"), ("city", "Old Goa", "OG", "G"), ("state", "New Delhi", "D", "D"),
@@ -69,3 +69,62 @@ def test_state_scores(spark, places):
     assert dict(scored.dtypes)["relevance_score"] == "decimal(5,4)"
     assert [r[0] for r in regions.region_links(regions.find_mentions(texts, places, "id", "body"), "id").filter("id = 1 AND code = 'G'").select("mentions").collect()] == [1]
     assert scored.filter(F.col("is_primary")).count() == 2
+
+
+def plain_shingles(text):
+    words = re.findall(r"[^\W_]+", (text or "").lower())
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 0.0
+
+
+def test_stories_over_batches(spark, tmp_path):
+    """Members are similar to their leader, similar leaders are not missed, ids never change."""
+    rnd = random.Random(12)
+    words = [f"w{i}" for i in range(400)]
+    base = [[rnd.choice(words) for _ in range(rnd.randint(40, 120))] for _ in range(25)]
+    texts = [" ".join(b) for b in base]
+    for b in base:
+        for _ in range(8):
+            copy = list(b)
+            for _ in range(rnd.choice([0, 0, 1, 1, 2, 6])):
+                copy[rnd.randrange(len(copy))] = rnd.choice(words)
+            texts.append(" ".join(copy))
+    texts += ["", None, "...", "a b", "A  b!", "one two three four", texts[0].upper()]
+    order = list(range(len(texts)))
+    rnd.shuffle(order)
+    store = stories.StoryStore(spark, str(tmp_path))
+    store.create()
+    before = {}
+    for batch in range(3):
+        part = [(f"a{i:04}", texts[i]) for i in order if i % 3 == batch]
+        df = spark.createDataFrame(part, "article_id string, content string").repartition(3)
+        store.add(df, batch)
+        if batch == 1:
+            store.add(df, batch)  # a batch again
+        now = {r["article_id"]: (r["story_id"], r["similarity"]) for r in store.members().collect()}
+        assert {a: now[a] for a in before} == before and len(now) == len(before) + len(part) == store.members().count()
+        before = now
+    sets = {f"a{i:04}": plain_shingles(t) for i, t in enumerate(texts)}
+    for article, (story, found) in before.items():
+        if sets[article]:
+            assert found == pytest.approx(jaccard(sets[article], sets[story])) and found >= stories.SIMILARITY
+        else:
+            assert story == article
+    led = sorted({story for story, _ in before.values() if sets[story]})
+    missed = [(a, b) for a in led for b in led if a < b and jaccard(sets[a], sets[b]) >= stories.SIMILARITY]
+    assert len(missed) <= 1 and len(led) < 150
+    assert before["a0000"][0] == before[f"a{len(texts) - 1:04}"][0]
+
+
+def test_one_bucket_of_many_classes(spark, tmp_path):
+    """Copies that differ a little all join one story: candidates are one per class and band."""
+    rnd = random.Random(1)
+    base = [f"w{rnd.randrange(300)}" for _ in range(300)]
+    rows = [(f"a{i:05}", " ".join([*base[: i % 290], f"x{i}", *base[i % 290 :]])) for i in range(600)]
+    store = stories.StoryStore(spark, str(tmp_path))
+    store.create()
+    store.add(spark.createDataFrame(rows, "article_id string, content string").repartition(4), 0)
+    assert store.members().select("story_id").distinct().count() <= 2 and store.members().count() == 600
