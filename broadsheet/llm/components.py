@@ -5,22 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from broadsheet.operators.skew import skew_lookup
 from broadsheet.session import cut
 
 
+#: A vertex with that many edges has its minimum broadcast (for at most ``skew.MAX_HOT`` vertices), its edges stay spread.
+HUB = 1_000
+
+
+def _with_least(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """``edges`` with ``_m`` of their ``_u``; ``least`` has one row per ``_u`` and the number of its edges, ``_n``."""
+    table = least.select(F.col("_u").cast("string").alias("_k"), "_m", "_n")
+    return skew_lookup(edges, F.col("_u").cast("string"), F.col("_v"), table, "_k", "_n", HUB)
+
+
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """One contraction. Every vertex links its neighbours (larger ones, or itself and smaller ones) to the
-    smallest vertex around it. The minimum is combined before the shuffle and joined back, so a vertex with
-    very many neighbours is never one task's group."""
+    smallest vertex around it. The minimum is combined before the shuffle, and that of a hub is broadcast back to its
+    edges, so a vertex with very many neighbours is never one task's group."""
     if large:
         both = edges.unionByName(edges.select(F.col("_v").alias("_u"), F.col("_u").alias("_v")))
-        near = both.groupBy("_u").agg(F.least(F.min("_v"), F.col("_u")).alias("_m")).select(F.col("_u").alias("_k"), "_m")
-        out = both.filter("_v > _u").join(near, F.col("_u") == F.col("_k")).select(F.col("_v").alias("_u"), F.col("_m").alias("_v"))
+        near = both.groupBy("_u").agg(F.least(F.min("_v"), F.col("_u")).alias("_m"), F.count(F.lit(1)).alias("_n"))
+        out = _with_least(both.filter("_v > _u"), near).select(F.col("_v").alias("_u"), F.col("_m").alias("_v"))
     else:
         down = edges.select(F.greatest("_u", "_v").alias("_u"), F.least("_u", "_v").alias("_v"))
-        near = down.groupBy("_u").agg(F.min("_v").alias("_m")).select(F.col("_u").alias("_k"), "_m")
-        linked = down.join(near, F.col("_u") == F.col("_k"))
-        out = linked.select(F.col("_v").alias("_u"), F.col("_m").alias("_v")).unionByName(near.select(F.col("_k").alias("_u"), F.col("_m").alias("_v")))
+        near = down.groupBy("_u").agg(F.min("_v").alias("_m"), F.count(F.lit(1)).alias("_n"))
+        linked = _with_least(down, near).select(F.col("_v").alias("_u"), F.col("_m").alias("_v"))
+        out = linked.unionByName(near.select("_u", F.col("_m").alias("_v")))
     return out.filter("_u <> _v").distinct()
 
 

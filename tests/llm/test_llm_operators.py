@@ -23,6 +23,7 @@ import brute  # noqa: E402
 
 from broadsheet.llm import byte_bpe, embedding_dedup, line_dedup, lm_scoring, packing, quality_rules, sharding, simhash, toxicity, warc  # noqa: E402
 from broadsheet.llm.common import id_remainder, tokenizer_path, tokenizer_pattern  # noqa: E402
+from broadsheet.llm import components as components_module  # noqa: E402
 from broadsheet.llm.components import components  # noqa: E402
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, shard int, ids array<int>, _keys string"
@@ -546,6 +547,23 @@ def test_simhash_links(spark):
     assert {i: got.get(i, i) for i in range(len(prints))} == dict(enumerate(root))
 
 
+def test_edges_of_a_hub_stay_spread(spark):
+    """A third of all edges at one vertex: the lookup of its minimum leaves them on all partitions."""
+    edges = spark.range(1, 100_001).select(F.lit(0).cast("long").alias("_u"), F.col("id").alias("_v"))
+    edges = edges.unionByName(spark.range(200_000, 400_000).select(F.col("id").alias("_u"), (F.col("id") + 1_000_000).alias("_v")))
+    least = edges.groupBy("_u").agg(F.min("_v").alias("_m"), F.count(F.lit(1)).alias("_n"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = components_module._with_least(edges, least)
+        rows = found.groupBy(F.spark_partition_id().alias("p")).agg(F.count_if(F.col("_u") == 0).alias("hub"), F.count(F.lit(1)).alias("n")).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sum(r["n"] for r in rows) == 300_000 and sum(r["hub"] for r in rows) == 100_000
+    assert max(r["n"] for r in rows) < 2 * 300_000 / len(rows) and max(r["hub"] for r in rows) < 2 * 100_000 / 8
+    linked = components(edges, "_u", "_v")
+    assert linked.filter("component = 0").count() == 100_001 and linked.count() == 500_001
+
+
 def test_components(spark):
     rnd = random.Random(6)
     edges = [(i, i + 1) for i in range(1, 200)] + [(1000, i) for i in range(1001, 1400)] + [(rnd.randint(2000, 2300), rnd.randint(2000, 2300)) for _ in range(200)]
