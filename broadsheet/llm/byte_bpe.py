@@ -6,9 +6,8 @@ in the words, the lowest rank is applied at all its positions, left to right, an
 merged position are looked at again. If a merge makes a pair of lower rank, that one goes first, as a
 word-by-word encoder would do. A word that is a token itself is that token.
 
-Texts are put together from remembered runs of white space and non-space; no pattern match crosses from
-non-space to ASCII space, so runs can be encoded apart. Texts with other Unicode white space are matched whole.
-What is remembered is bounded per task.
+Texts are put together from remembered words. Those in use stay remembered, others are replayed again: an
+exchange of all words between tasks would write more than the disk that the check allows. What is remembered is bounded per task.
 
 Defined results: a null or empty text has no ids; ids decode to the exact bytes of the text; null ids, repeated rows and texts of any
 length are encoded like any other; extra columns are ignored; an id outside the ranks raises an error in decoding.
@@ -28,15 +27,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.llm.common import in_small_batches
+from broadsheet.llm.common import Remembered, in_small_batches
 
-#: Runs and words remembered per task, then forgotten; and the longest (characters) remembered.
-CACHE, CACHE_WORDS, CACHE_RUN = 250_000, 600_000, 64
+#: Words remembered per task (and as many set aside), and the longest (characters) remembered.
+CACHE, CACHE_WORD = 400_000, 64
 #: Letters and numbers under U+0250, as character classes of the standard library's matcher.
 _NUMBER = "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
 _LETTER = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
-_RUN = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
-_OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200b\u2028\u2029\u202f\u205f\u3000\ufeff]")
+#: Characters that the standard library's matcher may class differently: other white space, and from U+0250 on.
+_SPECIAL = re.compile("[\x1c-\x1f\x85\xa0]|[^\x00-\u024f]")
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -150,41 +149,30 @@ class TextEncoder:
         import regex
 
         self.find = regex.compile(pattern).findall
-        # In runs of characters under U+0250 the standard library's matcher finds the same words, faster.
+        # In texts of characters under U+0250 the standard library's matcher finds the same words, faster.
         plain = pattern.replace(r"[^\s\p{L}\p{N}]", f"[^\\s{_LETTER}{_NUMBER}]").replace(r"\p{L}", f"[{_LETTER}]").replace(r"\p{N}", f"[{_NUMBER}]")
         self.find_plain = self.find if r"\p" in plain else re.compile(plain).findall
         self.replay = Replay(ranks)
-        self.known: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.words = Remembered(CACHE)
 
-    def _runs(self, text: str | None) -> list[str]:
+    def _words(self, text: str | None) -> list[str]:
         if not text:
             return []
-        return [text] if _OTHER_SPACE.search(text) else _RUN.findall(text)
+        return self.find(text) if _SPECIAL.search(text) else self.find_plain(text)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        known, words, runs = self.known, self.words, [self._runs(t) for t in texts]
-        missing: set[str] = set()
-        for part in runs:
-            missing.update(part)
-        if len(known) + len(missing) > CACHE:
-            known.clear()
-        if len(words) > CACHE_WORDS:
-            words.clear()
-        missing -= known.keys()
-        find, plain = self.find, self.find_plain
-        split = {run: plain(run) if max(run) < "\u0250" and not _OTHER_SPACE.search(run) else find(run) for run in missing}
-        unmet = {w for part in split.values() for w in part if w not in words}
-        fresh_words = {w: np.array(ids, dtype="<u4").tobytes() for w, ids in self.replay.encode(unmet).items()}
-        fresh = {run: b"".join([words[w] if w in words else fresh_words[w] for w in part]) for run, part in split.items()}
-        words.update((w, v) for w, v in fresh_words.items() if len(w) <= CACHE_RUN)
-        known.update((run, v) for run, v in fresh.items() if len(run) <= CACHE_RUN)
+        words, split = self.words, [self._words(t) for t in texts]
+        met: set[str] = set()
+        for part in split:
+            met.update(part)
+        fresh = {w: np.array(ids, dtype="<u4").tobytes() for w, ids in self.replay.encode(words.unknown(met)).items()}
+        words.update((w, v) for w, v in fresh.items() if len(w) <= CACHE_WORD)
         out = []
-        for part in runs:
+        for part in split:
             try:
-                out.append(b"".join(map(known.__getitem__, part)))
+                out.append(b"".join(map(words.__getitem__, part)))
             except KeyError:
-                out.append(b"".join([known[run] if run in known else fresh[run] for run in part]))
+                out.append(b"".join([words[w] if w in words else fresh[w] for w in part]))
         return out
 
 

@@ -53,3 +53,23 @@ def in_small_batches(docs: DataFrame) -> DataFrame:
         if now <= 0 or now > most:
             conf.set(name, str(most))
     return docs
+
+
+class Remembered(dict):
+    """A bounded memory of values by key that keeps what is in use.
+
+    When it is full its entries are set aside; those that are asked for again come back, the others go the next time."""
+
+    def __init__(self, most: int) -> None:
+        super().__init__()
+        self.most, self.aside = most, {}
+
+    def unknown(self, keys: set) -> set:
+        """The ``keys`` without a value. The values of all others are held from now on."""
+        if len(self) > self.most:
+            self.aside = dict(self)
+            self.clear()
+        new = keys - self.keys()
+        back = new & self.aside.keys()
+        self.update((k, self.aside[k]) for k in back)
+        return new - back
