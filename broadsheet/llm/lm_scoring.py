@@ -304,7 +304,7 @@ def _totals(rows: pd.DataFrame) -> tuple[list[tuple[int, bytes, bytes]], int]:
 def score(docs: DataFrame, training: Column) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score of every row; ``training`` marks the rows to learn from."""
     groups = cut(text_groups(docs, training), "texts")
-    tokens, learnt = groups.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("learnt"), F.lit(0))).first()
+    tokens, learnt, n_groups = groups.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("learnt"), F.lit(0)), F.count(F.lit(1))).first()
     ranges = {"word": 1 + tokens // (8 * RANGE_GRAMS), "longer": 1 + 2 * tokens // RANGE_GRAMS}
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -328,7 +328,8 @@ def score(docs: DataFrame, training: Column) -> DataFrame:
         return out.assign(kind=key[0], part=key[1])
 
     sent = groups.select("grp", "texts").mapInArrow(blocks, "kind string, part long, grp long, grams binary, counts binary")
-    answers = cut(sent.groupBy("kind", "part").applyInPandas(answered, "kind string, part long, grp long, places binary, totals binary, n long"), "answers")
+    # Tasks follow the input: one per range, and one for some groups.
+    answers = cut(sent.repartition(sum(ranges.values()), "kind", "part").groupBy("kind", "part").applyInPandas(answered, "kind string, part long, grp long, places binary, totals binary, n long"), "answers")
     distinct = answers.filter("grp = -1 AND kind = 'word'").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
     def scored(texts: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
@@ -355,7 +356,8 @@ def score(docs: DataFrame, training: Column) -> DataFrame:
         })
 
     told = answers.filter("grp >= 0").select("grp", "kind", "part", "places", "totals")
-    found = groups.select("grp", "texts").groupBy("grp").cogroup(told.groupBy("grp")).applyInPandas(
+    tasks = 1 + n_groups // 4
+    found = groups.select("grp", "texts").repartition(tasks, "grp").groupBy("grp").cogroup(told.repartition(tasks, "grp").groupBy("grp")).applyInPandas(
         scored, "doc_id long, n_tokens long, n_known long, base_score double, score double"
     )
     return found.select("doc_id", "n_tokens", "n_known", F.lit(int(learnt)).cast("long").alias("train_tokens"), "base_score", "score")
