@@ -27,15 +27,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from broadsheet.llm.common import in_small_batches
+from broadsheet.llm.common import Remembered, in_small_batches
 from broadsheet.session import cut
 
 WINDOW = 2048
 END_ID = 1
 GROUP_PIECES = 100_000
-#: Words remembered per task, then forgotten; and the largest word remembered.
-CACHE, CACHE_WORD = 200_000, 64
-TAIL = ".,!?;:%&*$#|"
+#: Words remembered per task (and as many set aside), and the largest word remembered.
+CACHE, CACHE_WORD = 400_000, 64
+_TAIL = b".,!?;:%&*$#|"
 #: Texts encoded at once.
 _TEXTS = 500
 
@@ -57,15 +57,16 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.known: dict[bytes, bytes] = {}
-        self.stems: dict[str, bytes] = {"": b""}
+        self.known, self.stems = Remembered(CACHE), Remembered(CACHE)
 
-    def _stems(self, stems: set[str]) -> dict[str, bytes]:
+    def _stems(self, stems: set[bytes]) -> dict[bytes, bytes]:
         made = {}
-        plain = [s for s in stems if s.isalpha() and max(s) < "\u0250" and "\u0130" not in s]  # U+0130 lower-cases to two
+        texts = {s: s.decode() for s in stems}
+        # U+0130 lower-cases to two characters; ``bytes.isalpha`` holds for ASCII letters only.
+        plain = [s for s, t in texts.items() if s.isalpha() or (t.isalpha() and max(t) < "\u0250" and "\u0130" not in t)]
         for at in range(0, len(plain), 2_000):
             part = plain[at : at + 2_000]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, dtype="<u4")
+            ids = np.array(self.tokenizer.encode(" ".join([texts[s] for s in part]), add_special_tokens=False).ids, dtype="<u4")
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) == len(part):
                 raw, before = ids.tobytes(), 0
@@ -75,7 +76,7 @@ class WordEncoder:
         rest = [s for s in stems if s not in made]
         for at in range(0, len(rest), 10_000):
             part = rest[at : at + 10_000]
-            for stem, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
+            for stem, e in zip(part, self.tokenizer.encode_batch([texts[s] for s in part], add_special_tokens=False)):
                 made[stem] = np.array(e.ids, dtype="<u4").tobytes()
         return made
 
@@ -84,22 +85,18 @@ class WordEncoder:
         missing: set[bytes] = set()
         for words in split:
             missing.update(words)
-        if len(known) + len(missing) > CACHE:
-            known.clear()
-            self.stems = {"": b""}
-        missing -= known.keys()
         parts = {}
-        for word in missing:
-            text = word.decode()
-            stem, tail = text, ""
-            if "<|" not in text:  # the written form of a special token is kept as it is
-                stem = word.lower().decode()
-                short = stem.rstrip(TAIL)
-                if short and short[-1].isalnum() and short[-1] < "\u0250" and short[-1] != "\u0130":
+        for word in known.unknown(missing):
+            stem, tail = word, b""
+            if b"<|" not in word:  # the written form of a special token is kept as it is
+                stem = word.lower()
+                short = stem.rstrip(_TAIL)
+                if len(short) < len(stem) and _ends_plainly(short):
                     stem, tail = short, stem[len(short) :]
             parts[word] = (stem, tail)
         stems = self.stems
-        fresh = self._stems({s for pair in parts.values() for s in pair if s not in stems})
+        fresh = self._stems(stems.unknown({s for pair in parts.values() for s in pair if s}))
+        fresh[b""] = b""
         now: dict[bytes, bytes] = {}
         for word, (stem, tail) in parts.items():
             value = (stems[stem] if stem in stems else fresh[stem]) + (stems[tail] if tail in stems else fresh[tail])
@@ -110,6 +107,14 @@ class WordEncoder:
         return [b"".join(map(known.__getitem__, words)) for words in split]
 
 
+def _ends_plainly(stem: bytes) -> bool:
+    """Whether a stem ends in a letter or digit, behind which the tokenizer splits punctuation off."""
+    if not stem or stem[-1] < 128:
+        return stem[-1:].isalnum()
+    last = stem.decode()[-1]
+    return last.isalnum() and last < "\u0250" and last != "\u0130"
+
+
 def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens: full windows and one remainder per document."""
 
