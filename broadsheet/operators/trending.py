@@ -58,8 +58,8 @@ def log_score(points: Column, published_at: Column) -> Column:
 
 
 def score_at(stored: Column, time: Column) -> Column:
-    """Points left at ``time``."""
-    return F.round(F.pow(F.lit(2.0), stored - (hours(time) - LANDMARK_HOURS) / HALF_LIFE_HOURS), 4).cast("decimal(12,4)")
+    """Points left at ``time``; null where the value is too large for its column, which only articles of a later time (ten days and more) reach."""
+    return F.round(F.pow(F.lit(2.0), stored - (hours(time) - LANDMARK_HOURS) / HALF_LIFE_HOURS), 4).try_cast("decimal(12,4)")
 
 
 def candidates(scored: DataFrame) -> DataFrame:
