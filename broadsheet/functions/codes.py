@@ -97,6 +97,11 @@ def normalized_entries(scores: Column) -> Column:
 
 def scores_error(scores: Column) -> Column:
     """Reason a relevance map is refused, null when it is fine (null maps are empty maps)."""
+    return entries_error(normalized_entries(scores))
+
+
+def entries_error(entries: Column) -> Column:
+    """As :func:`scores_error`, of a map's normalised entries."""
 
     def rules(entries: Column) -> Column:
         return (
@@ -105,11 +110,16 @@ def scores_error(scores: Column) -> Column:
             .when(F.exists(entries, lambda e: ~score_in_range(e["score"])), "score_out_of_range")
         )
 
-    return F.when(scores.isNotNull(), let(normalized_entries(scores), rules))
+    return F.when(entries.isNotNull(), let(entries, rules))
 
 
 def normalized_scores(scores: Column) -> Column:
     """Upper-case codes to stored scores; of two spellings of a code the later one stays."""
+    return entries_scores(normalized_entries(scores))
+
+
+def entries_scores(entries: Column) -> Column:
+    """As :func:`normalized_scores`, of a map's normalised entries."""
 
     def build(entries: Column) -> Column:
         repeated = F.size(F.array_distinct(F.transform(entries, lambda e: e["code"]))) < F.size(entries)
@@ -126,7 +136,7 @@ def normalized_scores(scores: Column) -> Column:
         )
         return F.map_from_entries(narrowed)
 
-    return F.when(scores.isNotNull(), let(normalized_entries(scores), build))
+    return F.when(entries.isNotNull(), let(entries, build))
 
 
 def matches_query(query: Column, *texts: Column) -> Column:

@@ -21,6 +21,8 @@ ZONE_HOURS = {"EST": -5, "EDT": -4, "CST": -6, "CDT": -5, "MST": -7, "MDT": -6,
 _ISO = (
     r"^\d{4}-\d{2}-\d{2}(?:[Tt ]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?(?:[Zz]|[+-]\d{2}:\d{2})?|[Tt])?$"
 )
+# What none of the rewrites below would change.
+_PLAIN_ISO = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(?:\.\d{1,6})?(?:Z|[+-]\d{2}:\d{2})?$"
 _MAIL = (
     r"^\s*(?:[A-Za-z]{3,9}\.?,?\s+)?(\d{1,2})[\s-]+([A-Za-z]{3})[A-Za-z]*\.?[\s-]+(\d{4}|\d{2})\s+"
     r"(\d{1,2}:\d{2}:\d{2})\s*([A-Za-z]{1,5}|[+-]\d{4})?\s*(?:\(.*\))?\s*$"
@@ -29,7 +31,8 @@ _MAIL = (
 
 def iso_time(c: Column) -> Column:
     """ISO-8601 text to UTC; text without a zone counts as UTC; anything else gives null."""
-    text = strip(c)
+    given = strip(c)
+    text = given
     for pattern, replacement in (
         (r"^(\d{4})(\d{2})(\d{2})(?=\D|$|\d{6})", "$1-$2-$3T"),       # compact date
         (r"T[Tt]?(\d{2})(\d{2})(\d{2})(?!\d)", "T$1:$2:$3"),          # compact clock
@@ -39,7 +42,8 @@ def iso_time(c: Column) -> Column:
         (r"(:[\d.]+[+-]\d{2})$", "$1:00"),
     ):
         text = F.regexp_replace(text, pattern, replacement)
-    return let(text, lambda t: F.when(t.rlike(_ISO), t.try_cast("timestamp")))
+    rewritten = let(text, lambda t: F.when(t.rlike(_ISO), t.try_cast("timestamp")))
+    return F.when(given.rlike(_PLAIN_ISO), given.try_cast("timestamp")).otherwise(rewritten)
 
 
 def api_time(c: Column) -> Column:

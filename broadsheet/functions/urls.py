@@ -55,6 +55,20 @@ def _idna_in(url_lists: pd.Series) -> pd.Series:
     return url_lists.map(lambda items: [rewrite(u) for u in items], na_action="ignore")
 
 
+@F.pandas_udf(ArrayType(StringType()))
+def _idna_each(host_lists: pd.Series) -> pd.Series:
+    return host_lists.map(lambda hosts: [h and _ascii_host(h) for h in hosts], na_action="ignore")
+
+
+def foreign_hosts(url_list: Column) -> Column:
+    """Per URL of an array its host in ASCII form if it is not plain, else null; null for arrays with none.
+
+    One vectorised call for all URLs of a row, for :func:`normalize_url`: rows without such hosts cross as nulls."""
+    host = lambda u: F.regexp_extract(_cleaned(u), _URL, 3)
+    hosts = F.transform(url_list, lambda u: let(host(u), lambda h: F.when(h.rlike(_FOREIGN_HOST), h)))
+    return _idna_each(let(hosts, lambda found: F.when(F.exists(found, lambda h: h.isNotNull()), found)))
+
+
 def ascii_hosts(url_list: Column) -> Column:
     """The URLs of an array with international hosts in ASCII form; other arrays stay native."""
     foreign = F.exists(url_list, lambda u: F.coalesce(u.rlike(r"^[^/]*://[^/?#]*[^\x00-\x7f]"), F.lit(False)))
@@ -106,19 +120,27 @@ def _rebuild(part: Column) -> Column:
     return F.when(part["host"].isNotNull() & ~bad_port & ~bad_number, built)
 
 
-def normalize_url(c: Column, idna: bool = True) -> Column:
+def _cleaned(c: Column) -> Column:
+    return F.regexp_replace(strip(c), r"[\t\n\r]", "")
+
+
+def normalize_url(c: Column, idna: bool = True, foreign_host: Column | None = None) -> Column:
     """A valid http(s) URL in normal form, or null.
 
     Scheme and host in lower case, default port dropped, empty path written as ``/``, dot
     segments resolved, other characters percent-encoded, fragment kept, length limited.
     A URL already in normal form passes after one pattern test. Everything is native except
     internationalised host names; with ``idna`` those hosts, and only those, pass through a
-    vectorised function.
+    vectorised function, unless ``foreign_host`` brings them (see :func:`foreign_hosts`).
     """
-    url = F.regexp_replace(strip(c), r"[\t\n\r]", "")
+    url = _cleaned(c)
     host = F.regexp_extract(url, _URL, 3)
     plain_host = F.when(~host.rlike(_FOREIGN_HOST) & ~host.rlike(_BAD_HOST), F.lower(host))
-    full_host = F.coalesce(plain_host, _idna(F.when(host.rlike(_FOREIGN_HOST), host))) if idna else plain_host
+    full_host = plain_host
+    if foreign_host is not None:
+        full_host = F.coalesce(plain_host, foreign_host)
+    elif idna:
+        full_host = F.coalesce(plain_host, _idna(F.when(host.rlike(_FOREIGN_HOST), host)))
     parts = F.struct(
         F.lower(F.regexp_extract(url, _URL, 1)).alias("scheme"),
         F.regexp_extract(url, _URL, 2).alias("user"),

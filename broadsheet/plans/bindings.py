@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from broadsheet import fixed
 from broadsheet.functions import codes, text
-from broadsheet.session import configure
+from broadsheet.session import configure, cut
 
 # Country of each nation key, in key order.
 NATION_COUNTRIES = (
@@ -64,6 +64,11 @@ class Tables:
         """
         return self.base(name).hint("rebalance")
 
+    def dealt(self, name: str, rows: int = 50_000) -> DataFrame:
+        """A base table in partitions of about ``rows`` rows (counted in the file footers): small rows that are costly to work on."""
+        table = self.base(name)
+        return table.repartition(max(1, -(-table.count() // rows)))
+
     @cached_property
     def countries(self) -> DataFrame:
         return codes.country_catalog(self.spark)
@@ -422,6 +427,10 @@ class Tables:
 
     @cached_property
     def message_bodies(self) -> DataFrame:
+        return self._bodies(self.spread("events"))
+
+    @staticmethod
+    def _bodies(events: DataFrame) -> DataFrame:
         digest = F.md5(F.expr("cast(event_id as string)"))
         uuid = F.regexp_replace(digest, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
         country = pick(COUNTRY_CODES, "user_id % 25")
@@ -450,7 +459,7 @@ class Tables:
             F.expr("if(event_id % 53 = 4, 1, null)").alias("surprise"),
         )
         body = F.to_json(message)
-        return self.spread("events").select(
+        return events.select(
             "event_id", "user_id", "ts", "value",
             F.when(F.expr("event_id % 59 = 7"), F.concat(F.lit("{"), body)).otherwise(body).alias("body"),
         )
@@ -459,7 +468,7 @@ class Tables:
     def messages(self) -> DataFrame:
         from broadsheet.sources import messages
 
-        return messages.parse_messages(self.message_bodies)
+        return messages.parse_messages(self._bodies(self.dealt("events")))
 
     @cached_property
     def message_articles(self) -> DataFrame:
@@ -472,7 +481,26 @@ class Tables:
     @cached_property
     def message_requests(self) -> DataFrame:
         """Persist requests from the valid messages, in event order."""
-        ok = self.message_articles.filter(F.col("article_error").isNull())
+        return self._requests(self.message_articles)
+
+    @cached_property
+    def read_messages(self) -> DataFrame:
+        """Messages with their flat article columns, message_error and article_error: parsed once into a written table.
+
+        For queries that look at the messages more than once; a parse costs far more than reading its result."""
+        from broadsheet.sources import messages
+
+        parsed = messages.parse_articles(self.messages, "article_payload", self.countries)
+        return cut(parsed.drop("body", "article_payload"), "messages")
+
+    @cached_property
+    def read_requests(self) -> DataFrame:
+        """As ``message_requests``, from the written table."""
+        return self._requests(self.read_messages.filter("message_error IS NULL"))
+
+    @staticmethod
+    def _requests(articles: DataFrame) -> DataFrame:
+        ok = articles.filter(F.col("article_error").isNull())
         return ok.withColumn("seq", F.col("event_id")).withColumn(
             "article_id", F.sha2(F.concat(F.lit("wire|"), F.col("event_id").cast("string")), 256)
         )

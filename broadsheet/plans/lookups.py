@@ -110,7 +110,7 @@ def e9(t: Tables) -> DataFrame:
 SELECT article_id, country_code, state_code, score AS relevance_score FROM persisted WHERE status = 'stored'""")
 def e10(t: Tables) -> DataFrame:
     """The id of the message's article reaches the row and both link tables."""
-    accepted = dedup.dedup_by_url(t.message_requests, None).filter(F.col("status") == dedup.STORED)
+    accepted = dedup.dedup_by_url(t.read_requests, None).filter(F.col("status") == dedup.STORED)
     states = conform.state_links(accepted).select("article_id", "state_code", "relevance_score")
     return conform.country_links(accepted).select("article_id", "country_code").join(states, "article_id")
 
@@ -120,10 +120,10 @@ def run_outcomes(t: Tables) -> DataFrame:
 
     A message that is no JSON has no payload to store, so its reject fails."""
     batch = (F.col("user_id") % 10).alias("batch")
-    decided = dedup.dedup_by_url(t.message_requests, None).select(batch, F.lit("article").alias("kind"), "status")
-    refused = t.message_articles.filter(F.col("article_error").isNotNull()).select(batch, F.lit("article").alias("kind"), F.lit("failed").alias("status"))
+    decided = dedup.dedup_by_url(t.read_requests, None).select(batch, F.lit("article").alias("kind"), "status")
+    refused = t.read_messages.filter("message_error IS NULL AND article_error IS NOT NULL").select(batch, F.lit("article").alias("kind"), F.lit("failed").alias("status"))
     lost = F.col("message_error") == "invalid_json"
-    bad = t.messages.filter(F.col("message_error").isNotNull()).select(
+    bad = t.read_messages.filter(F.col("message_error").isNotNull()).select(
         batch, F.lit("reject").alias("kind"), F.when(lost, "failed").otherwise("kept").alias("status")
     )
     return decided.unionByName(refused).unionByName(bad)
@@ -177,7 +177,7 @@ def f4(t: Tables) -> DataFrame:
 @query("f5_provider_run_counters", "persisted", """
 SELECT source_name AS provider, count(*) AS fetched, count(*) FILTER (WHERE status = 'stored') AS stored, count(*) FILTER (WHERE status = 'duplicate') AS duplicates FROM persisted GROUP BY ALL""")
 def f5(t: Tables) -> DataFrame:
-    return dedup.dedup_by_url(t.message_requests, None).groupBy(F.col("source_name").alias("provider")).agg(
+    return dedup.dedup_by_url(t.read_requests, None).groupBy(F.col("source_name").alias("provider")).agg(
         F.count("*").alias("fetched"), F.count_if(F.col("status") == "stored").alias("stored"),
         F.count_if(F.col("status") == "duplicate").alias("duplicates"),
     )
@@ -243,8 +243,8 @@ SELECT seq, CASE WHEN seq % 2 = 0 THEN 'first' ELSE 'second' END AS batch, CASE
 FROM persisted JOIN (SELECT url, min(seq) FILTER (WHERE seq % 2 = 0) AS first_even, min(seq) FILTER (WHERE seq % 2 = 1) AS first_odd FROM persisted GROUP BY url) USING (url)""")
 def g5(t: Tables) -> DataFrame:
     """Even events arrive first, odd ones in a second batch that sees the first as stored."""
-    first = dedup.dedup_by_url(t.message_requests.filter("seq % 2 = 0"), None)
+    first = dedup.dedup_by_url(t.read_requests.filter("seq % 2 = 0"), None)
     stored = first.filter(F.col("status") == dedup.STORED).select(F.col("article_id").alias("id"), "url", "canonical_url")
-    second = dedup.dedup_by_url(t.message_requests.filter("seq % 2 = 1"), stored)
+    second = dedup.dedup_by_url(t.read_requests.filter("seq % 2 = 1"), stored)
     show = lambda df, name: df.select("seq", F.lit(name).alias("batch"), "status")
     return show(first, "first").unionByName(show(second, "second"))

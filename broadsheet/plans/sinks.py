@@ -132,7 +132,7 @@ def b9(t: Tables) -> DataFrame:
 
 
 def accepted_requests(t: Tables) -> DataFrame:
-    decided = dedup.dedup_by_url(t.message_requests, None)
+    decided = dedup.dedup_by_url(t.read_requests, None)
     return decided.filter(F.col("status") == dedup.STORED)
 
 

@@ -25,8 +25,12 @@ def _names(ddl: str) -> list[str]:
 
 def unknown_fields(json_text: Column, allowed: list[str]) -> Column:
     """Whether a JSON object has a key outside the contract."""
-    extra = F.array_except(F.json_object_keys(json_text), F.array(*[F.lit(a) for a in allowed]))
-    return F.coalesce(F.size(extra) > 0, F.lit(False))
+    return _has_other(F.json_object_keys(json_text), allowed)
+
+
+def _has_other(items: Column, allowed: list[str]) -> Column:
+    """Whether an array holds anything but ``allowed``; a null element is something else, a null array holds nothing."""
+    return F.coalesce(F.exists(items, lambda i: F.coalesce(~i.isin(*allowed), F.lit(True))), F.lit(False))
 
 
 def _is_object(json_text: Column) -> Column:
@@ -61,7 +65,7 @@ def parse_messages(df: DataFrame, body: str = "body") -> DataFrame:
     scored = parsed.select(
         "*",
         *[
-            F.from_json(m[name], "map<string,string>").alias(f"_{name}")
+            codes.normalized_entries(F.from_json(m[name], "map<string,string>")).alias(f"_{name}")
             for name in ("country_scores", "state_scores")
         ],
         text.code(m["primary_state_code"]).alias("primary_state_code"),
@@ -69,8 +73,8 @@ def parse_messages(df: DataFrame, body: str = "body") -> DataFrame:
     )
     scored = scored.select(
         "*",
-        *[codes.scores_error(F.col(f"_{n}")).alias(f"_{n}_error") for n in ("country_scores", "state_scores")],
-        *[codes.normalized_scores(F.col(f"_{n}")).alias(n) for n in ("country_scores", "state_scores")],
+        *[codes.entries_error(F.col(f"_{n}")).alias(f"_{n}_error") for n in ("country_scores", "state_scores")],
+        *[codes.entries_scores(F.col(f"_{n}")).alias(n) for n in ("country_scores", "state_scores")],
     )
     state_codes = F.map_keys("state_scores")
     no_codes = F.array().cast("array<string>")
@@ -112,8 +116,8 @@ def parse_messages(df: DataFrame, body: str = "body") -> DataFrame:
     ))
 
 
-def article_errors() -> Column:
-    """First broken rule of the article contract over the flat columns and raw texts."""
+def article_errors(iso: list[str]) -> Column:
+    """First broken rule of the article contract over the flat columns and raw texts; ``iso`` lists the country codes."""
     a = F.col("_a")
     url_rule = lambda raw, ok, name: F.when(raw.isNotNull() & ok.isNull(), f"{name}_invalid")
     one_of = lambda c, allowed: F.coalesce(c.isin(*allowed), F.lit(True))
@@ -127,7 +131,7 @@ def article_errors() -> Column:
         _length_error(a["source"]["name"], "source_name", 1, fixed.SOURCE_NAME_LENGTH),
         F.when(~F.coalesce(a["source"]["source_type"].isin(*fixed.SOURCE_TYPES), F.lit(False)), "source_type_invalid"),
         url_rule(a["source"]["homepage_url"], F.col("source_homepage_url"), "homepage_url"),
-        F.when(F.col("source_country_code").isNotNull() & ~F.array_contains(F.col("_iso"), F.col("source_country_code")), "source_country_invalid"),
+        F.when(F.col("source_country_code").isNotNull() & ~F.col("source_country_code").isin(*iso), "source_country_invalid"),
         F.when(
             a["source"]["credibility_score"].isNotNull()
             & ~F.coalesce(codes.to_decimal(a["source"]["credibility_score"]).between(0, 100), F.lit(False)),
@@ -138,10 +142,8 @@ def article_errors() -> Column:
         F.when(a["collected_at"].isNotNull() & F.col("collected_at").isNull(), "collected_at_invalid"),
         F.when(~one_of(a["primary_category"], fixed.CATEGORIES), "category_invalid"),
         F.when(~one_of(a["sentiment"], fixed.SENTIMENTS), "sentiment_invalid"),
-        F.when(
-            F.size(F.array_except(F.col("labels"), F.array(*[F.lit(v) for v in fixed.LABELS]))) > 0, "label_invalid"
-        ),
-        F.when(F.size(F.array_except(F.col("country_codes"), F.col("_iso"))) > 0, "country_code_invalid"),
+        F.when(_has_other(F.col("labels"), list(fixed.LABELS)), "label_invalid"),
+        F.when(_has_other(F.col("country_codes"), iso), "country_code_invalid"),
         F.when(~F.coalesce(F.length(a["language_code"]).between(2, 10), F.lit(True)), "language_invalid"),
         F.when(~F.coalesce(a["content_hash"].rlike(fixed.HASH_PATTERN), F.lit(True)), "content_hash_invalid"),
     )
@@ -150,15 +152,14 @@ def article_errors() -> Column:
 def parse_articles(df: DataFrame, payload: str, iso: DataFrame) -> DataFrame:
     """Article documents to the flat article columns and ``article_error``.
 
-    ``iso`` is the country catalogue; its few hundred codes reach the rule as one scalar array.
+    ``iso`` is the country catalogue; its few hundred codes are read once and stand in the rules, no row carries them.
     """
-    iso_list = iso.agg(F.collect_set("country_code").alias("codes")).scalar()
+    iso_list = sorted({row[0] for row in iso.select("country_code").collect()} - {None})
     a = F.col("_a")
     none = F.array().cast("array<string>")
     sub_extra = lambda path, allowed: unknown_fields(F.get_json_object(payload, path), allowed)
     shaped = (
         df.withColumn("_a", F.from_json(payload, ARTICLE_JSON))
-        .withColumn("_iso", iso_list)
         .withColumn(
             "_a_extra",
             unknown_fields(F.col(payload), _names(ARTICLE_JSON))
@@ -167,18 +168,19 @@ def parse_articles(df: DataFrame, payload: str, iso: DataFrame) -> DataFrame:
                                           "generated_image_path", "is_generated"]),
         )
     )
+    links = [a["url"], a["canonical_url"], a["image_url"], a["source"]["homepage_url"]]
+    shaped = shaped.withColumn("_hosts", urls.foreign_hosts(F.array(*links)))
+    normal = lambda i: urls.normalize_url(links[i], foreign_host=F.get("_hosts", F.lit(i)))
     stripped = lambda name: text.strip(a[name]).alias(name)
     card = a["social_card"]
     flat = shaped.select(
         "*",
         stripped("title"), stripped("description"), stripped("content"), stripped("summary"), stripped("author"),
         stripped("share_caption"), stripped("content_hash"),
-        urls.normalize_url(a["url"]).alias("url"),
-        urls.normalize_url(a["canonical_url"]).alias("canonical_url"),
-        urls.normalize_url(a["image_url"]).alias("image_url"),
+        normal(0).alias("url"), normal(1).alias("canonical_url"), normal(2).alias("image_url"),
         text.strip(a["source"]["name"]).alias("source_name"),
         a["source"]["source_type"].alias("source_type"),
-        urls.normalize_url(a["source"]["homepage_url"]).alias("source_homepage_url"),
+        normal(3).alias("source_homepage_url"),
         text.code(a["source"]["country_code"]).alias("source_country_code"),
         codes.to_decimal(a["source"]["credibility_score"]).try_cast("decimal(5,2)").alias("source_credibility"),
         times.iso_time(a["published_at"]).alias("published_at"),
@@ -204,7 +206,7 @@ def parse_articles(df: DataFrame, payload: str, iso: DataFrame) -> DataFrame:
     identified = flat.withColumn(
         "article_id", F.coalesce(a["article_id"], article_key(F.col("source_name"), F.col("url")))
     )
-    return fence(identified.withColumn("article_error", article_errors()).drop("_a", "_iso", "_a_extra"))
+    return fence(identified.withColumn("article_error", article_errors(iso_list)).drop("_a", "_a_extra", "_hosts"))
 
 
 def article_key(provider: Column, url: Column) -> Column:
