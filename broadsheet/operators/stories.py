@@ -4,10 +4,11 @@ Articles with the same shingles are one class. MinHash signatures, cut into ``BA
 a pair at similarity 0.8 shares a band with probability 0.9996, and every candidate is verified by the exact Jaccard similarity of the shingle sets.
 
 A story is led by one class, for ever: later batches are compared with the stored leaders first, so a story id never changes. What no leader
-takes chooses new leaders in rounds: a class with the smallest id of all its bands' buckets leads, others that are
-similar to one join the most similar. A bucket is only reduced to its smallest id (combined before the shuffle) and joined
-with it, so a bucket with very many classes gives one candidate for each of them, never all pairs, and adaptive
-execution may split it. Ids are hashes, so rounds grow with the logarithm of the classes.
+takes chooses new leaders in rounds. A class leads when it is similar to no smaller id that is still open and shares a bucket with it; others that
+are similar to one of the round's leaders join the most similar. The first round looks at the smallest id of each bucket only (combined before the
+shuffle), so a bucket with very many copies gives one candidate for each of them, never all pairs, and adaptive execution may split it. Later
+rounds look at ``GROWTH`` times as many ids of a bucket each, so many classes that share a bucket but are not similar lead at once. Ids are
+hashes, so rounds grow with the logarithm of the classes.
 
 Defined results: words are runs of letters and digits, lower-cased; a text of fewer words is one shingle; texts without words, and null ones,
 are stories of their own; an article added again keeps its story if its text is the same.
@@ -21,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
@@ -29,6 +30,8 @@ from broadsheet.session import cut
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 5
+#: A round looks at that many times the ids of a bucket that the round before it looked at.
+GROWTH = 4
 #: Shingle values mixed at once.
 _SLICE = 1 << 14
 _WORD = re.compile(r"[^\W_]+")
@@ -61,18 +64,40 @@ def shingles_of(text: str | None, known: dict[str, int]) -> np.ndarray:
     return np.unique(run)
 
 
-def bands_of(shingles: np.ndarray) -> np.ndarray:
-    """One hash per band of the signature."""
+def bands_of(sets: list[np.ndarray]) -> list[np.ndarray]:
+    """One hash per band of the signature of every set; none for an empty set."""
     salts = _mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
-    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for at in range(0, len(shingles), _SLICE):
-        part = shingles[at : at + _SLICE]
-        for i, salt in enumerate(salts):
-            least[i] = min(least[i], _mixed(part ^ salt).min())
-    band = np.arange(BANDS, dtype=np.uint64)
-    for row in least.reshape(BANDS, ROWS).T:
-        band = _mixed(band * np.uint64(0x9E3779B97F4A7C15) + row)
-    return band
+    half, factor = np.uint64(32), np.uint64(0xD6E8FEB86659FD93)
+    least = np.full((len(sets), BANDS * ROWS), np.iinfo(np.uint64).max, dtype=np.uint64)
+
+    def mix(owners: list[int], parts: list[np.ndarray]) -> None:
+        """Sets side by side: few calls, and all of them on what stays in the processor's memory."""
+        flat, at = np.concatenate(parts), np.cumsum([0, *(len(p) for p in parts[:-1])])
+        flat ^= flat >> half
+        x, y = np.empty_like(flat), np.empty_like(flat)
+        for i, salt in enumerate(salts):  # _mixed(flat ^ salt)
+            np.bitwise_xor(flat, salt ^ (salt >> half), out=x)
+            np.multiply(x, factor, out=x)
+            np.right_shift(x, half, out=y)
+            np.bitwise_xor(x, y, out=x)
+            least[owners, i] = np.minimum(least[owners, i], np.minimum.reduceat(x, at))
+
+    owners, parts, size = [], [], 0
+    for owner, shingles in enumerate(sets):
+        for start in range(0, len(shingles), _SLICE):
+            part = shingles[start : start + _SLICE]
+            if parts and (size + len(part) > _SLICE or owners[-1] == owner):
+                mix(owners, parts)
+                owners, parts, size = [], [], 0
+            owners.append(owner)
+            parts.append(part)
+            size += len(part)
+    if parts:
+        mix(owners, parts)
+    bands = np.tile(np.arange(BANDS, dtype=np.uint64), (len(sets), 1))
+    for i in range(ROWS):
+        bands = _mixed(bands * np.uint64(0x9E3779B97F4A7C15) + least[:, i::ROWS])
+    return [b if len(s) else np.zeros(0, np.uint64) for b, s in zip(bands, sets)]
 
 
 def shingle_sets(text: Column) -> Column:
@@ -88,7 +113,7 @@ def shingle_sets(text: Column) -> Column:
             ids = [int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True) if len(s) else None for s in sets]
             yield pd.DataFrame({
                 "set_id": pd.Series(ids, dtype="Int64"), "shingles": [s.view(np.int64) for s in sets],
-                "bands": [bands_of(s).view(np.int64) if len(s) else np.zeros(0, np.int64) for s in sets],
+                "bands": [b.view(np.int64) for b in bands_of(sets)],
             })
 
     return made(F.lower(text))
@@ -131,8 +156,10 @@ class StoryStore:
         joined = [cut(self._joined(classes, earlier), "joined")]
         left = cut(classes.join(joined[0].select("set_id"), "set_id", "left_anti"), "open")
         new: list[DataFrame] = []
-        while left.limit(1).count():
-            leads = cut(self._new_leaders(left), "leaders")
+        depth = 1
+        while not left.isEmpty():
+            leads = cut(self._new_leaders(left, depth), "leaders")
+            depth *= GROWTH
             new.append(leads)
             rest = left.join(leads.select("set_id"), "set_id", "left_anti")
             taken = cut(self._joined(rest, leads), "joined")
@@ -165,9 +192,21 @@ class StoryStore:
         )
 
     @staticmethod
-    def _new_leaders(classes: DataFrame) -> DataFrame:
-        """Classes with the smallest id in each of their buckets; a story is named after its leader's first article."""
+    def _new_leaders(classes: DataFrame, depth: int = 1) -> DataFrame:
+        """Classes among the ``depth`` smallest ids in each of their buckets that are similar to no smaller one there; a story is named after
+        its leader's first article. At depth 1 these are the smallest ids of all their buckets, and nothing is compared."""
         inside = classes.select("set_id", F.explode("bands").alias("band"))
-        least = inside.groupBy("band").agg(F.min("set_id").alias("_least")).withColumnRenamed("band", "_band")
-        behind = inside.join(least, (F.col("band") == F.col("_band")) & (F.col("_least") < F.col("set_id"))).select("set_id").distinct()
+        if depth == 1:
+            least = inside.groupBy("band").agg(F.min("set_id").alias("_least")).withColumnRenamed("band", "_band")
+            behind = inside.join(least, (F.col("band") == F.col("_band")) & (F.col("_least") < F.col("set_id"))).select("set_id").distinct()
+        else:
+            place = F.row_number().over(Window.partitionBy("band").orderBy("set_id"))
+            front = cut(inside.withColumn("_place", place).filter(F.col("_place") <= depth).drop("_place"), "front")
+            whole = front.groupBy("set_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") == BANDS).select("set_id")
+            first = front.select(F.col("set_id").alias("_smaller"), F.col("band").alias("_band"))
+            pairs = front.join(first, (F.col("band") == F.col("_band")) & (F.col("_smaller") < F.col("set_id"))).select("set_id", "_smaller").distinct()
+            ours, theirs = classes.select("set_id", "shingles"), classes.select(F.col("set_id").alias("_smaller"), F.col("shingles").alias("_theirs"))
+            alike = pairs.join(ours, "set_id").join(theirs, "_smaller").filter(similarity("shingles", "_theirs") >= SIMILARITY)
+            behind = alike.select("set_id").distinct()
+            classes = classes.join(whole, "set_id", "left_semi")
         return classes.join(behind, "set_id", "left_anti").select("set_id", F.col("first").alias("story_id"), "shingles", "bands")
