@@ -17,9 +17,11 @@ other row; extra columns are ignored; an empty table gives no pieces.
 
 from __future__ import annotations
 
+import gc
 import os
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -37,7 +39,19 @@ GROUP_PIECES = 100_000
 CACHE, CACHE_WORD = 400_000, 64
 _TAIL = b".,!?;:%&*$#|"
 #: Texts encoded at once.
-_TEXTS = 500
+_TEXTS = 1_000
+
+
+@contextmanager
+def _without_gc() -> Iterator[None]:
+    """No search for reference cycles: for code that makes none, beside large memories that every search would walk through."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
 
 
 class WordEncoder:
@@ -66,7 +80,8 @@ class WordEncoder:
         plain = [s for s, t in texts.items() if s.isalpha() or (t.isalpha() and max(t) < "\u0250" and "\u0130" not in t)]
         for at in range(0, len(plain), 2_000):
             part = plain[at : at + 2_000]
-            ids = np.array(self.tokenizer.encode(" ".join([texts[s] for s in part]), add_special_tokens=False).ids, dtype="<u4")
+            # The fast form gives the same ids without offsets, which nothing here looks at.
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join([texts[s] for s in part])], add_special_tokens=False)[0].ids, dtype="<u4")
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) == len(part):
                 raw, before = ids.tobytes(), 0
@@ -76,11 +91,15 @@ class WordEncoder:
         rest = [s for s in stems if s not in made]
         for at in range(0, len(rest), 10_000):
             part = rest[at : at + 10_000]
-            for stem, e in zip(part, self.tokenizer.encode_batch([texts[s] for s in part], add_special_tokens=False)):
+            for stem, e in zip(part, self.tokenizer.encode_batch_fast([texts[s] for s in part], add_special_tokens=False)):
                 made[stem] = np.array(e.ids, dtype="<u4").tobytes()
         return made
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
+        with _without_gc():
+            return self._encode(texts)
+
+    def _encode(self, texts: list[str | None]) -> list[bytes]:
         split, known = [(t or "").encode().split() for t in texts], self.known
         missing: set[bytes] = set()
         for words in split:
@@ -95,13 +114,21 @@ class WordEncoder:
                     stem, tail = short, stem[len(short) :]
             parts[word] = (stem, tail)
         stems = self.stems
-        fresh = self._stems(stems.unknown({s for pair in parts.values() for s in pair if s}))
-        fresh[b""] = b""
+        wanted = {pair[0] for pair in parts.values()}
+        wanted.update([pair[1] for pair in parts.values()])
+        wanted.discard(b"")
+        fresh = self._stems(stems.unknown(wanted))
+        stems.update(fresh)
+        stems[b""] = b""
         now: dict[bytes, bytes] = {}
         for word, (stem, tail) in parts.items():
-            value = (stems[stem] if stem in stems else fresh[stem]) + (stems[tail] if tail in stems else fresh[tail])
-            (known if len(word) <= CACHE_WORD else now)[word] = value
-        stems.update((s, v) for s, v in fresh.items() if len(s) <= CACHE_WORD)
+            value = stems[stem] + stems[tail] if tail else stems[stem]
+            if len(word) <= CACHE_WORD:
+                known[word] = value
+            else:
+                now[word] = value
+        for long in [s for s in fresh if len(s) > CACHE_WORD]:
+            del stems[long]
         if now:
             return [b"".join([known[w] if w in known else now[w] for w in words]) for words in split]
         return [b"".join(map(known.__getitem__, words)) for words in split]
