@@ -65,7 +65,8 @@ def foreign_hosts(url_list: Column) -> Column:
 
     One vectorised call for all URLs of a row, for :func:`normalize_url`: rows without such hosts cross as nulls."""
     host = lambda u: F.regexp_extract(_cleaned(u), _URL, 3)
-    hosts = F.transform(url_list, lambda u: let(host(u), lambda h: F.when(h.rlike(_FOREIGN_HOST), h)))
+    # A URL without such characters has no such host, and is not taken apart.
+    hosts = F.transform(url_list, lambda u: F.when(u.rlike(_FOREIGN_HOST), let(host(u), lambda h: F.when(h.rlike(_FOREIGN_HOST), h))))
     return _idna_each(let(hosts, lambda found: F.when(F.exists(found, lambda h: h.isNotNull()), found)))
 
 
@@ -133,18 +134,22 @@ def normalize_url(c: Column, idna: bool = True, foreign_host: Column | None = No
     internationalised host names; with ``idna`` those hosts, and only those, pass through a
     vectorised function, unless ``foreign_host`` brings them (see :func:`foreign_hosts`).
     """
-    url = _cleaned(c)
+    cleaned, foreign = _cleaned(c), foreign_host
+    if foreign is None:
+        host = F.regexp_extract(cleaned, _URL, 3)
+        foreign = _idna(F.when(host.rlike(_FOREIGN_HOST), host)) if idna else F.lit(None).cast("string")
+    given = F.struct(cleaned.alias("url"), foreign.alias("foreign"))
+    return F.when(c.isNotNull(), let(given, lambda v: _normal_form(v["url"], v["foreign"])))
+
+
+def _normal_form(url: Column, foreign_host: Column) -> Column:
+    """As :func:`normalize_url`, of a cleaned URL; ``foreign_host`` is its host in ASCII form where that is not plain."""
     host = F.regexp_extract(url, _URL, 3)
     plain_host = F.when(~host.rlike(_FOREIGN_HOST) & ~host.rlike(_BAD_HOST), F.lower(host))
-    full_host = plain_host
-    if foreign_host is not None:
-        full_host = F.coalesce(plain_host, foreign_host)
-    elif idna:
-        full_host = F.coalesce(plain_host, _idna(F.when(host.rlike(_FOREIGN_HOST), host)))
     parts = F.struct(
         F.lower(F.regexp_extract(url, _URL, 1)).alias("scheme"),
         F.regexp_extract(url, _URL, 2).alias("user"),
-        full_host.alias("host"),
+        F.coalesce(plain_host, foreign_host).alias("host"),
         F.regexp_extract(url, _URL, 4).alias("port"),
         F.regexp_extract(url, _URL, 5).alias("path"),
         F.regexp_extract(url, _URL, 6).alias("query"),

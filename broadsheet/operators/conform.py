@@ -162,31 +162,50 @@ def persist(
     and the single-pass decision by url is used; rows failing on their own content still need
     the general path, so pass only clean rows there.
     """
+    results, accepted = decide(requests, states, stored, general, bucket, hot_rows)
+    return build(results, accepted, sources, use_topic_countries)
+
+
+def decide(
+    requests: DataFrame,
+    states: DataFrame,
+    stored: DataFrame | None = None,
+    general: bool = True,
+    bucket: str = "news-lake",
+    hot_rows: int = HOT_ROWS,
+) -> tuple[DataFrame, DataFrame]:
+    """The decisions of :func:`persist` (one narrow row per request), and the accepted requests with their source and document."""
     known = states.agg(F.collect_set("code").alias("codes")).scalar()
     checked = requests.withColumn("_known", known).withColumn("request_error", request_errors(F.col("_known"))).drop("_known")
     if general:
         narrow = checked.select(
-            "seq", "article_id", "url", "canonical_url", "content_hash", F.col("request_error").isNotNull().alias("unfit")
+            "seq", "article_id", "url", "canonical_url", "content_hash", F.col("request_error").isNotNull().alias("unfit"), "request_error"
         )
-        decisions = dedup.dedup_ordered(narrow, stored, hot_rows)
-        decided = checked.join(decisions, "seq")
+        judged = dedup.dedup_ordered(narrow, stored, hot_rows, ("article_id", "request_error"))
+        # The wide side is shuffled but not sorted: decisions are narrow, one per request.
+        taken = judged.filter(F.col("status") == dedup.STORED).drop("article_id").hint("shuffle_hash")
+        accepted = requests.join(taken, "seq")
     else:
-        decided = dedup.dedup_by_url(checked, stored, hot_rows)
-    results = decided.select(
+        judged = dedup.dedup_by_url(checked, stored, hot_rows)
+        accepted = judged.filter(F.col("status") == dedup.STORED)
+    results = judged.select(
         "seq", "status", "article_id", "duplicate_of", "duplicate_reason",
         F.when(F.col("status") == dedup.FAILED, F.coalesce("request_error", F.lit("unique_key"))).alias("failure_reason"),
     )
-    accepted = decided.filter(F.col("status") == dedup.STORED)
-    created = new_sources(accepted, sources)
     located = accepted.withColumn(
         "source_id", source_key(F.col("source_name"), F.col("source_type"))
     ).withColumn("processed_s3_uri", lake.article_uri(bucket))
+    return results, located
+
+
+def build(results: DataFrame, located: DataFrame, sources: DataFrame | None = None, use_topic_countries: bool = False) -> Conformed:
+    """Every table that accepted requests need; ``located`` as :func:`decide` gives it, or written and read back."""
     return Conformed(
         results=results,
         articles=article_rows(located),
-        sources=created,
-        countries=country_links(accepted, use_topic_countries),
-        states=state_links(accepted),
-        labels=label_links(accepted),
+        sources=new_sources(located, sources),
+        countries=country_links(located, use_topic_countries),
+        states=state_links(located),
+        labels=label_links(located),
         accepted=located,
     )

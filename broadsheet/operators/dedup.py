@@ -74,35 +74,41 @@ def _collisions(undecided: DataFrame, accepted: DataFrame | None, pending: bool,
 
     Adds columns new_<kind> (struct seq, id) and, when ``pending``, wait_<kind> (seq).
     """
-    entry = lambda key, acc, wait, n: (key.alias("key"), acc.alias("acc"), wait.alias("wait"), n.alias("n"))
+    entry = lambda key, acc, wait, last, n: (key.alias("key"), acc.alias("acc"), wait.alias("wait"), last.alias("last"), n.alias("n"))
     seq_type = undecided.schema["seq"].dataType.simpleString()
     id_type = f"struct<seq: {seq_type}, article_id: string>"
     no_acc, no_wait, none, one = F.lit(None).cast(id_type), F.lit(None).cast(seq_type), F.lit(0), F.lit(1)
-    sides = [undecided.select(F.explode(_keys(_PROBES)).alias("k")).select(*entry(F.col("k"), no_acc, no_wait, one))]
+    sides = [undecided.select("seq", F.explode(_keys(_PROBES)).alias("k")).select(*entry(F.col("k"), no_acc, no_wait, F.col("seq"), one))]
     if pending:
         sides.append(
             undecided.filter(~F.col("unfit"))
             .select("seq", F.explode(_keys(_PROVIDES)).alias("k"))
-            .select(*entry(F.col("k"), no_acc, F.col("seq"), none))
+            .select(*entry(F.col("k"), no_acc, F.col("seq"), no_wait, none))
         )
     if accepted is not None:
         sides.append(
             accepted.select("seq", "article_id", F.explode(_keys(_PROVIDES)).alias("k")).select(
-                *entry(F.col("k"), F.struct("seq", "article_id").cast(id_type), no_wait, none)
+                *entry(F.col("k"), F.struct("seq", "article_id").cast(id_type), no_wait, no_wait, none)
             )
         )
     table = (
         reduce(DataFrame.unionByName, sides)
         .groupBy("key")
-        .agg(F.min("acc").alias("acc"), F.min("wait").alias("wait"), F.sum("n").alias("n"))
-        .filter((F.col("n") > 0) & (F.col("acc").isNotNull() | F.col("wait").isNotNull()))
+        .agg(F.min("acc").alias("acc"), F.min("wait").alias("wait"), F.max("last").alias("last"), F.sum("n").alias("n"))
+        # A key says something only to rows after its first provider; keys of one row drop out here.
+        .filter(F.coalesce(F.col("acc.seq") < F.col("last"), F.lit(False)) | F.coalesce(F.col("wait") < F.col("last"), F.lit(False)))
     )
+    # Written, since the search for hot keys and the lookup both read it.
+    table = cut(table.select("key", "acc", "wait", "n"), "dedup-keys")
     # Only the row number and one key travel; what was found comes back to the row once.
     probes = undecided.select("seq", F.explode(_keys(_PROBES)).alias("k"))
-    spread = F.concat_ws("|", F.col("seq").cast("string"), "k")
-    found = skew_lookup(probes, F.col("k"), spread, table, "key", "n", hot_rows)
+    if table.filter(F.col("n") >= hot_rows).isEmpty():
+        found = probes.join(table.drop("n"), F.col("k") == F.col("key"))
+    else:
+        spread = F.concat_ws("|", F.col("seq").cast("string"), "k")
+        found = skew_lookup(probes, F.col("k"), spread, table, "key", "n", hot_rows).filter(F.col("acc").isNotNull() | F.col("wait").isNotNull())
     kind = F.substring("k", 1, 1)
-    per_row = found.filter(F.col("acc").isNotNull() | F.col("wait").isNotNull()).groupBy("seq").agg(
+    per_row = found.groupBy("seq").agg(
         *[F.min(F.when(kind == k, F.col("acc"))).alias(f"new_{k}") for k, _ in _PROBES],
         *[F.min(F.when(kind == k, F.col("wait"))).alias(f"wait_{k}") for k, _ in _PROBES],
     )
@@ -110,37 +116,46 @@ def _collisions(undecided: DataFrame, accepted: DataFrame | None, pending: bool,
 
 
 def dedup_ordered(
-    incoming: DataFrame, stored: DataFrame | None = None, hot_rows: int = HOT_ROWS
+    incoming: DataFrame, stored: DataFrame | None = None, hot_rows: int = HOT_ROWS, carry: tuple[str, ...] = ()
 ) -> DataFrame:
     """The general decision over url, content hash, canonical url and id, in ``seq`` order.
 
     Input: seq (unique; a non-negative number or a non-empty text), article_id, url, canonical_url, content_hash, and
     ``unfit`` for rows that will fail for their own content (they can be duplicates but
-    provide nothing). Returns seq, status, duplicate_of, duplicate_reason.
+    provide nothing). Returns seq, status, duplicate_of, duplicate_reason, and the columns of ``carry`` as given.
 
     Works in rounds. A row is decided as soon as no undecided earlier row can change its
     outcome, so the number of rounds follows the length of collision chains, not the number
     of rows. Each round is a written table: it cuts the lineage and survives lost executors.
-    Stored articles are consulted once, before the first round.
+    Stored articles are consulted once, before the first round; rows whose url they hold are duplicates at once.
     """
     names = ["seq", "article_id", "url", "canonical_url", "content_hash", "unfit"]
+    names += [c for c in carry if c not in names]
+    result = ["seq", "status", "duplicate_of", "duplicate_reason", *[c for c in carry if c != "seq"]]
     start = incoming.select(*names)
     seq_type = start.schema["seq"].dataType.simpleString()
     before_all = F.lit("" if seq_type == "string" else -1).cast(seq_type)
     best = [f"best_{k}" for k, _ in _PROBES]
-    if stored is None:
-        undecided = start.select(
+    decided = []
+    if stored is None or stored.isEmpty():
+        undecided = cut(start.select(
             "*", *[F.lit(None).cast(f"struct<seq: {seq_type}, article_id: string>").alias(b) for b in best]
-        )
+        ), "dedup-start")
     else:
         past = stored.select(
             before_all.alias("seq"), F.col("id").alias("article_id"), "url", "canonical_url",
             "content_hash",
         )
         first = _collisions(cut(start, "dedup-in"), past, False, hot_rows)
-        undecided = first.select(*names, *[F.col(f"new_{k}").alias(f"best_{k}") for k, _ in _PROBES])
-    undecided = cut(undecided, "dedup-start")
-    accepted, decided = None, []
+        known = cut(first.select(*names, *[F.col(f"new_{k}").alias(f"best_{k}") for k, _ in _PROBES]), "dedup-start")
+        by_past = known.filter(F.col("best_u").isNotNull()).select(
+            "*", F.lit(DUPLICATE).alias("status"), F.col("best_u.article_id").alias("duplicate_of"), F.lit("url").alias("duplicate_reason")
+        )
+        decided.append(by_past.select(*result))
+        undecided = known.filter(F.col("best_u").isNull())
+        if undecided.isEmpty():
+            return decided[0]
+    accepted = None
     while True:
         round_ = _collisions(undecided, accepted, True, hot_rows)
         for kind, _ in _PROBES:
@@ -163,7 +178,7 @@ def dedup_ordered(
             "dedup-round",
         )
         decided.append(
-            outcome.filter(F.col("status").isNotNull()).select("seq", "status", "duplicate_of", "duplicate_reason")
+            outcome.filter(F.col("status").isNotNull()).select(*result)
         )
         undecided = outcome.filter(F.col("status").isNull()).select(*names, *best)
         accepted = outcome.filter(F.col("status") == STORED).select(*names[:5])

@@ -427,7 +427,7 @@ class Tables:
 
     @cached_property
     def message_bodies(self) -> DataFrame:
-        return self._bodies(self.spread("events"))
+        return self._bodies(self.dealt("events"))
 
     @staticmethod
     def _bodies(events: DataFrame) -> DataFrame:

@@ -197,26 +197,40 @@ def persist_batch(root: str, states: DataFrame, countries: DataFrame, source: st
         failed = articles.filter(error.isNotNull()).select(
             "message_id", F.lit("failed").alias("status"), error.alias("reason"), "retry_count", "body"
         )
-        # Copies of one message inside a batch are one delivery: the first to arrive, by its own content.
+        # Copies of one message inside a batch are one delivery: the first to arrive, by its own content. Only they are gathered whole.
         valid = articles.filter(error.isNull())
-        once = valid.groupBy("message_id").agg(
-            F.min_by(F.struct(*[c for c in valid.columns if c != "message_id"]), F.struct(arrival_order(), unnamed)).alias("first")
-        ).select("message_id", "first.*")
-        requests = cut(once.withColumn("seq", arrival_order()), "stream-requests")
+        copies = cut(valid.groupBy("message_id").agg(F.count("*").alias("n")).filter("n > 1").select("message_id"), "stream-copies")
+        requests = valid.withColumn("seq", arrival_order())
+        if not copies.isEmpty():
+            first = valid.join(copies, "message_id", "left_semi").groupBy("message_id").agg(
+                F.min_by(F.struct(*[c for c in valid.columns if c != "message_id"]), F.struct(arrival_order(), unnamed)).alias("first")
+            ).select("message_id", "first.*")
+            once = valid.join(copies, "message_id", "left_anti").unionByName(first)
+            requests = cut(once.withColumn("seq", arrival_order()), "stream-requests")
         stored = stored_table(spark, root, "articles").filter(earlier).select("id", "url", "canonical_url", "content_hash")
         sources = stored_table(spark, root, "news_sources").filter(earlier).select("name", "source_type").distinct()
-        made = conform.persist(requests, states, stored=stored, sources=sources)
-        outcomes = made.results.join(requests.select("seq", "message_id", "retry_count", "body"), "seq").select(
+
+        def commit(name: str, table: DataFrame) -> str:
+            path = f"{root}/{name}/ingest_source={source}/ingest_batch={batch_id}"
+            table.write.mode("overwrite").parquet(path)
+            return path
+
+        results, accepted = conform.decide(requests, states, stored)
+        # The wide rows are joined with their decisions once; every other table reads the columns it needs from the documents written.
+        documents = accepted.drop("ingest_batch", "ingest_source")
+        written = spark.read.schema(documents.schema).parquet(commit("processed", documents))
+        made = conform.build(results, written, sources)
+        outcomes = requests.select("seq", "message_id", "retry_count", "body").join(made.results.hint("shuffle_hash"), "seq").select(
             "message_id", "status", F.coalesce("failure_reason", "duplicate_reason").alias("reason"), "retry_count", "body"
         )
         decided = cut(outcomes.unionByName(failed), "stream-outcomes")
-        tables = {
-            "processed": made.accepted.drop("ingest_batch", "ingest_source"), "news_sources": made.sources, "articles": made.articles,
-            "article_countries": made.countries, "article_states": made.states, "article_labels": made.labels,
-            "retries": retry_split(decided.filter("status = 'failed'")), "outcomes": decided,
-        }
-        for name, table in tables.items():
-            table.write.mode("overwrite").parquet(f"{root}/{name}/ingest_source={source}/ingest_batch={batch_id}")
+        commit("news_sources", made.sources)
+        commit("articles", made.articles)
+        commit("article_countries", made.countries)
+        commit("article_states", made.states)
+        commit("article_labels", made.labels)
+        commit("retries", retry_split(decided.filter("status = 'failed'")))
+        commit("outcomes", decided)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         with scratch_run(batch.sparkSession):
