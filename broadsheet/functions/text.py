@@ -41,6 +41,7 @@ _MARKUP = (
     r"|/?(?!(?:script|style|textarea|xmp|iframe|noembed|noframes|plaintext)\b)[a-z][^<>\"']*+"
     r"(?:\"[^\"]*+\"[^<>\"']*+|'[^']*+'[^<>\"']*+)*+)>"
 )
+_SLUG = r"^[a-z0-9](?:[a-z0-9._-]*[a-z0-9])?\z"
 
 
 def strip(c: Column) -> Column:
@@ -81,8 +82,11 @@ def truncate(c: Column, length: int) -> Column:
 
 def slug(c: Column) -> Column:
     """A safe partition value: a-z, 0-9, dot, underscore and hyphen; ``unknown`` when empty."""
-    hyphened = F.regexp_replace(fold(strip(c.cast("string"))), "[^a-z0-9._-]+", "-")
-    return F.coalesce(F.nullif(F.btrim(hyphened, F.lit("-._")), F.lit("")), F.lit("unknown"))
+    given = c.cast("string")
+    trimmed = F.btrim(F.regexp_replace(fold(strip(given)), "[^a-z0-9._-]+", "-"), F.lit("-._"))
+    # A value that is its own slug passes after one pattern test; others are rewritten once.
+    rewritten = let(trimmed, lambda v: F.when(v != "", v))
+    return F.coalesce(F.when(given.rlike(_SLUG), given).otherwise(rewritten), F.lit("unknown"))
 
 
 def keyword_list(words: Column) -> Column:
