@@ -17,16 +17,18 @@ import re
 from collections import deque
 from collections.abc import Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql import types as T
 
 from broadsheet.functions.expr import fence
 
 #: Words of texts and names: letters and digits of any script.
 JVM_WORD, WORD = r"[\p{L}\p{N}]+", re.compile(r"[^\W_]+")
 MAX_NAME_BYTES = 32 << 20
+#: Mentions that a task holds before it gives them away.
+MAX_MENTIONS = 10_000
 MENTIONS = "array<struct<name:string,start:long,size:long>>"
 
 
@@ -87,20 +89,39 @@ def normal_names(gazetteer: DataFrame) -> DataFrame:
     return fence(gazetteer.withColumn("name", F.array_join(words(F.col("name")), " "))).filter("name <> ''")
 
 
+def mention_batches(finder: NameFinder, batch: pa.RecordBatch, most: int = MAX_MENTIONS) -> Iterator[pa.RecordBatch]:
+    """The mentions of a batch of (key, lower-case text), given away whenever a text brings them to ``most``."""
+    rows: list[int] = []
+    found: tuple[list, list, list] = ([], [], [])
+
+    def given() -> pa.RecordBatch:
+        columns = [batch.column(0).take(pa.array(rows, pa.int64())), *[pa.array(c, t) for c, t in zip(found, (pa.string(), pa.int64(), pa.int64()))]]
+        return pa.RecordBatch.from_arrays(columns, [batch.schema.names[0], "name", "start", "size"])
+
+    for row, text in enumerate(batch.column(1)):
+        ws = WORD.findall(text.as_py() or "")
+        for a, b in finder.mentions(ws):
+            rows.append(row)
+            for column, value in zip(found, (" ".join(ws[a:b]), a, b - a)):
+                column.append(value)
+        if len(rows) >= most:
+            yield given()
+            rows, found = [], ([], [], [])
+    if rows:
+        yield given()
+
+
 def _by_automaton(texts: DataFrame, names: list[str], key: str) -> DataFrame:
-    """Every task builds the automaton once from the broadcast names."""
+    """Every task builds the automaton once from the broadcast names; its memory does not follow the number of mentions."""
     shared = texts.sparkSession.sparkContext.broadcast(names)
 
-    @pandas_udf(MENTIONS)
-    def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def mentions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = NameFinder(shared.value)
         for batch in batches:
-            yield pd.Series([
-                [{"name": " ".join(ws[a:b]), "start": a, "size": b - a} for a, b in finder.mentions(ws)] for ws in map(WORD.findall, batch)
-            ])
+            yield from mention_batches(finder, batch)
 
-    lower = F.coalesce(F.lower("_text"), F.lit(""))
-    return texts.select(key, F.explode(found(lower)).alias("m")).select(key, "m.*")
+    schema = T.StructType([texts.schema[key], *[T.StructField(n, t) for n, t in (("name", T.StringType()), ("start", T.LongType()), ("size", T.LongType()))]])
+    return texts.select(key, F.lower("_text").alias("_text")).mapInArrow(mentions, schema)
 
 
 def _by_join(texts: DataFrame, names: DataFrame, key: str, longest: int) -> DataFrame:
