@@ -153,20 +153,22 @@ def native_text(c: Column) -> Column:
     return collapse(text)
 
 
-def with_clean_text(df: DataFrame, texts: dict[str, Column]) -> DataFrame:
+def with_clean_text(df: DataFrame, texts: dict[str, Column], beside: dict[str, Column] | None = None) -> DataFrame:
     """Add cleaned text columns: hidden elements dropped, tags become breaks, entities decoded twice.
 
     Plain text and ordinary markup are handled by native expressions. Rows with anything else
     (broken tags, rare entities) are the only ones handed to the vectorised reader; all other
-    rows cross to Python as nulls. Each native result is computed once.
+    rows cross to Python as nulls. Each native result is computed once. ``beside`` holds other columns to add; vectorised
+    functions among them share the readers' Python workers instead of having their own.
     """
     raw = {name: f"_raw_{name}" for name in texts}
     native = {name: f"_native_{name}" for name in texts}
+    beside = beside or {}
     step = df.select("*", *[c.alias(raw[n]) for n, c in texts.items()])
     step = step.select("*", *[native_text(F.col(raw[n])).alias(native[n]) for n in texts])
     exact = {n: _exact_text(F.when(F.col(native[n]).isNull(), F.col(raw[n]))) for n in texts}
     cleaned = [F.nullif(F.coalesce(F.col(native[n]), exact[n]), F.lit("")).alias(n) for n in texts]
-    return fence(step.select(*df.columns, *cleaned))
+    return fence(step.select(*df.columns, *cleaned, *[c.alias(n) for n, c in beside.items()]))
 
 
 def clean_html_native(c: Column) -> Column:

@@ -189,8 +189,7 @@ def map_entries(entries: DataFrame) -> DataFrame:
     # A list is reduced to its first element with visible text; elements that native patterns
     # cannot prove blank count as visible.
     shown = lambda v: F.coalesce(v, F.lit("")).rlike(r"\S") & (F.coalesce(text.native_text(v), F.lit("?")) != "")
-    images = urls.ascii_hosts(_image_candidates())
-    valid_images = F.filter(F.transform(images, lambda u: urls.normalize_url(u, idna=False)), lambda u: u.isNotNull())
+    valid_images = F.filter(F.transform("_images", lambda u: urls.normalize_url(u, idna=False)), lambda u: u.isNotNull())
     cleaned = text.with_clean_text(
         entries,
         {
@@ -199,13 +198,14 @@ def map_entries(entries: DataFrame) -> DataFrame:
             "_content": first(F.filter(F.transform(e["content"], lambda c: c["value"]), shown)),
             "_author_name": first(F.filter(F.transform(e["authors"], lambda a: a["name"]), shown)),
         },
+        {"_images": urls.ascii_hosts(_image_candidates()), "_hosts": urls.foreign_hosts(F.array(e["link"]))},
     )
     shaped = cleaned.select(
         *entries.columns, "_title",
         F.coalesce("_summary", "_description", "_subtitle").alias("_text"),
         F.coalesce("_author", "_author_name").alias("_by"),
         F.col("_content").alias("content"),
-        urls.normalize_url(e["link"]).alias("url"),
+        urls.normalize_url(e["link"], foreign_host=first(F.col("_hosts"))).alias("url"),
         times.feed_time(e["published"], e["updated"], e["created"]).alias("published_at"),
         first(valid_images).alias("image_url"),
     )
