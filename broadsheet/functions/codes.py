@@ -139,6 +139,30 @@ def entries_scores(entries: Column) -> Column:
     return F.when(entries.isNotNull(), let(entries, build))
 
 
+def with_scores(df: DataFrame, maps: dict[str, Column]) -> DataFrame:
+    """Add per map its normalised scores under its name, and ``_<name>_error`` (see :func:`normalized_scores`, :func:`scores_error`).
+
+    A map of one entry, as most are, is judged without a loop over its entries.
+    """
+    part = lambda n, what: F.col(f"_{n}_{what}")
+    step = df.select("*", *[m.alias(f"_{n}_map") for n, m in maps.items()])
+    alone = lambda n, c: F.when(F.size(part(n, "map")) == 1, c)
+    step = step.select(
+        "*",
+        *[alone(n, F.upper(strip(F.get(F.map_keys(part(n, "map")), F.lit(0))))).alias(f"_{n}_code") for n in maps],
+        *[alone(n, to_decimal(F.get(F.map_values(part(n, "map")), F.lit(0)))).alias(f"_{n}_wide") for n in maps],
+        *[F.when(F.size(part(n, "map")) != 1, normalized_entries(part(n, "map"))).alias(f"_{n}_entries") for n in maps],
+    )
+    error = lambda n: (
+        F.when(F.size(part(n, "map")) != 1, entries_error(part(n, "entries"))).when(part(n, "map").isNull(), None)
+        .when(part(n, "code") == "", "score_code_empty").when(part(n, "wide").isNull(), "score_not_numeric")
+        .when(~score_in_range(part(n, "wide")), "score_out_of_range")
+    )
+    stored = lambda n: alone(n, F.create_map(part(n, "code"), part(n, "wide").try_cast(SCORE_TYPE))).otherwise(entries_scores(part(n, "entries")))
+    done = step.select("*", *[error(n).alias(f"_{n}_error") for n in maps], *[stored(n).alias(n) for n in maps])
+    return done.drop(*[f"_{n}_{what}" for n in maps for what in ("map", "code", "wide", "entries")])
+
+
 def matches_query(query: Column, *texts: Column) -> Column:
     """Case-folded substring test over the joined texts; a blank query matches everything."""
     wanted = fold(strip(query))

@@ -46,7 +46,9 @@ _SLUG = r"^[a-z0-9](?:[a-z0-9._-]*[a-z0-9])?\z"
 
 def strip(c: Column) -> Column:
     """Trim Unicode white space at both ends."""
-    return F.btrim(c, F.lit(WHITE_SPACE))
+    # Text that begins and ends with a visible ASCII character stays; this test costs less than looking both up among all spaces.
+    visible = (c >= "!") & (c < "\x7f") & (F.substring(c, -1, 1) >= "!") & (F.substring(c, -1, 1) <= "~")
+    return F.when(visible, c).otherwise(F.btrim(c, F.lit(WHITE_SPACE)))
 
 
 def blank_to_null(c: Column) -> Column:
@@ -67,7 +69,7 @@ def collapse(c: Column) -> Column:
 
 def fold(c: Column) -> Column:
     """Case folding for comparisons (lower case, sharp s written as ss)."""
-    return let(F.lower(c), lambda v: F.when(v.contains("ß"), F.regexp_replace(v, "ß", "ss")).otherwise(v))
+    return F.replace(F.lower(c), F.lit("ß"), F.lit("ss"))
 
 
 def code(c: Column) -> Column:
@@ -91,13 +93,9 @@ def slug(c: Column) -> Column:
 
 def keyword_list(words: Column) -> Column:
     """Trimmed, non-empty keywords; the first spelling of each word (ignoring case) stays."""
-    pairs = F.transform(F.filter(F.transform(words, strip), lambda w: w != ""), lambda w: F.struct(w.alias("w"), fold(w).alias("f")))
-
-    def first_spellings(kept: Column) -> Column:
-        folded = kept["f"]
-        return F.transform(F.filter(kept, lambda p, i: F.array_position(folded, p["f"]) == i + 1), lambda p: p["w"])
-
-    return let(pairs, first_spellings)
+    kept = F.filter(F.transform(words, strip), lambda w: w != "")
+    first = lambda kept, folded: F.transform(F.array_distinct(folded), lambda f: F.get(kept, (F.array_position(folded, f) - 1).cast("int")))
+    return let(kept, lambda kept: let(F.transform(kept, fold), lambda folded: first(kept, folded)))
 
 
 def code_list(codes: Column) -> Column:

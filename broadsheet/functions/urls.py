@@ -6,13 +6,13 @@ import unicodedata
 from urllib.parse import unquote
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
 from broadsheet.fixed import MAX_URL_LENGTH
 from broadsheet.functions.expr import let
-from broadsheet.functions.text import strip
+from broadsheet.functions.text import WHITE_SPACE, strip
 
 _URL = (
     r"(?is)^(https?)://(?:([^/?#\\]*)@)?(\[[0-9a-f:.]+\]|[^/?#\\:@\[\]]+)(?::(\d*))?"
@@ -20,6 +20,7 @@ _URL = (
 )
 _FOREIGN_HOST = r"[^\x00-\x7f]|%"
 _NORMAL = r"^https?://(?:[a-z0-9_-]+\.)*[a-z][a-z0-9_-]*/[\w!$%&()*+,./:;=?@~\[\]|^-]*(?:#[\w!$%&()*+,./:;=?@~-]*)?$"
+_PLAIN = _NORMAL[:-1] + r"\z"
 _BAD_HOST = r"[\x00-\x20<>^|%\x7f]"
 _NUMERIC_TAIL = r"(^|\.)(\d+|0[xX][0-9a-fA-F]*)\.?$"
 _QUAD = r"^((25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)$"
@@ -142,6 +143,25 @@ def normalize_url(c: Column, idna: bool = True, foreign_host: Column | None = No
     return F.when(c.isNotNull(), let(given, lambda v: _normal_form(v["url"], v["foreign"])))
 
 
+def with_normal_urls(df: DataFrame, given: dict[str, Column]) -> DataFrame:
+    """Add :func:`normalize_url` of several URLs under their names, with one vectorised call for the hosts of a row.
+
+    URLs in normal form, apart from the letters of scheme and host and a bare "/", pass after one pattern test outside of any lambda;
+    only the others are taken apart.
+    """
+    head = lambda c: F.lower(F.substring_index(c, "/", 3))
+    tail = lambda c: F.substr(c, F.length(F.substring_index(c, "/", 3)) + 1)
+    low = {n: F.col(f"_{n}_low") for n in given}
+    plain = {n: F.col(f"_{n}_plain") for n in given}
+    step = df.select("*", *[F.concat(head(c), F.coalesce(F.nullif(tail(c), F.lit("")), F.lit("/"))).alias(f"_{n}_low") for n, c in given.items()])
+    fits = lambda u: ~F.contains(u, F.lit("/.")) & ~F.contains(u, F.lit("/%")) & (F.length(u) <= MAX_URL_LENGTH) & u.rlike(_PLAIN)
+    step = step.select("*", *[F.when(fits(low[n]), low[n]).alias(f"_{n}_plain") for n in given])
+    other = {n: F.when(plain[n].isNull(), c) for n, c in given.items()}
+    step = step.select("*", foreign_hosts(F.when(F.coalesce(*other.values()).isNotNull(), F.array(*other.values()))).alias("_hosts"))
+    normal = lambda n, i: F.coalesce(plain[n], normalize_url(other[n], foreign_host=F.get("_hosts", F.lit(i))))
+    return step.select(*df.columns, *[normal(n, i).alias(n) for i, n in enumerate(given)])
+
+
 def _normal_form(url: Column, foreign_host: Column) -> Column:
     """As :func:`normalize_url`, of a cleaned URL; ``foreign_host`` is its host in ASCII form where that is not plain."""
     host = F.regexp_extract(url, _URL, 3)
@@ -198,4 +218,6 @@ def is_storage_uri(c: Column) -> Column:
     rest = F.regexp_extract(strip(c), r"(?s)^s3://(.*)$", 1)
     bucket = F.regexp_extract(rest, r"(?s)^([^/]*)/", 1)
     key = F.regexp_extract(rest, r"(?s)^[^/]*/(.*)$", 1)
-    return F.coalesce((strip(bucket) != "") & (strip(key) != ""), F.lit(False))
+    filled = lambda part: F.btrim(part, F.lit(WHITE_SPACE)) != ""
+    # Where bucket and key begin with a visible character nothing needs to be taken apart.
+    return F.when(c.rlike(r"^s3://[!-.0-~][^/]*/[!-~]"), True).otherwise(F.coalesce(filled(bucket) & filled(key), F.lit(False)))

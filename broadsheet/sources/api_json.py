@@ -62,17 +62,13 @@ def map_records(records: DataFrame, countries: DataFrame, languages: DataFrame)
     coded = codes.with_country_code(typed, "_sourcecountry", "source_country_code", countries)
     coded = codes.with_language_code(coded, "_language", "language_code", languages)
     home = urls.homepage(F.col("_url"))
-    # One vectorised call for the hosts of all three URLs.
-    coded = coded.withColumn("_hosts", urls.foreign_hosts(F.array("_url", "_socialimage", home)))
-    normal = lambda c, i: urls.normalize_url(c, foreign_host=F.get("_hosts", F.lit(i)))
+    coded = coded.withColumn("_home", home)
+    coded = urls.with_normal_urls(coded, {"url": F.col("_url"), "image_url": F.col("_socialimage"), "source_homepage_url": F.col("_home")})
     shaped = coded.select(
         "*",
-        normal(F.col("_url"), 0).alias("url"),
         F.col("_title").alias("title"),
         urls.source_domain(F.col("_domain"), F.col("_url")).alias("source_name"),
-        home.isNotNull().alias("_has_home"),
-        normal(home, 2).alias("source_homepage_url"),
-        normal(F.col("_socialimage"), 1).alias("image_url"),
+        F.col("_home").isNotNull().alias("_has_home"),
         times.api_time(F.col("_seendate")).alias("published_at"),
     )
     missing = [

@@ -62,20 +62,8 @@ def parse_messages(df: DataFrame, body: str = "body") -> DataFrame:
         "_m", F.from_json(body, MESSAGE_JSON)
     )
     m = F.col("_m")
-    scored = parsed.select(
-        "*",
-        *[
-            codes.normalized_entries(F.from_json(m[name], "map<string,string>")).alias(f"_{name}")
-            for name in ("country_scores", "state_scores")
-        ],
-        text.code(m["primary_state_code"]).alias("primary_state_code"),
-        _whole_number(m["retry_count"], 0).alias("retry_count"),
-    )
-    scored = scored.select(
-        "*",
-        *[codes.entries_error(F.col(f"_{n}")).alias(f"_{n}_error") for n in ("country_scores", "state_scores")],
-        *[codes.entries_scores(F.col(f"_{n}")).alias(n) for n in ("country_scores", "state_scores")],
-    )
+    coded = parsed.select("*", text.code(m["primary_state_code"]).alias("primary_state_code"), _whole_number(m["retry_count"], 0).alias("retry_count"))
+    scored = codes.with_scores(coded, {n: F.from_json(m[n], "map<string,string>") for n in ("country_scores", "state_scores")})
     state_codes = F.map_keys("state_scores")
     no_codes = F.array().cast("array<string>")
     error = F.coalesce(
@@ -156,7 +144,7 @@ def parse_articles(df: DataFrame, payload: str, iso: DataFrame) -> DataFrame:
     """
     iso_list = sorted({row[0] for row in iso.select("country_code").collect()} - {None})
     a = F.col("_a")
-    none = F.array().cast("array<string>")
+    none, payload_text = F.array().cast("array<string>"), F.col(payload)
     sub_extra = lambda path, allowed: unknown_fields(F.get_json_object(payload, path), allowed)
     shaped = (
         df.withColumn("_a", F.from_json(payload, ARTICLE_JSON))
@@ -164,23 +152,25 @@ def parse_articles(df: DataFrame, payload: str, iso: DataFrame) -> DataFrame:
             "_a_extra",
             unknown_fields(F.col(payload), _names(ARTICLE_JSON))
             | sub_extra("$.source", ["name", "source_type", "homepage_url", "country_code", "credibility_score"])
-            | sub_extra("$.social_card", ["headline", "summary", "background_image_url", "template_name",
-                                          "generated_image_path", "is_generated"]),
+            | (
+                # A text that neither names a card nor escapes anything has none to look for.
+                (F.contains(payload_text, F.lit("social_card")) | F.contains(payload_text, F.lit("\\")))
+                & sub_extra("$.social_card", ["headline", "summary", "background_image_url", "template_name",
+                                              "generated_image_path", "is_generated"])
+            ),
         )
     )
-    links = [a["url"], a["canonical_url"], a["image_url"], a["source"]["homepage_url"]]
-    shaped = shaped.withColumn("_hosts", urls.foreign_hosts(F.array(*links)))
-    normal = lambda i: urls.normalize_url(links[i], foreign_host=F.get("_hosts", F.lit(i)))
+    shaped = urls.with_normal_urls(shaped, {
+        "url": a["url"], "canonical_url": a["canonical_url"], "image_url": a["image_url"], "source_homepage_url": a["source"]["homepage_url"],
+    })
     stripped = lambda name: text.strip(a[name]).alias(name)
     card = a["social_card"]
     flat = shaped.select(
         "*",
         stripped("title"), stripped("description"), stripped("content"), stripped("summary"), stripped("author"),
         stripped("share_caption"), stripped("content_hash"),
-        normal(0).alias("url"), normal(1).alias("canonical_url"), normal(2).alias("image_url"),
         text.strip(a["source"]["name"]).alias("source_name"),
         a["source"]["source_type"].alias("source_type"),
-        normal(3).alias("source_homepage_url"),
         text.code(a["source"]["country_code"]).alias("source_country_code"),
         codes.to_decimal(a["source"]["credibility_score"]).try_cast("decimal(5,2)").alias("source_credibility"),
         times.iso_time(a["published_at"]).alias("published_at"),
@@ -206,7 +196,7 @@ def parse_articles(df: DataFrame, payload: str, iso: DataFrame) -> DataFrame:
     identified = flat.withColumn(
         "article_id", F.coalesce(a["article_id"], article_key(F.col("source_name"), F.col("url")))
     )
-    return fence(identified.withColumn("article_error", article_errors(iso_list)).drop("_a", "_a_extra", "_hosts"))
+    return fence(identified.withColumn("article_error", article_errors(iso_list)).drop("_a", "_a_extra"))
 
 
 def article_key(provider: Column, url: Column) -> Column:
