@@ -2,13 +2,15 @@
 
 Equal vectors are first merged into a class with its smallest id. Centres are fitted on a bounded sample
 (``SAMPLE`` classes by hash); every class has its nearest cell as home, and a cell's radius is the largest angle of a class at home
-there. A class also visits every other cell that may hold a link of it: with ``a = acos(threshold)``, one whose centre is within
-its radius plus ``a``, and to whose side of the great circle between the two centres it has no more than ``a``. By the triangle inequality on
-angles no other cell can, so every pair of linked classes meets, whatever the number of cells and however spread the vectors are.
-Of the two homes of a pair it meets in the smaller one, so classes visit smaller cells only and no link counts twice. A cell is
-cut into blocks of ``BLOCK`` classes by hash and each pair of blocks (one of them at home) is one product of matrices in double
-precision, so a hot cell is many small tasks. A product gives per class the number of links and the first class of its linked
-set, never a row per pair.
+there. A cell is cut by hash into blocks of about ``BLOCK`` classes, each packed into one row of a written table, which is all that is ever
+stored of the vectors: nothing is copied per visit. Every two blocks whose cells can hold a link of each other meet in one row of a nested loop, whose
+tasks read two parts of that table each, and give one product of matrices in double precision; so disk grows with the table, a task holds two parts, and a hot
+cell is many small products. A product gives per class the number of links and the first class of its linked set, never a row per pair.
+
+With ``a = acos(threshold)``, a class can have a link in another cell only if that cell's centre is within the cell's radius plus ``a``, and it has no
+more than ``a`` to that cell's side of the great circle between the two centres. By the triangle inequality on angles no link is lost,
+whatever the number of cells and however spread the vectors are. A block reaches the cells that any of its classes can, and a product leaves out the classes of
+either block that cannot reach the other cell.
 
 Links are exact (cosine of at least ``threshold`` in double precision). Vectors without any clusters visit most cells, and
 the work then nears that of all pairs.
@@ -23,19 +25,19 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from broadsheet.llm.common import in_small_batches
 from broadsheet.llm.components import components
 from broadsheet.session import cut
 
 SAMPLE, BLOCK = 20_000, 1_000
 #: Slack of angles, far above rounding.
 _SLACK = 1e-6
-#: Rows that leave Python at once.
-_ROWS = 10_000
+#: Blocks in a written file, and blocks whose unit vectors a worker keeps.
+_PER_FILE, _KEPT = 16, 64
 
 
 def fit_centres(vectors: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
@@ -90,58 +92,47 @@ def _homes(classes: DataFrame, centres: dict[int, np.ndarray]) -> DataFrame:
     return classes.select("id", "n", "embedding").mapInArrow(run, f"dims int, home int, angle double, id long, n long, v {dict(classes.dtypes)['embedding']}")
 
 
-def visited(units: np.ndarray, home: np.ndarray, centres: np.ndarray, radii: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Row and cell of every visit: cells before the row's home that may hold a link of it."""
+def reaching(units: np.ndarray, own: np.ndarray, others: np.ndarray, radii: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether each row (of the cell with centre ``own``) may have a link in each of the cells with centres ``others`` and ``radii``."""
     most = np.arccos(np.clip(threshold, -1, 1)) + _SLACK
-    near = units @ centres.T
-    own = near[np.arange(len(units)), home][:, None]
-    apart = np.sqrt(np.maximum(0, 2 - 2 * (centres[home] @ centres.T)))
-    side = np.arcsin(np.clip((own - near) / np.maximum(apart, 1e-12), -1, 1))
-    may = (np.arccos(np.clip(near, -1, 1)) <= radii + most) & ((side <= most) | (apart < 1e-6))
-    return np.nonzero(may & (np.arange(len(centres)) < home[:, None]))
-
-
-def _assign(homes: DataFrame, centres: dict[int, np.ndarray], radii: dict[int, np.ndarray], threshold: float) -> DataFrame:
-    """dims, cell, visits, id, n, v: one row per class at home and per visit."""
+    near = units @ others.T
+    apart = np.linalg.norm(others - own, axis=1)
+    side = np.where((apart < 1e-6) | (most >= np.pi / 2), np.inf, np.sin(min(most, np.pi / 2)) * apart)
+    least = np.where(radii < 0, 2, np.cos(np.minimum(np.pi, radii + most)))
+    return (near >= least) & ((units @ own)[:, None] - near <= side)
+
+
+def _packed(homes: DataFrame, centres: dict[int, np.ndarray], radii: dict[int, np.ndarray], threshold: float, block: int) -> DataFrame:
+    """One row per block: dims, cell, part, the later cells it reaches, and ids, weights and vectors as plain bytes."""
+    sizes = homes.groupBy("dims", "home").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("_parts"))
+    # One row per cell, of which there are as many as centres (under SAMPLE).
+    dealt = homes.join(F.broadcast(sizes), ["dims", "home"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("_parts")).cast("int"))
     shared = homes.sparkSession.sparkContext.broadcast((centres, radii))
+    single = dict(homes.dtypes)["v"] == "array<float>"
+
+    def pack(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        dims, cell = table["dims"][0].as_py(), table["home"][0].as_py()
+        rows = table["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float32 if single else np.float64)
+        known, reach = shared.value[0].get(dims), []
+        if known is not None:
+            units = unit_rows(rows.reshape(-1, dims).astype(np.float64))
+            later = np.arange(cell + 1, len(known))
+            reach = later[reaching(units, known[cell], known[later], shared.value[1][dims][later], threshold).any(axis=0)].tolist()
+        return pa.table({
+            "dims": pa.array([dims], pa.int32()), "cell": pa.array([cell], pa.int32()), "part": pa.array([table["part"][0].as_py()], pa.int32()),
+            "reach": pa.array([reach], pa.list_(pa.int32())), "ids": pa.array([table["id"].to_numpy().tobytes()], pa.binary()),
+            "ns": pa.array([table["n"].to_numpy().tobytes()], pa.binary()), "v": pa.array([rows.tobytes()], pa.binary()),
+        })
+
+    return dealt.select("dims", "home", "part", "id", "n", "v").groupBy("dims", "home", "part").applyInArrow(
+        pack, "dims int, cell int, part int, reach array<int>, ids binary, ns binary, v binary"
+    )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, reach = shared.value
-        for batch in batches:
-            every = batch.column(0).to_numpy()
-            for dims in np.unique(every):
-                whole = batch.filter(pa.array(every == dims))
-                for at in range(0, whole.num_rows, 500):
-                    part = whole.slice(at, 500)
-                    home = part.column(1).to_numpy()
-                    row, cell = np.arange(len(home)), home
-                    if int(dims) in known:
-                        guests, cells = visited(_units(part.column(4), int(dims)), home, known[int(dims)], reach[int(dims)], threshold)
-                        row, cell = np.concatenate([row, guests]), np.concatenate([cell, cells])
-                    for first in range(0, len(row), _ROWS):
-                        take = pa.array(row[first : first + _ROWS])
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                pa.array(np.full(len(take), dims, dtype=np.int32)), pa.array(cell[first : first + _ROWS].astype(np.int32)),
-                                pa.array(np.arange(first, first + len(take)) >= len(home)), *[part.column(i).take(take) for i in (2, 3, 4)],
-                            ],
-                            ["dims", "cell", "visits", "id", "n", "v"],
-                        )
-
-    return homes.select("dims", "home", "id", "n", "v").mapInArrow(run, f"dims int, cell int, visits boolean, id long, n long, v {dict(homes.dtypes)['v']}")
-
-
-def linked_rows(units: np.ndarray, weights: np.ndarray, left: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Links and first row of the linked set per row. ``left`` marks the first block of two; all alike: one block."""
-    if left.all():
-        links = (units @ units.T) >= threshold
-        np.fill_diagonal(links, False)
-    else:
-        links = np.zeros((len(units), len(units)), dtype=bool)
-        a, b = np.flatnonzero(left), np.flatnonzero(~left)
-        across = (units[a] @ units[b].T) >= threshold
-        links[np.ix_(a, b)], links[np.ix_(b, a)] = across, across.T
-    first, rest = np.arange(len(units)), links.any(axis=1)
+
+def linked_rows(links: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sum of weights linked to and first row of the linked set per row; ``links`` is symmetric."""
+    first, rest = np.arange(len(links)), links.any(axis=1)
     for seed in np.flatnonzero(rest):
         if not rest[seed]:
             continue
@@ -153,37 +144,66 @@ def linked_rows(units: np.ndarray, weights: np.ndarray, left: np.ndarray, thresh
     return links @ weights, first
 
 
-def _products(rows: DataFrame, threshold: float, block: int) -> DataFrame:
-    """id, links, first: partial link counts and spanning links of every pair of blocks."""
-    sizes = rows.groupBy("dims", "cell").agg(
-        F.ceil(F.count_if(~F.col("visits")) / block).cast("int").alias("_homes"), F.ceil(F.count_if("visits") / block).cast("int").alias("_guests")
-    )
-    # One row per cell, of which there are as many as centres (under SAMPLE). Blocks of visitors follow those at home.
-    own = F.when(F.col("visits"), F.col("_homes") + F.pmod(F.xxhash64("id"), F.col("_guests"))).otherwise(F.pmod(F.xxhash64("id"), F.col("_homes")))
-    cut_up = rows.join(F.broadcast(sizes), ["dims", "cell"]).filter("_homes > 0").withColumn("_b", own.cast("int"))
-    last = F.when(F.col("visits"), F.col("_homes")).otherwise(F.col("_homes") + F.col("_guests")) - 1
-    other = F.explode(F.sequence(F.lit(0), last)).alias("_o")
-    paired = cut_up.select("dims", "cell", "id", "n", "v", "_b", other).select(
-        "dims", "cell", F.least("_b", "_o").alias("_i"), F.greatest("_b", "_o").alias("_j"), "_b", "id", "n", "v"
-    )
+def _products(blocks: DataFrame, centres: dict[int, np.ndarray], radii: dict[int, np.ndarray], threshold: float, single: bool) -> DataFrame:
+    """id, links, first: partial link counts and spanning links of every pair of blocks that may hold a link."""
+    shared = blocks.sparkSession.sparkContext.broadcast((centres, radii))
+    names = ["dims", "cell", "part", "ids", "ns", "v"]
+    left = blocks.select("reach", *[F.col(c).alias(f"a_{c}") for c in names])
+    right = blocks.select(*[F.col(c).alias(f"b_{c}") for c in names])
+    # No equal key, which would gather a cell's blocks: every task pairs one part of the table with another.
+    same = (F.col("a_cell") <= F.col("b_cell")) & (F.col("a_cell") >= F.col("b_cell")) & (F.col("a_part") <= F.col("b_part"))
+    meet = (F.col("a_dims") <= F.col("b_dims")) & (F.col("a_dims") >= F.col("b_dims")) & (same | F.array_contains("reach", F.col("b_cell")))
+    paired = left.join(right.hint("shuffle_replicate_nl"), meet).drop("reach", "b_dims")
+    kind = np.float32 if single else np.float64
 
-    def product(frame: pd.DataFrame) -> pd.DataFrame:
-        units = unit_rows(np.stack(frame["v"].to_numpy()).astype(np.float64))
-        first_block = (frame["_b"] == frame["_i"]).to_numpy()
-        if frame["_i"].iloc[0] != frame["_j"].iloc[0] and (first_block.all() or not first_block.any()):
-            return pd.DataFrame({"id": [], "links": [], "first": []}, dtype="int64")  # the other block is empty
-        links, first = linked_rows(units, frame["n"].to_numpy(), first_block, threshold)
-        some, ids = np.flatnonzero(links), frame["id"].to_numpy()
-        return pd.DataFrame({"id": ids[some], "links": links[some], "first": ids[first[some]]})
+    def product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, reach = shared.value
+        kept: dict[tuple, np.ndarray] = {}
+
+        def units_of(row: dict, side: str) -> np.ndarray:
+            key = (row["a_dims"], row[f"{side}_cell"], row[f"{side}_part"])
+            if key not in kept:
+                if len(kept) >= _KEPT:
+                    kept.clear()
+                kept[key] = unit_rows(np.frombuffer(row[f"{side}_v"].as_buffer(), kind).reshape(-1, row["a_dims"]).astype(np.float64))
+            return kept[key]
 
-    return paired.groupBy("dims", "cell", "_i", "_j").applyInPandas(product, "id long, links long, first long")
+        for batch in batches:
+            held = {c: batch.column(c) for c in batch.schema.names}
+            for i in range(batch.num_rows):
+                row = {c: column[i] if c[2:] in ("ids", "ns", "v") else column[i].as_py() for c, column in held.items()}
+                one, two = units_of(row, "a"), units_of(row, "b")
+                ids, weights = ([np.frombuffer(row[f"{side}_{c}"].as_buffer(), np.int64) for side in "ab"] for c in ("ids", "ns"))
+                if (row["a_cell"], row["a_part"]) == (row["b_cell"], row["b_part"]):
+                    links, ids, weights = one @ one.T >= threshold, ids[0], weights[0]
+                    np.fill_diagonal(links, False)
+                else:
+                    a, b = np.arange(len(one)), np.arange(len(two))
+                    if row["a_cell"] != row["b_cell"]:
+                        cells, bounds = known[row["a_dims"]], reach[row["a_dims"]]
+                        to, back = slice(row["b_cell"], row["b_cell"] + 1), slice(row["a_cell"], row["a_cell"] + 1)
+                        a = np.flatnonzero(reaching(one, cells[row["a_cell"]], cells[to], bounds[to], threshold))
+                        b = np.flatnonzero(reaching(two, cells[row["b_cell"]], cells[back], bounds[back], threshold))
+                    across = (one[a] @ two[b].T) >= threshold
+                    rows, columns = across.any(axis=1), across.any(axis=0)
+                    if not rows.any():
+                        continue
+                    n, across = rows.sum(), across[np.ix_(rows, columns)]
+                    links = np.zeros((n + columns.sum(),) * 2, dtype=bool)
+                    links[:n, n:], links[n:, :n] = across, across.T
+                    ids, weights = (np.concatenate([x[a[rows]], y[b[columns]]]) for x, y in (ids, weights))
+                counts, first = linked_rows(links, weights)
+                some = np.flatnonzero(counts)
+                yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(counts[some]), pa.array(ids[first[some]])], ["id", "links", "first"])
+
+    return paired.mapInArrow(product, "id long, links long, first long")
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.9, block: int = BLOCK, sample: int = SAMPLE) -> DataFrame:
     """vec_id, n_links, component_id, kept of every row."""
     # Components keep their precision: floats stay floats on the way, all others are doubles; products are in doubles.
     kind = "array<float>" if dict(vectors.dtypes)["embedding"] == "array<float>" else "array<double>"
-    source = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(kind).alias("embedding"))
+    source = in_small_batches(vectors).select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(kind).alias("embedding"))
     finite = ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     nonzero = F.exists("embedding", lambda x: x != 0)
     valid = F.coalesce(F.col("vec_id").isNotNull() & (F.size("embedding") > 0) & finite & nonzero, F.lit(False))
@@ -206,8 +226,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.9, block: int = BLO
     for r in homes.groupBy("dims", "home").agg(F.max("angle").alias("radius")).collect():
         if r["dims"] in radii:
             radii[r["dims"]][r["home"]] = r["radius"]
-    rows = cut(_assign(homes, centres, radii, threshold), "cells")
-    found = cut(_products(rows, threshold, block), "links")
+    most = n_classes // block + sum(len(c) for c in centres.values()) + 1
+    blocks = cut(_packed(homes, centres, radii, threshold, block).repartition(-(-most // _PER_FILE)), "blocks")
+    found = cut(_products(blocks, centres, radii, threshold, kind == "array<float>"), "links")
     counted = found.groupBy("id").agg(F.sum("links").alias("_links")).withColumnRenamed("id", "_id")
     linked = components(found.filter("id <> first"), "id", "first")
     known = (
