@@ -16,10 +16,10 @@ from broadsheet.streaming import queue
 
 
 def publish(t: Tables, path: str, copies: int = 1) -> None:
-    """Write the bound messages as queue files, one message per line."""
+    """Write the bound messages as queue files, compressed, one message per line."""
     body = t.message_bodies.select(F.col("body").alias("value"))
     for _ in range(copies):
-        body.write.mode("append").text(path)
+        body.write.mode("append").text(path, compression="gzip")
 
 
 def consumed(t: Tables) -> tuple[str, DataFrame]:
