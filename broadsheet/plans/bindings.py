@@ -427,7 +427,11 @@ class Tables:
 
     @cached_property
     def message_bodies(self) -> DataFrame:
-        return self._bodies(self.dealt("events"))
+        return self.bodies_dealt()
+
+    def bodies_dealt(self, rows: int = 50_000) -> DataFrame:
+        """``message_bodies`` in partitions of about ``rows`` rows."""
+        return self._bodies(self.dealt("events", rows))
 
     @staticmethod
     def _bodies(events: DataFrame) -> DataFrame:

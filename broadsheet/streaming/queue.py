@@ -307,22 +307,38 @@ def deduplicate(spark: SparkSession, queue: str, root: str, files_per_batch: int
 
     Repeats are decided against what earlier batches wrote, not against a watermark, so late, undated and
     broken messages all pass once. Of copies with one id the first by creation time, then by body, stays.
+    Decisions look at keys only: a batch without news is read no further, and whole messages are gathered only where it holds copies, or some of its
+    keys but not all were seen. Every batch reads the keys of those before it, so a long queue should be in large files.
     """
     checkpoint = checkpoint or f"{root}/_distinct_checkpoint"
     source = _source_name(queue, checkpoint)
 
-    def run(batch: DataFrame, batch_id: int) -> None:
+    def decide(batch: DataFrame, batch_id: int) -> None:
         parsed = batch.select(
             F.get_json_object("body", "$.message_id").alias("message_id"),
             F.get_json_object("body", "$.created_at").try_cast("timestamp").alias("created_at"), "body",
-        ).withColumn("message_key", F.coalesce("message_id", F.sha2("body", 256)))
-        first = parsed.groupBy("message_key").agg(
-            F.min_by(F.struct("message_id", "created_at", "body"), F.struct(F.coalesce(F.unix_micros("created_at"), F.lit(0)), "body")).alias("m")
-        ).select("message_key", "m.*")
-        seen = distinct_messages(batch.sparkSession, root).filter((F.col("ingest_source") != source) | (F.col("ingest_batch") < batch_id))
-        fresh = first.join(seen.select("message_key"), "message_key", "left_anti")
+        ).select(F.coalesce("message_id", F.sha2("body", 256)).alias("message_key"), "message_id", "created_at", "body")
+        keys = cut(parsed.groupBy("message_key").agg(F.count("*").alias("n")), "distinct-keys")
+        earlier = distinct_messages(batch.sparkSession, root).filter((F.col("ingest_source") != source) | (F.col("ingest_batch") < batch_id))
+        seen = cut(earlier.select("message_key").join(keys.hint("shuffle_hash"), "message_key", "left_semi").distinct(), "distinct-seen")
+        repeats, rest = seen.count(), keys.filter("n > 1").select("message_key")
+        if repeats == keys.count():
+            fresh = parsed.limit(0)
+        else:
+            fresh = parsed.join(seen, "message_key", "left_anti") if repeats else parsed
+            copies = cut(rest.join(seen, "message_key", "left_anti") if repeats else rest, "distinct-copies")
+            if not copies.isEmpty():
+                order = F.struct(F.coalesce(F.unix_micros("created_at"), F.lit(0)), "body")
+                first = fresh.join(copies, "message_key", "left_semi").groupBy("message_key").agg(
+                    F.min_by(F.struct("message_id", "created_at", "body"), order).alias("m")
+                ).select("message_key", "m.*")
+                fresh = fresh.join(copies, "message_key", "left_anti").unionByName(first)
         fresh.write.mode("overwrite").parquet(f"{root}/distinct/ingest_source={source}/ingest_batch={batch_id}")
 
+    def run(batch: DataFrame, batch_id: int) -> None:
+        with session_conf(batch.sparkSession, LEAN_CONF), scratch_run(batch.sparkSession):
+            decide(batch, batch_id)
+
     empty = spark.createDataFrame([], DISTINCT)
     empty.write.mode("overwrite").parquet(f"{root}/distinct/ingest_source=none/ingest_batch=-1")
     _run_queue(spark, queue, checkpoint, run, files_per_batch)
