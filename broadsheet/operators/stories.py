@@ -10,6 +10,9 @@ shuffle), so a bucket with very many copies gives one candidate for each of them
 rounds look at ``GROWTH`` times as many ids of a bucket each, so many classes that share a bucket but are not similar lead at once. Ids are
 hashes, so rounds grow with the logarithm of the classes.
 
+Shingles of a batch are written once (and once more with the leaders that stay); rounds work on ids and bands and look up the shingles of candidates
+only. What a batch wrote besides its leaders and members goes with it, shuffle files go with the step that made them.
+
 Defined results: words are runs of letters and digits, lower-cased; a text of fewer words is one shingle; texts without words, and null ones,
 are stories of their own; an article added again keeps its story if its text is the same.
 """
@@ -18,7 +21,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -26,7 +29,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from broadsheet.session import cut
+from broadsheet.functions.expr import fence
+from broadsheet.session import LEAN_CONF, cut, scratch_run, session_conf
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 5
@@ -35,6 +39,8 @@ GROWTH = 4
 #: Shingle values mixed at once.
 _SLICE = 1 << 14
 _WORD = re.compile(r"[^\W_]+")
+#: Shingles (set_id, shingles) of the classes whose set_id a table lists.
+Lookup = Callable[[DataFrame], DataFrame]
 LEADERS = "set_id long, story_id string, shingles array<long>, bands array<long>, batch long"
 MEMBERS = "article_id string, story_id string, similarity double, batch long"
 
@@ -147,52 +153,70 @@ class StoryStore:
 
     def add(self, articles: DataFrame, batch: int, key: str = "article_id", text: str = "content") -> None:
         """Give every article of a batch its story. Run again with the same number, it replaces what it wrote."""
-        told = cut(articles.select(F.col(key).cast("string").alias("article_id"), shingle_sets(F.col(text)).alias("s")).select("article_id", "s.*"), "sets")
+        with session_conf(self.spark, LEAN_CONF), scratch_run(self.spark):
+            self._add(articles.select(F.col(key).cast("string").alias("article_id"), shingle_sets(F.col(text)).alias("s")), batch)
+
+    def _add(self, articles: DataFrame, batch: int) -> None:
+        told = cut(articles.select(F.monotonically_increasing_id().alias("row"), "article_id", "s.*"), "sets")
         classes = cut(
-            told.filter("set_id IS NOT NULL").groupBy("set_id").agg(F.min_by(F.struct("shingles", "bands"), "article_id").alias("f"), F.min("article_id").alias("first"))
-            .select("set_id", "first", "f.shingles", "f.bands"), "classes"
+            told.filter("set_id IS NOT NULL").groupBy("set_id")
+            .agg(F.min_by(F.struct("row", "bands"), F.struct("article_id", "row")).alias("f"), F.min("article_id").alias("first"))
+            .select("set_id", "first", "f.row", "f.bands"), "classes"
         )
-        earlier = self.leaders().filter(F.col("batch") < batch).select("set_id", "story_id", "shingles", "bands")
-        joined = [cut(self._joined(classes, earlier), "joined")]
+        earlier = self.leaders().filter(F.col("batch") < batch)
+
+        def told_by(ids: DataFrame) -> DataFrame:
+            return told.join(classes.join(ids, "set_id", "left_semi").select("row"), "row", "left_semi").select("set_id", "shingles")
+
+        def known_by(ids: DataFrame) -> DataFrame:
+            return earlier.join(ids, "set_id", "left_semi").select("set_id", "shingles")
+
+        joined = [cut(self._joined(classes, earlier.select("set_id", "story_id", "bands"), told_by, known_by), "joined")]
         left = cut(classes.join(joined[0].select("set_id"), "set_id", "left_anti"), "open")
         new: list[DataFrame] = []
         depth = 1
         while not left.isEmpty():
-            leads = cut(self._new_leaders(left, depth), "leaders")
+            leads = cut(self._new_leaders(left, told_by, depth), "leaders")
             depth *= GROWTH
             new.append(leads)
             rest = left.join(leads.select("set_id"), "set_id", "left_anti")
-            taken = cut(self._joined(rest, leads), "joined")
+            taken = cut(self._joined(rest, leads, told_by, told_by), "joined")
             joined.append(taken)
             left = cut(rest.join(taken.select("set_id"), "set_id", "left_anti"), "open")
         found = joined[0]
         for more in joined[1:]:
             found = found.unionByName(more)
+        made = self.spark.createDataFrame([], "row long, story_id string")
         for leads in new:
             found = found.unionByName(leads.select("set_id", "story_id", F.lit(1.0).alias("similarity")))
+            made = made.unionByName(leads.select("row", "story_id"))
         alone = told.filter("set_id IS NULL").select("article_id", F.col("article_id").alias("story_id"), F.lit(1.0).alias("similarity"))
         named = told.select("article_id", "set_id").join(found, "set_id").select("article_id", "story_id", "similarity").unionByName(alone)
-        made = new[0] if new else earlier.limit(0)
-        for leads in new[1:]:
-            made = made.unionByName(leads)
-        made.select("set_id", "story_id", "shingles", "bands").write.mode("overwrite").parquet(f"{self.root}/leaders/batch={batch}")
+        lead = told.join(made, "row").select("set_id", "story_id", "shingles", "bands")
+        lead.write.mode("overwrite").parquet(f"{self.root}/leaders/batch={batch}")
         named.write.mode("overwrite").parquet(f"{self.root}/members/batch={batch}")
 
     @staticmethod
-    def _joined(classes: DataFrame, leaders: DataFrame) -> DataFrame:
+    def _alike(pairs: DataFrame, ours: Lookup, theirs: Lookup) -> DataFrame:
+        """set_id, other, similarity of the pairs that are similar; shingles travel for classes in a pair only."""
+        pairs = cut(pairs.distinct(), "pairs")
+        one = ours(pairs.select("set_id").distinct()).withColumnRenamed("shingles", "_ours")
+        two = theirs(pairs.select(F.col("other").alias("set_id")).distinct()).select(F.col("set_id").alias("other"), F.col("shingles").alias("_theirs"))
+        sized = pairs.join(two, "other").join(one, "set_id").select("set_id", "other", similarity("_ours", "_theirs").alias("similarity"))
+        return fence(sized).filter(F.col("similarity") >= SIMILARITY)
+
+    @staticmethod
+    def _joined(classes: DataFrame, leaders: DataFrame, ours: Lookup, theirs: Lookup) -> DataFrame:
         """set_id, story_id, similarity: the most similar leader of every class that has one."""
-        ours = classes.select("set_id", F.explode("bands").alias("band"))
-        theirs = leaders.select(F.col("set_id").alias("leader"), F.explode("bands").alias("_band"))
-        pairs = ours.join(theirs, F.col("band") == F.col("_band")).select("set_id", "leader").distinct()
-        sets = leaders.select(F.col("set_id").alias("leader"), "story_id", F.col("shingles").alias("_theirs"))
-        sized = pairs.join(sets, "leader").join(classes.select("set_id", "shingles"), "set_id")
-        close = sized.withColumn("similarity", similarity("shingles", "_theirs")).filter(F.col("similarity") >= SIMILARITY)
-        return close.groupBy("set_id").agg(F.min(F.struct((-F.col("similarity")).alias("less"), "leader", "story_id")).alias("b")).select(
-            "set_id", "b.story_id", (-F.col("b.less")).alias("similarity")
-        )
+        mine = classes.select("set_id", F.explode("bands").alias("band"))
+        other = leaders.select(F.col("set_id").alias("other"), F.explode("bands").alias("_band"))
+        close = StoryStore._alike(mine.join(other, F.col("band") == F.col("_band")).select("set_id", "other"), ours, theirs)
+        best = close.groupBy("set_id").agg(F.min(F.struct((-F.col("similarity")).alias("less"), "other")).alias("b"))
+        named = leaders.select(F.col("set_id").alias("other"), "story_id")
+        return best.select("set_id", "b.other", (-F.col("b.less")).alias("similarity")).join(named, "other").select("set_id", "story_id", "similarity")
 
     @staticmethod
-    def _new_leaders(classes: DataFrame, depth: int = 1) -> DataFrame:
+    def _new_leaders(classes: DataFrame, told: Lookup, depth: int = 1) -> DataFrame:
         """Classes among the ``depth`` smallest ids in each of their buckets that are similar to no smaller one there; a story is named after
         its leader's first article. At depth 1 these are the smallest ids of all their buckets, and nothing is compared."""
         inside = classes.select("set_id", F.explode("bands").alias("band"))
@@ -203,10 +227,8 @@ class StoryStore:
             place = F.row_number().over(Window.partitionBy("band").orderBy("set_id"))
             front = cut(inside.withColumn("_place", place).filter(F.col("_place") <= depth).drop("_place"), "front")
             whole = front.groupBy("set_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") == BANDS).select("set_id")
-            first = front.select(F.col("set_id").alias("_smaller"), F.col("band").alias("_band"))
-            pairs = front.join(first, (F.col("band") == F.col("_band")) & (F.col("_smaller") < F.col("set_id"))).select("set_id", "_smaller").distinct()
-            ours, theirs = classes.select("set_id", "shingles"), classes.select(F.col("set_id").alias("_smaller"), F.col("shingles").alias("_theirs"))
-            alike = pairs.join(ours, "set_id").join(theirs, "_smaller").filter(similarity("shingles", "_theirs") >= SIMILARITY)
-            behind = alike.select("set_id").distinct()
+            first = front.select(F.col("set_id").alias("other"), F.col("band").alias("_band"))
+            pairs = front.join(first, (F.col("band") == F.col("_band")) & (F.col("other") < F.col("set_id"))).select("set_id", "other")
+            behind = StoryStore._alike(pairs, told, told).select("set_id").distinct()
             classes = classes.join(whole, "set_id", "left_semi")
-        return classes.join(behind, "set_id", "left_anti").select("set_id", F.col("first").alias("story_id"), "shingles", "bands")
+        return classes.join(behind, "set_id", "left_anti").select("set_id", "row", F.col("first").alias("story_id"), "bands")
