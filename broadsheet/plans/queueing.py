@@ -15,7 +15,7 @@ from broadsheet.sources import api_json, messages, registry
 from broadsheet.streaming import queue
 
 
-def publish(t: Tables, path: str, copies: int = 1, file_rows: int = 50_000) -> None:
+def publish(t: Tables, path: str, copies: int = 1, file_rows: int = 12_500) -> None:
     """Write the bound messages as queue files of about ``file_rows`` each, compressed, one message per line."""
     body = t.bodies_dealt(file_rows).select(F.col("body").alias("value"))
     for _ in range(copies):
